@@ -11,8 +11,8 @@ from docketmill.rules import RuleSet
 
 def summary_tokens(sentence: Column, rules: RuleSet) -> Column:
     """Lower-cased words of a sentence without stopwords and words of one or two letters."""
-    found = F.regexp_extract_all(F.lower(sentence), F.lit(SUMMARY_WORD), F.lit(0))
-    return F.filter(found, lambda t: (F.length(t) > 2) & ~t.isin(sorted(rules.stopwords)))
+    found = F.regexp_extract_all(sentence, F.lit(SUMMARY_WORD), F.lit(0))
+    return F.filter(F.transform(found, F.lower), lambda t: (F.length(t) > 2) & ~t.isin(sorted(rules.stopwords)))
 
 
 def sentence_scores(sentences: Column, rules: RuleSet) -> Column:

@@ -90,7 +90,7 @@ def first_group(text: Column, pattern: str, group: int = 1) -> Column:
     The pattern is extended to swallow the rest of the text, so the search stops
     at the first match.
     """
-    whole = F.regexp_extract_all(text, F.lit(regex(pattern) + "(?s:.*)"), F.lit(group))
+    whole = F.regexp_extract_all(text, F.lit(regex(f"(?:{pattern})") + "(?s:.*)"), F.lit(group))
     return strip(F.get(whole, F.lit(0)))
 
 
