@@ -51,7 +51,6 @@ def fields_struct(text: Column, fields: list[tuple[str, str, str | None]]) -> Co
 
 
 def fields_json(values: Column, fields: list[tuple[str, str, str | None]]) -> Column:
-    return jsontext.record([
-        (name, jsontext.number(values[name]) if is_number(kind) else jsontext.string(values[name]))
-        for name, kind, _ in fields
+    return jsontext.typed_record([
+        (name, "number" if is_number(kind) else "string", values[name]) for name, kind, _ in fields
     ])

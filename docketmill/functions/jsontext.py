@@ -26,10 +26,6 @@ def number(value: Column) -> Column:
     return bind(value, show)
 
 
-def integer(value: Column) -> Column:
-    return value.cast("string")
-
-
 def array(parts: Column) -> Column:
     """`[a, b]` from an array of JSON texts."""
     return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
@@ -45,6 +41,28 @@ def object_of(entries: Column) -> Column:
 
 
 def record(pairs: list[tuple[str, Column]]) -> Column:
-    """An object with a fixed key list; NULL values are written as `null`."""
+    """An object with a fixed key list from JSON texts; NULL is written as `null`."""
     parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(v, F.lit("null"))) for k, v in pairs]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def typed_record(fields: list[tuple[str, str, Column]]) -> Column:
+    """An object from `(key, kind, value)`, kind being `string`, `number` or `json`.
+
+    Values of a kind are encoded together, by one lambda each.
+    """
+    encode = {"string": string, "number": number}
+    names = {kind: [k for k, t, _ in fields if t == kind] for kind in encode}
+    encoded = {
+        kind: F.transform(F.array(*[v for _, t, v in fields if t == kind]), encode[kind])
+        for kind in encode if names[kind]
+    }
+
+    def assemble(texts: Column) -> Column:
+        return record([
+            (k, v if t == "json" else texts[t][names[t].index(k)]) for k, t, v in fields
+        ])
+
+    if not encoded:
+        return record([(k, v) for k, _, v in fields])
+    return bind(F.struct(*[a.alias(kind) for kind, a in encoded.items()]), assemble)

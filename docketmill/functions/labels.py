@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketmill.functions.sqltext import quoted
 from docketmill.functions.text import (
     bind, clean_value, collapse_spaces, first_email, fold_case, lines, regex, runs, strip, to_number,
 )
@@ -20,43 +21,59 @@ INLINE_VALUE = r"^(?:\([^)]*\))?\s*[:\-](.+)$"
 NO_VALUE = r"^(?:\([^)]*\))?\s*[:\-]?\s*$"
 
 
-def label_lines(text: Column, labels: list[str]) -> Column:
-    """`(line_no, label, raw_value)` of the lines that name one of `labels`.
+def label_key(head: Column) -> Column:
+    return fold_case(collapse_spaces(strip(head)))
+
+
+def label_lines(text: Column, labels: Column) -> Column:
+    """`(line_no, label, alias, raw_value)` of the lines that name a key of `labels`.
 
     The value follows the label on its line; only a label that stands alone
     takes the next line instead, which may itself be a label.
     """
 
-    def parse(line: Column, number: Column, all_lines: Column) -> Column:
-        def split_line(head: Column) -> Column:
-            rest = F.substr(line, F.length(head) + 1, F.length(line) - F.length(head))
-            inline = F.regexp_extract(rest, regex(INLINE_VALUE), 1)
-            value = F.when(
-                F.rlike(rest, F.lit(regex(INLINE_VALUE))), clean_value(inline)
-            ).when(
-                F.rlike(rest, F.lit(regex(NO_VALUE))), clean_value(F.get(all_lines, number + 1))
-            )
+    def lookup(line: Column, number: Column) -> Column:
+        def head_of(head: Column) -> Column:
+            label = label_key(head)
             return F.struct(
                 number.alias("line_no"),
-                fold_case(collapse_spaces(strip(head))).alias("label"),
-                value.alias("raw_value"),
+                label.alias("label"),
+                labels[label].alias("alias"),
+                F.substr(line, F.length(head) + 1, F.length(line) - F.length(head)).alias("rest"),
             )
 
-        return bind(F.regexp_extract(line, regex(LABEL_PART), 0), split_line)
+        return bind(F.regexp_extract(line, regex(LABEL_PART), 0), head_of)
 
-    def names_label(line: Column) -> Column:
-        head = F.regexp_extract(line, regex(LABEL_PART), 0)
-        return fold_case(collapse_spaces(strip(head))).isin(labels)
+    def with_value(found: Column, all_lines: Column) -> Column:
+        rest = found["rest"]
+        value = F.when(
+            F.rlike(rest, F.lit(regex(INLINE_VALUE))),
+            clean_value(F.regexp_extract(rest, regex(INLINE_VALUE), 1)),
+        ).when(
+            F.rlike(rest, F.lit(regex(NO_VALUE))), clean_value(F.get(all_lines, found["line_no"] + 1))
+        )
+        return F.struct(
+            found["line_no"].alias("line_no"), found["label"].alias("label"),
+            found["alias"].alias("alias"), value.alias("raw_value"))
 
     def scan(all_lines: Column) -> Column:
-        numbered = F.transform(all_lines, lambda l, i: F.struct(i.alias("i"), l.alias("l")))
-        named = F.filter(numbered, lambda x: names_label(x["l"]))
-        parsed = F.transform(named, lambda x: parse(x["l"], x["i"], all_lines))
-        return F.filter(parsed, lambda p: p["raw_value"].isNotNull())
+        named = F.filter(F.transform(all_lines, lookup), lambda x: x["alias"].isNotNull())
+        valued = F.transform(named, lambda x: with_value(x, all_lines))
+        return F.filter(valued, lambda x: x["raw_value"].isNotNull())
 
     return bind(lines(text), scan)
 
 
+def alias_map(rules: RuleSet) -> Column:
+    """Literal map from label to its field, orders and kind."""
+    entries = ", ".join(
+        f"{quoted(alias)}, named_struct('field', {quoted(name)}, 'field_ord', {f_ord},"
+        f" 'alias_ord', {a_ord}, 'kind', {quoted(kind)})"
+        for name, f_ord, alias, a_ord, kind in rules.alias_rows
+    )
+    return F.expr(f"map({entries})")
+
+
 def normalized_text(raw: Column, kind: Column) -> Column:
     return F.when(
         kind == "email", F.coalesce(first_email(raw, EMAIL), raw)
@@ -76,17 +93,9 @@ def evidence(text: Column, rules: RuleSet) -> Column:
     Equal evidence is kept once, where it occurs first; evidence without a
     normalised value is dropped.
     """
-    by_label = F.create_map(*[
-        part
-        for name, f_ord, alias, a_ord, kind in rules.alias_rows
-        for part in (F.lit(alias), F.struct(
-            F.lit(name).alias("field"), F.lit(f_ord).alias("field_ord"),
-            F.lit(a_ord).alias("alias_ord"), F.lit(kind).alias("kind"),
-        ))
-    ])
-
     def resolve(line: Column) -> Column:
-        return bind(by_label[line["label"]], lambda a: F.struct(
+        a = line["alias"]
+        return F.struct(
             a["field_ord"].alias("field_ord"),
             a["alias_ord"].alias("alias_ord"),
             line["raw_value"].alias("raw_value"),
@@ -96,7 +105,7 @@ def evidence(text: Column, rules: RuleSet) -> Column:
             a["kind"].alias("kind"),
             normalized_text(line["raw_value"], a["kind"]).alias("text_value"),
             normalized_number(line["raw_value"], a["kind"]).alias("number_value"),
-        ))
+        )
 
     def distinct(hits: Column) -> Column:
         def first_of_run(h: Column, i: Column) -> Column:
@@ -113,7 +122,7 @@ def evidence(text: Column, rules: RuleSet) -> Column:
             h["number_value"].alias("number_value"),
         )))
 
-    hits = F.transform(label_lines(text, [r[2] for r in rules.alias_rows]), resolve)
+    hits = F.transform(label_lines(text, alias_map(rules)), resolve)
     valued = F.filter(hits, lambda h: h["text_value"].isNotNull() | h["number_value"].isNotNull())
     return bind(F.sort_array(valued), distinct)
 

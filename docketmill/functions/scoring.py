@@ -2,66 +2,93 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketmill.functions.text import bind, regex, runs, tokens
+from docketmill.functions.sqltext import double, in_list, quoted
+from docketmill.functions.text import regex
 from docketmill.rules import RuleSet, column_name
 
 
-def pattern_score(text: Column, folded: Column, rules: list[tuple[str, float]], cues: dict) -> Column:
-    """Sum of the weights of the patterns that occur at least once.
+def pattern_score(text: str, folded: str, rules: list[tuple[str, float]], cues: dict) -> str:
+    """SQL for the sum of the weights of the patterns that occur at least once.
 
     A pattern runs only where one of its cues is contained in the folded text; a
     plain substring test is far cheaper than a case-insensitive search.
     """
-    total = F.lit(0.0)
+    terms = [double(0)]
     for pattern, weight in rules:
-        found = F.rlike(text, F.lit(regex(pattern)))
+        found = f"rlike({text}, {quoted(regex(pattern))})"
         if cues.get(pattern):
-            found = reduce(or_, [F.contains(folded, F.lit(c)) for c in cues[pattern]]) & found
-        total = total + F.when(found, F.lit(weight)).otherwise(F.lit(0.0))
-    return total
+            cue = " OR ".join(f"contains({folded}, {quoted(c)})" for c in cues[pattern])
+            found = f"({cue}) AND {found}"
+        terms.append(f"CASE WHEN {found} THEN {double(weight)} ELSE {double(0)} END")
+    return " + ".join(terms)
 
 
-def similarity(text: Column, rules: RuleSet) -> Column:
-    """Cosine between the document and every prototype, one struct field each.
+def prototype_weights(rules: RuleSet) -> str:
+    """SQL of the literal map `token -> [idf, weight in prototype 1, 2, ...]`.
 
-    Sorting the token bag once gives all counts.  A token outside the prototypes
-    has idf 1 and only adds its squared count to the length; the prototype tokens
-    (a fixed, small set) also add to the dot products.  Document length cancels.
+    The prototype vectors have length one.
     """
-    names = [column_name(c) for c in rules.categories]
     vectors = [rules.unit_vectors[c] for c in rules.categories]
-    # token -> [idf, weight in prototype 1, weight in prototype 2, ...]
-    weights = F.create_map(*[
-        part
+    entries = (
+        f"{quoted(token)}, array({', '.join(double(x) for x in (idf, *[v.get(token, 0.0) for v in vectors]))})"
         for token, idf in rules.idf.items()
-        for part in (F.lit(token), F.array(F.lit(idf), *[F.lit(v.get(token, 0.0)) for v in vectors]))
-    ])
-
-    def add_known(acc: Column, run: Column) -> Column:
-        def add(w: Column) -> Column:
-            x = run["cnt"] * w[0]
-            return F.struct(
-                (acc["sq"] + x * x - run["cnt"] * run["cnt"]).alias("sq"),
-                *[(acc[n] + x * w[i + 1]).alias(n) for i, n in enumerate(names)],
-            )
-
-        return bind(weights[run["item"]], add)
-
-    def score(counted: Column) -> Column:
-        square = F.aggregate(counted, F.lit(0.0), lambda acc, r: acc + r["cnt"] * r["cnt"])
-        known = F.filter(counted, lambda r: r["item"].isin(list(rules.idf)))
-        start = F.struct(square.alias("sq"), *[F.lit(0.0).alias(n) for n in names])
-        return bind(F.aggregate(known, start, add_known), lambda s: F.struct(*[
-            F.when(s["sq"] > 0, s[n] / F.sqrt(s["sq"])).otherwise(F.lit(0.0)).alias(n) for n in names
-        ]))
-
-    return bind(runs(F.sort_array(tokens(text))), score)
+    )
+    return f"map({', '.join(entries)})"
+
+
+def known_tokens(tokens: str, rules: RuleSet) -> Column:
+    """`(token, w)` of the tokens that occur in a prototype, with their weights."""
+    return F.expr(f"""
+        transform(
+            filter({tokens}, t -> t IN {in_list(rules.idf)}),
+            t -> named_struct('token', t, 'w', {prototype_weights(rules)}[t]))""")
+
+
+def repeats(tokens: str) -> Column:
+    """The second and later copies of the tokens of a sorted array."""
+    return F.expr(f"filter({tokens}, (t, i) -> t = get({tokens}, i - 1))")
+
+
+def squared_length(tokens: str, repeated: str, known: str) -> Column:
+    """Squared length of the document vector, from its sorted tokens.
+
+    A token outside the prototypes has idf 1, so its square is its squared count:
+    one for every copy, and 2k more for the k-th repetition.  The prototype
+    tokens, a short list, are then corrected by `idf^2 - 1` for copy k times 2k-1.
+    """
+    start = F.struct(F.lit("").alias("token"), F.lit(0).alias("nth"), F.lit(0.0).alias("total"))
+
+    def count(acc: Column, token: Column, first: Column, later) -> Column:
+        return F.when(token == acc["token"], F.struct(
+            token.alias("token"), (acc["nth"] + 1).alias("nth"),
+            (acc["total"] + later(acc["nth"] + 1)).alias("total"),
+        )).otherwise(F.struct(
+            token.alias("token"), F.lit(1).alias("nth"), (acc["total"] + first).alias("total")))
+
+    repetitions = F.aggregate(
+        repeated, start,
+        lambda acc, t: count(acc, t, F.lit(2), lambda n: n * 2),
+        lambda acc: acc["total"],
+    )
+
+    def correct(acc: Column, k: Column) -> Column:
+        extra = k["w"][0] * k["w"][0] - 1
+        return count(acc, k["token"], extra, lambda n: (n * 2 - 1) * extra)
+
+    corrections = F.aggregate(known, start, correct, lambda acc: acc["total"])
+    return F.size(tokens) + repetitions + corrections
+
+
+def dot_products(known: str, rules: RuleSet) -> Column:
+    """Inner product of the document with every prototype vector, one struct field each."""
+    names = [column_name(c) for c in rules.categories]
+    start = F.struct(*[F.lit(0.0).alias(n) for n in names])
+    return F.aggregate(known, start, lambda acc, k: F.struct(*[
+        (acc[n] + k["w"][0] * k["w"][i + 1]).alias(n) for i, n in enumerate(names)
+    ]))
 
 
 def share_of_best(scores: list[Column]) -> list[Column]:

@@ -5,28 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketmill.functions.sqltext import in_list, quoted
 from docketmill.functions.text import SUMMARY_WORD, bind, runs
 from docketmill.rules import RuleSet
 
 
-def summary_tokens(sentence: Column, rules: RuleSet) -> Column:
-    """Lower-cased words of a sentence without stopwords and words of one or two letters."""
-    found = F.regexp_extract_all(sentence, F.lit(SUMMARY_WORD), F.lit(0))
-    return F.filter(F.transform(found, F.lower), lambda t: (F.length(t) > 2) & ~t.isin(sorted(rules.stopwords)))
+def token_occurrences(sentences: str, rules: RuleSet) -> Column:
+    """`(token, sent)` for every word of the sentences that counts: lower case, at
+    least three letters, not a stopword."""
+    return F.expr(f"""
+        flatten(transform({sentences}, (s, i) -> transform(
+            filter(
+                transform(regexp_extract_all(s, {quoted(SUMMARY_WORD)}, 0), w -> lower(w)),
+                t -> length(t) > 2 AND t NOT IN {in_list(sorted(rules.stopwords))}),
+            t -> named_struct('token', t, 'sent', i))))""")
 
 
-def sentence_scores(sentences: Column, rules: RuleSet) -> Column:
+def sentence_scores(occurrences: Column) -> Column:
     """`(sent, score, words)` of every sentence with at least one token, in order.
 
     The score is the mean document frequency of the sentence's tokens: a whole
     number divided by a whole number, so equal scores compare as equal.  Dividing
     by the document's largest frequency would not change the order.
     """
-    occurrences = F.flatten(F.transform(
-        sentences,
-        lambda s, i: F.transform(
-            summary_tokens(s, rules), lambda t: F.struct(t.alias("token"), i.alias("sent"))),
-    ))
 
     def with_counts(occ: Column) -> Column:
         by_token = runs(F.transform(occ, lambda o: o["token"]))

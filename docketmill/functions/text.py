@@ -167,12 +167,7 @@ def round_half_even(x: Column, scale: int = 4) -> Column:
     both exact, so the comparison with the midpoint is exact as well.
     """
     unit = float(10**scale)
-
-    def pick(v: Column) -> Column:
-        k = F.floor(v * unit).cast("double")
-        high = v.cast("float").cast("double")
-        above = (high * (2 * unit) - (2 * k + 1)) + (v - high) * (2 * unit)
-        up = (above > 0) | ((above == 0) & (k % 2 == 1))
-        return F.when(up, k + 1).otherwise(k) / unit
-
-    return bind(x, pick)
+    k = F.floor(x * unit).cast("double")
+    high = x.cast("float").cast("double")
+    above = (high * (2 * unit) - (k * 2 + 1)) + (x - high) * (2 * unit)
+    return F.when((above > 0) | ((above == 0) & (k % 2 == 1)), k + 1).otherwise(k) / unit

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketmill.functions import scoring
-from docketmill.functions.text import fold_case, round_half_even
+from docketmill.functions.text import fold_case, round_half_even, tokens
 from docketmill.rules import DEFAULT_RULES, UNKNOWN, RuleSet, column_name
 
 SCORE_KINDS = ("scores", "alias_scores", "tfidf_scores", "structural_scores")
@@ -24,35 +24,58 @@ def _named(values, rules: RuleSet):
     return F.struct(*[v.alias(column_name(c)) for v, c in zip(values, rules.categories)])
 
 
-def _pattern_scores(docs: DataFrame, rules: RuleSet, text: str, name: str, table: dict) -> DataFrame:
-    df = docs.withColumn("_folded", fold_case(F.col(text)))
-    values = [
-        scoring.pattern_score(F.col(text), F.col("_folded"), table.get(c, []), rules.cues)
+def _folded(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn("_folded", fold_case(F.col(text)))
+
+
+def _pattern_scores(table: dict, rules: RuleSet, text: str):
+    return _named([
+        F.expr(scoring.pattern_score(f"`{text}`", "_folded", table.get(c, []), rules.cues))
         for c in rules.categories
-    ]
-    return df.withColumn(name, _named(values, rules)).drop("_folded")
+    ], rules)
 
 
 def alias_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add `alias_scores`: one weight sum of phrase rules per category."""
-    return _pattern_scores(docs, rules, text, "alias_scores", rules.phrase_rules)
+    values = _pattern_scores(rules.phrase_rules, rules, text)
+    return _folded(docs, text).withColumn("alias_scores", values).drop("_folded")
 
 
 def structural_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add `structural_scores`: one weight sum of layout rules per category."""
-    return _pattern_scores(docs, rules, text, "structural_scores", rules.layout_rules)
+    values = _pattern_scores(rules.layout_rules, rules, text)
+    return _folded(docs, text).withColumn("structural_scores", values).drop("_folded")
 
 
 def tfidf_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
-    """Add `tfidf_scores`: cosine similarity to each category's prototype."""
-    return docs.withColumn("tfidf_scores", scoring.similarity(F.col(text), rules))
+    """Add `tfidf_scores`: cosine similarity to each category's prototype.
+
+    The length of the document cancels out of the cosine, so plain counts are used.
+    """
+    df = docs.withColumn("_tokens", F.sort_array(tokens(F.col(text))))
+    df = df.withColumns({
+        "_known": scoring.known_tokens("_tokens", rules),
+        "_repeated": scoring.repeats("_tokens"),
+    })
+    df = df.withColumns({
+        "_square": scoring.squared_length("_tokens", "_repeated", "_known"),
+        "_dots": scoring.dot_products("_known", rules),
+    })
+    cosines = [
+        F.when(F.col("_square") > 0, dot / F.sqrt("_square")).otherwise(F.lit(0.0))
+        for dot in _struct(df, "_dots", rules)
+    ]
+    return df.withColumn("tfidf_scores", _named(cosines, rules)).drop(
+        "_tokens", "_known", "_repeated", "_square", "_dots")
 
 
 def combined_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add the three score kinds and their weighted combination `scores`."""
-    df = alias_scores(docs, rules, text)
+    df = _folded(docs, text).withColumns({
+        "alias_scores": _pattern_scores(rules.phrase_rules, rules, text),
+        "structural_scores": _pattern_scores(rules.layout_rules, rules, text),
+    }).drop("_folded")
     df = tfidf_scores(df, rules, text)
-    df = structural_scores(df, rules, text)
     alias, tfidf, layout = (
         scoring.share_of_best(_struct(df, kind, rules))
         for kind in ("alias_scores", "tfidf_scores", "structural_scores")
@@ -75,15 +98,18 @@ def classify(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text"
     top = -F.col("_rank")[0]["neg"]
     second = -F.col("_rank")[1]["neg"] if len(rules.categories) > 1 else F.lit(0.0)
     weak = (top < F.lit(rules.min_top_score)) | (top - second < F.lit(rules.min_margin))
+    values = [v for kind in SCORE_KINDS for v in _struct(df, kind, rules)]
     df = df.withColumns({
         "best_match": F.col("_rank")[0]["category"],
         "category": F.when(weak, F.lit(UNKNOWN)).otherwise(F.col("_rank")[0]["category"]),
-        "confidence": round_half_even(top - second),
+        "_rounded": F.transform(F.array(top - second, *values), lambda v: round_half_even(v)),
     })
+    n = len(rules.categories)
     rounded = {
-        kind: _named([round_half_even(v) for v in _struct(df, kind, rules)], rules) for kind in SCORE_KINDS
+        kind: _named([F.col("_rounded")[1 + n * k + i] for i in range(n)], rules)
+        for k, kind in enumerate(SCORE_KINDS)
     }
-    return df.withColumns(rounded).drop("_rank")
+    return df.withColumns({"confidence": F.col("_rounded")[0], **rounded}).drop("_rank", "_rounded")
 
 
 def flat_scores(docs: DataFrame, kinds=SCORE_KINDS, rules: RuleSet = DEFAULT_RULES) -> list:

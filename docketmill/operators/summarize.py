@@ -20,7 +20,8 @@ def sentence_scores(
 ) -> DataFrame:
     """One row per sentence with tokens: `(key, sent_no, score, words)`."""
     listed = docs.select(key, T.sentences(F.col(text)).alias("_sentences"))
-    scored = listed.select(key, F.explode(S.sentence_scores(F.col("_sentences"), rules)).alias("s"))
+    scores = S.sentence_scores(S.token_occurrences("_sentences", rules))
+    scored = listed.select(key, F.explode(scores).alias("s"))
     return scored.select(
         key, F.col("s.sent").alias("sent_no"), F.col("s.score").alias("score"), F.col("s.words").alias("words"))
 
@@ -32,7 +33,7 @@ def summarize(
     df = docs.withColumn("_sentences", T.sentences(F.col(text)))
     # Short texts keep every sentence; do not score them.
     scores = F.when(
-        F.size("_sentences") > num_sentences, S.sentence_scores(F.col("_sentences"), rules)
+        F.size("_sentences") > num_sentences, S.sentence_scores(S.token_occurrences("_sentences", rules))
     )
     df = df.withColumn("_scores", F.coalesce(scores, F.array().cast("array<struct<sent:int,score:double,words:int>>")))
     out = S.top_sentences(F.col("_sentences"), F.col("_scores"), num_sentences)
