@@ -5,25 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketmill.functions.text import bind
-
 
 def string(value: Column) -> Column:
-    """A quoted and escaped JSON string; NULL stays NULL."""
-    return bind(F.to_json(F.array(value)), lambda j: F.when(
-        j != "[null]", F.substr(j, F.lit(2), F.length(j) - 2)))
+    """A quoted and escaped JSON string, or `null`."""
+    return F.btrim(F.to_json(F.array(value)), F.lit("[]"))
 
 
 def number(value: Column) -> Column:
-    """A double in positional notation below 1e16, otherwise as `1.5e+16`."""
-
-    def show(v: Column) -> Column:
-        plain = F.regexp_replace(v.try_cast("decimal(38,18)").cast("string"), r"0+$", "")
-        plain = F.regexp_replace(plain, r"\.$", ".0")
-        big = F.regexp_replace(F.regexp_replace(v.cast("string"), r"\.0E", "E"), "E", "e+")
-        return F.when(F.abs(v) < 1e16, plain).otherwise(big)
-
-    return bind(value, show)
+    """A double in positional notation below 1e16, otherwise as `1.5e+16`, or `null`."""
+    plain = value.cast("string")  # positional in this range
+    digits = F.rtrim(value.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    positional = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    scientific = F.replace(F.replace(plain, F.lit(".0E"), F.lit("E")), F.lit("E"), F.lit("e+"))
+    return (
+        F.when(value.isNull(), F.lit("null"))
+        .when((value == 0) | ((value >= 1e-3) & (value < 1e7)), plain)
+        .when(F.abs(value) < 1e16, positional)
+        .otherwise(scientific)
+    )
 
 
 def array(parts: Column) -> Column:
@@ -32,7 +31,8 @@ def array(parts: Column) -> Column:
 
 
 def entry(key: Column, value: Column) -> Column:
-    return F.concat(string(key), F.lit(": "), F.coalesce(value, F.lit("null")))
+    """`"key": value` for a key without characters that need escaping."""
+    return F.concat(F.lit('"'), key, F.lit('": '), value)
 
 
 def object_of(entries: Column) -> Column:
@@ -41,28 +41,8 @@ def object_of(entries: Column) -> Column:
 
 
 def record(pairs: list[tuple[str, Column]]) -> Column:
-    """An object with a fixed key list from JSON texts; NULL is written as `null`."""
-    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(v, F.lit("null"))) for k, v in pairs]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
-
-
-def typed_record(fields: list[tuple[str, str, Column]]) -> Column:
-    """An object from `(key, kind, value)`, kind being `string`, `number` or `json`.
-
-    Values of a kind are encoded together, by one lambda each.
-    """
-    encode = {"string": string, "number": number}
-    names = {kind: [k for k, t, _ in fields if t == kind] for kind in encode}
-    encoded = {
-        kind: F.transform(F.array(*[v for _, t, v in fields if t == kind]), encode[kind])
-        for kind in encode if names[kind]
-    }
-
-    def assemble(texts: Column) -> Column:
-        return record([
-            (k, v if t == "json" else texts[t][names[t].index(k)]) for k, t, v in fields
-        ])
-
-    if not encoded:
-        return record([(k, v) for k, _, v in fields])
-    return bind(F.struct(*[a.alias(kind) for kind, a in encoded.items()]), assemble)
+    """An object with a fixed key list from JSON texts."""
+    parts = []
+    for i, (key, value) in enumerate(pairs):
+        parts += [F.lit(("{" if i == 0 else ", ") + f'"{key}": '), value]
+    return F.concat(*parts, F.lit("}"))

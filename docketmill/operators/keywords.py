@@ -46,9 +46,8 @@ def _value_json(hit: Column) -> Column:
         jsontext.string(hit["text_value"]))
 
 
-def _field_json(hits: Column) -> Column:
-    values = F.transform(hits, _value_json)
-    return T.bind(values, lambda v: F.when(F.size(v) == 1, v[0]).otherwise(jsontext.array(v)))
+def _field_json(values: Column) -> Column:
+    return F.when(F.size(values) == 1, values[0]).otherwise(jsontext.array(values))
 
 
 def _hit_json(hit: Column) -> Column:
@@ -59,28 +58,39 @@ def _hit_json(hit: Column) -> Column:
     ])
 
 
+def _groups(docs: DataFrame, rules: RuleSet, text: str) -> DataFrame:
+    """Add `_groups`: per field its name and the JSON texts of its values."""
+
+    def encode(group: Column) -> Column:
+        return F.struct(
+            group["field"].alias("field"),
+            F.transform(group["hits"], _value_json).alias("values"),
+            F.transform(group["hits"], _hit_json).alias("hits"),
+        )
+
+    return with_evidence(docs, rules, text).withColumn(
+        "_groups", F.transform(L.by_field(F.col("evidence")), encode))
+
+
 def keyword_fields(
     docs: DataFrame, rules: RuleSet = DEFAULT_RULES, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document and field; `value` is the JSON scalar, or list for several hits."""
-    found = with_evidence(docs.select(key, text), rules, text)
-    grouped = found.select(key, F.explode(L.by_field(F.col("evidence"))).alias("g"))
+    grouped = _groups(docs.select(key, text), rules, text).select(key, F.explode("_groups").alias("g"))
     return grouped.select(
         key,
         F.col("g.field").alias("field"),
-        F.size("g.hits").alias("hits"),
-        _field_json(F.col("g.hits")).alias("value"),
+        F.size("g.values").alias("hits"),
+        _field_json(F.col("g.values")).alias("value"),
     )
 
 
 def keyword_cells(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add the JSON cells `keyword_fields` and `keyword_matches` of each document."""
-    df = with_evidence(docs, rules, text).withColumn("_groups", L.by_field(F.col("evidence")))
-    groups = F.col("_groups")
+    df = _groups(docs, rules, text)
     return df.withColumns({
         "keyword_fields": jsontext.object_of(F.transform(
-            groups, lambda g: jsontext.entry(g["field"], _field_json(g["hits"])))),
+            "_groups", lambda g: jsontext.entry(g["field"], _field_json(g["values"])))),
         "keyword_matches": jsontext.object_of(F.transform(
-            groups, lambda g: jsontext.entry(
-                g["field"], jsontext.array(F.transform(g["hits"], _hit_json))))),
+            "_groups", lambda g: jsontext.entry(g["field"], jsontext.array(g["hits"])))),
     }).drop("_groups")

@@ -80,7 +80,7 @@ def document_id(location: Column, text: Column) -> Column:
 
 
 def score_cell(scores: Column, rules: RuleSet) -> Column:
-    return jsontext.typed_record([(c, "number", scores[column_name(c)]) for c in rules.categories])
+    return jsontext.record([(c, jsontext.number(scores[column_name(c)])) for c in rules.categories])
 
 
 def utc_seconds(ts: Column) -> Column:
@@ -126,18 +126,21 @@ def json_lines(records: DataFrame) -> DataFrame:
     location keys.
     """
 
-    def field(name: str) -> tuple[str, str, Column]:
+    def cell(name: str) -> Column:
         if name in JSON_CELLS:
-            return name, "json", F.col(name)
+            return F.col(name)
         if name in INTEGERS:
-            return name, "json", F.col(name).cast("string")
-        return name, "number" if name == "confidence" else "string", F.col(name)
+            return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+        if name == "confidence":
+            return jsontext.number(F.col(name))
+        return jsontext.string(F.col(name))
 
     local_keys = ["source_path" if k == "source_bucket" else k for k in JSON_KEYS if k not in ("source_key", "s3_uri")]
-    uploaded = jsontext.typed_record([field(k) for k in JSON_KEYS])
-    local = jsontext.typed_record([field(k) for k in local_keys])
+    uploaded = jsontext.record([(k, cell(k)) for k in JSON_KEYS])
+    local = jsontext.record([(k, cell(k)) for k in local_keys])
     return records.select(
         "document_id",
+        "source_key",
         F.when(F.col("source_path").isNotNull() & F.col("s3_uri").isNull(), local).otherwise(uploaded).alias("value"),
     )
 

@@ -1,0 +1,18 @@
+"""Parallelism for small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Hash documents over all cores when they come from fewer files than cores.
+
+    Tagging is bound by CPU, and a corpus in a few files, or one that a small
+    shuffle has merged, would run on a few cores.  A corpus in many files already
+    has enough splits and is left alone: its texts are not shuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if len(docs.inputFiles()) >= cores:
+        return docs
+    return docs.repartition(2 * cores, key)

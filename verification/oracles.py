@@ -516,7 +516,7 @@ SELECT document_id, filename, source_bucket, source_key, '' AS source_path, s3_u
   {CONFIDENCE_TEXT} AS confidence, num_pages::VARCHAR AS num_pages, char_count::VARCHAR AS char_count, extractor, summary,
   metadata, keyword_fields, keyword_matches, category_scores, category_alias_scores, category_tfidf_scores,
   category_structural_scores FROM recs""",
-    "records_json": with_(RECORDS) + f"SELECT document_id, {JSON_RECORD} AS value FROM recs",
+    "records_json": with_(RECORDS) + f"SELECT document_id, source_key, {JSON_RECORD} AS value FROM recs",
     "processed_list": with_(RECORDS) + "SELECT document_id, filename, category FROM recs",
     "audit_view": with_(RECORDS) + """
 SELECT document_id, filename, category, confidence, array_to_string(json_keys(metadata), ',') AS metadata_keys,

@@ -14,6 +14,7 @@ from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
 from docketmill.rules import EMAIL
 from docketmill.sources import business_text, uploads
+from docketmill.sources.spread import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,12 +22,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def business(spark, sf) -> DataFrame:
     names = ("lineitem", "orders", "customer", "nation", "region")
-    return business_text.business_documents({n: table(spark, sf, n) for n in names})
+    return spread(business_text.business_documents({n: table(spark, sf, n) for n in names}))
 
 
 def invoices(spark, sf) -> DataFrame:
@@ -309,9 +310,7 @@ def rejects(spark, sf):
 
 def output_parity(spark, sf):
     done = pages.accepted(_chat_outcomes(spark, sf))
-    csv = records.csv_rows(done)
-    lines_ = records.json_lines(done).select(F.get_json_object("value", "$.source_key").alias("source_key"))
-    return reports.output_parity(chat_uploads(spark, sf), csv, lines_)
+    return reports.output_parity(chat_uploads(spark, sf), records.csv_rows(done), records.json_lines(done))
 
 
 QUERIES = {
