@@ -1,0 +1,197 @@
+import csv
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from docketmill.operators import pages as P
+from docketmill.operators import reports
+from docketmill.plans import pipeline
+from docketmill.plans.records import CSV_COLUMNS, JSON_KEYS
+from docketmill.sources import sinks, uploads
+from docketmill.streaming import arrivals
+from fixtures import CATEGORY, KEYWORDS, METADATA, TEXTS
+
+BUCKET = "inbox"
+
+
+def event(*keys):
+    return (json.dumps({"Records": [{"s3": {"bucket": {"name": BUCKET}, "object": {"key": k}}} for k in keys]}),)
+
+
+def page_rows(extra=()):
+    rows = []
+    for name, text in TEXTS.items():
+        lines = text.split("\n")
+        rows += [(f"in/{name}.pdf", 0, "\n".join(lines[:6])), (f"in/{name}.pdf", 1, "\n".join(lines[6:]))]
+    return rows + list(extra)
+
+
+@pytest.fixture(scope="module")
+def finished(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("run"))
+    quoted = 'Nöte "A", b\nSay: "yes"\nRegion: \\x, ü'
+    events = spark.createDataFrame(
+        [event(*[f"in/{n}.pdf" for n in TEXTS]), event("in/notes.txt", "in/gone.pdf"),
+         event("in/blank.pdf", "in/%22q%22%2C+x.PDF"), event("in/invoice_001.pdf")], "body string")
+    pages = spark.createDataFrame(
+        page_rows([("in/blank.pdf", 0, " "), ('in/"q", x.PDF', 0, quoted)]), uploads.PAGE_SCHEMA)
+    done, bad = pipeline.process_uploads(events, pages, out)
+    return out, done, bad
+
+
+def test_six_documents_end_to_end(finished):
+    _, done, _ = finished
+    rows = {r["filename"][:-4]: r for r in done.collect()}
+    for name in TEXTS:
+        r = rows[name]
+        assert r["category"] == r["best_category_match"] == CATEGORY[name]
+        assert list(json.loads(r["metadata"]).items()) == list(METADATA[name].items())
+        assert list(json.loads(r["keyword_fields"]).items()) == list(KEYWORDS[name].items())
+        assert (r["num_pages"], r["char_count"], r["s3_uri"]) == (2, len(TEXTS[name]), f"s3://{BUCKET}/in/{name}.pdf")
+        assert json.loads(r["category_scores"])[CATEGORY[name]] == 1.0
+    counts = {}
+    for name in TEXTS:
+        counts[rows[name]["category"]] = counts.get(rows[name]["category"], 0) + 1
+    assert counts == {"Invoice": 2, "Sales Report": 2, "Customer Application": 2}
+
+
+def test_failures_are_kept_apart_and_repeats_count_once(finished):
+    _, done, bad = finished
+    assert {(r["source_key"], r["error"]) for r in bad.collect()} == {
+        ("in/gone.pdf", P.MISSING), ("in/blank.pdf", P.NO_TEXT)}
+    ids = [r["document_id"] for r in done.select("document_id").collect()]
+    assert len(ids) == len(set(ids)) == 7
+
+
+def test_csv_and_json_agree_with_the_records(spark, finished):
+    out, done, _ = finished
+    rows = {r["document_id"]: r.asDict() for r in done.collect()}
+    from_csv = {r["document_id"]: r.asDict() for r in sinks.read_csv(spark, f"{out}/results/csv").collect()}
+    assert from_csv == rows
+    from_json = {}
+    for path in glob.glob(f"{out}/results/json/part-*"):
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                record = json.loads(line)
+                assert list(record) == JSON_KEYS
+                from_json[record["document_id"]] = record
+    assert from_json.keys() == rows.keys()
+    for key, record in from_json.items():
+        for name, value in record.items():
+            expected = rows[key][name]
+            assert (json.loads(expected) if isinstance(value, dict) else expected) == value
+    reread = {r["document_id"]: r["category"] for r in sinks.read_json(spark, f"{out}/results/json").collect()}
+    assert reread == {k: v["category"] for k, v in rows.items()}
+
+
+def test_python_reads_the_csv(finished):
+    out, _, _ = finished
+    seen = 0
+    for path in glob.glob(f"{out}/results/csv/part-*"):
+        with open(path, encoding="utf-8", newline="") as f:
+            for row in csv.DictReader(f):
+                seen += 1
+                assert list(row) == CSV_COLUMNS and row["source_path"] == ""
+                json.loads(row["keyword_matches"])
+    assert seen == 7
+
+
+def test_reports(spark, finished):
+    out, done, bad = finished
+    inputs = done.select("source_key").union(bad.select("source_key"))
+    gaps = reports.output_parity(
+        inputs, sinks.read_csv(spark, f"{out}/results/csv"), sinks.read_json(spark, f"{out}/results/json"))
+    assert {r["source_key"] for r in gaps.collect()} == {"in/gone.pdf", "in/blank.pdf"}
+    audit = {r["filename"]: r for r in reports.audit_view(done).collect()}
+    assert audit["invoice_001.pdf"]["metadata_keys"].split(",") == list(METADATA["invoice_001"])
+    assert audit["invoice_001.pdf"]["keyword_field_keys"].split(",") == list(KEYWORDS["invoice_001"])
+    outcomes = done.select(F.lit(None).cast("string").alias("error")).union(bad.select("error"))
+    assert reports.run_summary(outcomes).first().asDict() == {
+        "received": 9, "processed": 7, "failed": 2, "status_code": 207}
+    names = [r["filename"] for r in reports.by_filename(done).collect()]
+    assert names == sorted(names)
+
+
+def test_without_a_path_nothing_is_written(spark):
+    docs = spark.createDataFrame([("a.pdf", "b", TEXTS["invoice_001"])], "source_key string, source_bucket string, text string")
+    done, bad = pipeline.run(P.from_text(docs))
+    assert done.first()["category"] == "Invoice" and bad.count() == 0
+
+
+def test_ids_depend_on_place_and_content_only(spark):
+    def ids(*rows):
+        docs = spark.createDataFrame(rows, "source_key string, source_bucket string, text string")
+        return [r["document_id"] for r in pipeline.records(P.from_text(docs)).collect()]
+
+    first = ids(("a.pdf", "b", "some text"))
+    assert first == ids(("a.pdf", "b", "some text"))
+    assert len(first[0]) == 36 and first != ids(("a.pdf", "b", "other text")) != ids(("c.pdf", "b", "other text"))
+
+
+def test_local_files_keep_their_path(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in TEXTS.items():
+        (tmp_path / "in" / f"{name}.txt").write_text(text, encoding="utf-8")
+    done, _ = pipeline.process_texts(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    rows = done.collect()
+    assert {r["filename"] for r in rows} == {f"{n}.txt" for n in TEXTS}
+    assert all(r["source_path"].endswith(r["filename"]) and r["s3_uri"] is None for r in rows)
+    lines = [json.loads(line) for p in glob.glob(f"{tmp_path}/out/results/json/part-*") for line in open(p, encoding="utf-8")]
+    assert all("source_path" in x and "s3_uri" not in x for x in lines) and len(lines) == 6
+
+
+def test_manifest_finds_pdfs_in_any_case(spark, tmp_path):
+    for name in ("a.pdf", "b.PDF", "c.txt", "sub/d.Pdf"):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(b"12345")
+    df = uploads.read_manifest(spark, str(tmp_path), BUCKET)
+    assert {(os.path.basename(r["source_key"]), r["length"]) for r in df.collect()} == {
+        ("a.pdf", 5), ("b.PDF", 5), ("d.Pdf", 5)}
+
+
+def test_stream_processes_new_files_once(spark, tmp_path):
+    source, out, ckpt = (str(tmp_path / n) for n in ("pages", "out", "ckpt"))
+    rows = page_rows([("in/blank.pdf", 0, None)])
+    schema = uploads.PAGE_SCHEMA
+    spark.createDataFrame(rows[:4], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def drain():
+        stream = arrivals.page_stream(spark, source, files_per_trigger=1)
+        arrivals.run_stream(stream, source, out, BUCKET, ckpt).awaitTermination(180)
+        done, bad = arrivals.read_stream_results(spark, out)
+        return {r["filename"] for r in done.collect()}, done.count(), bad.count()
+
+    assert drain() == ({"invoice_001.pdf", "invoice_002.pdf"}, 2, 0)
+    assert drain()[1:] == (2, 0)
+    spark.createDataFrame(rows[4:], schema).coalesce(1).write.mode("append").parquet(source)
+    names, done, bad = drain()
+    assert (len(names), done, bad) == (6, 6, 1)
+    assert sinks.read_csv(spark, f"{out}/results/csv").count() == 6
+
+
+def test_event_stream_drops_repeats(spark, tmp_path):
+    source = tmp_path / "events"
+    source.mkdir()
+
+    def body(key):
+        return json.dumps({"Records": [{"eventTime": "2025-01-01T00:00:00Z", "s3": {
+            "bucket": {"name": BUCKET}, "object": {"key": key}}}]})
+
+    for i, key in enumerate(["a.pdf", "a.pdf", "b.pdf", "c.txt"]):
+        (source / f"{i}.json").write_text(body(key))
+    stream = arrivals.event_stream(spark, str(source), files_per_trigger=1)
+    query = stream.writeStream.format("memory").queryName("uploads_seen").option(
+        "checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert sorted(r["source_key"] for r in spark.table("uploads_seen").collect()) == ["a.pdf", "b.pdf"]
+
+
+def test_results_must_not_feed_the_input():
+    with pytest.raises(ValueError):
+        arrivals.assert_no_loop("/data/in", "file:///data/in/results")
+    arrivals.assert_no_loop("/data/in", "/data/inbox")
+    arrivals.assert_no_loop("s3://a/in", "s3://b/in/x")
