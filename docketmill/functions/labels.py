@@ -7,6 +7,8 @@ label.  One lookup per line therefore replaces one search per label and line.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,10 +27,17 @@ def label_key(head: Column) -> Column:
     return fold_case(collapse_spaces(strip(head)))
 
 
-def label_lines(text: Column, labels: Column) -> Column:
+def starts_like_label(labels: list[str]) -> str:
+    """Pattern of lines that begin with the first word of a label; most do not."""
+    first = sorted({label.split(" ")[0] for label in labels})
+    return r"^\s*(?:" + "|".join(re.escape(w) for w in first) + ")"
+
+
+def label_lines(text: Column, labels: Column, names: list[str]) -> Column:
     """`(line_no, label, alias, raw_value)` of the lines that name a key of `labels`.
 
-    The value follows the label on its line; only a label that stands alone
+    `names` are those keys; lines that start with none of their first words are
+    passed over at once.  The value follows the label on its line; only a label that stands alone
     takes the next line instead, which may itself be a label.
     """
 
@@ -56,8 +65,13 @@ def label_lines(text: Column, labels: Column) -> Column:
             found["line_no"].alias("line_no"), found["label"].alias("label"),
             found["alias"].alias("alias"), value.alias("raw_value"))
 
+    likely = F.lit(regex(starts_like_label(names)))
+
     def scan(all_lines: Column) -> Column:
-        named = F.filter(F.transform(all_lines, lookup), lambda x: x["alias"].isNotNull())
+        numbered = F.transform(all_lines, lambda l, i: F.struct(i.alias("i"), l.alias("l")))
+        candidates = F.filter(numbered, lambda x: F.rlike(x["l"], likely))
+        named = F.filter(
+            F.transform(candidates, lambda x: lookup(x["l"], x["i"])), lambda x: x["alias"].isNotNull())
         valued = F.transform(named, lambda x: with_value(x, all_lines))
         return F.filter(valued, lambda x: x["raw_value"].isNotNull())
 
@@ -122,7 +136,7 @@ def evidence(text: Column, rules: RuleSet) -> Column:
             h["number_value"].alias("number_value"),
         )))
 
-    hits = F.transform(label_lines(text, alias_map(rules)), resolve)
+    hits = F.transform(label_lines(text, alias_map(rules), [r[2] for r in rules.alias_rows]), resolve)
     valued = F.filter(hits, lambda h: h["text_value"].isNotNull() | h["number_value"].isNotNull())
     return bind(F.sort_array(valued), distinct)
 

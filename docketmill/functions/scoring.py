@@ -6,19 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketmill.functions.sqltext import double, in_list, quoted
-from docketmill.functions.text import regex
+from docketmill.functions.text import ascii_regex, regex
 from docketmill.rules import RuleSet, column_name
 
 
-def pattern_score(text: str, folded: str, rules: list[tuple[str, float]], cues: dict) -> str:
+def pattern_score(text: str, folded: str, plain: str, rules: list[tuple[str, float]], cues: dict) -> str:
     """SQL for the sum of the weights of the patterns that occur at least once.
 
-    A pattern runs only where one of its cues is contained in the folded text; a
-    plain substring test is far cheaper than a case-insensitive search.
+    A pattern runs only where one of its cues is contained in the folded text, as
+    a plain substring test is far cheaper than a search.  Where the text is plain
+    ASCII, the search runs on the folded text and need not ignore case.
     """
     terms = [double(0)]
     for pattern, weight in rules:
         found = f"rlike({text}, {quoted(regex(pattern))})"
+        fast = ascii_regex(pattern)
+        if fast:
+            found = f"CASE WHEN {plain} THEN rlike({folded}, {quoted(fast)}) ELSE {found} END"
         if cues.get(pattern):
             cue = " OR ".join(f"contains({folded}, {quoted(c)})" for c in cues[pattern])
             found = f"({cue}) AND {found}"
@@ -26,17 +30,20 @@ def pattern_score(text: str, folded: str, rules: list[tuple[str, float]], cues:
     return " + ".join(terms)
 
 
-def prototype_weights(rules: RuleSet) -> str:
-    """SQL of the literal map `token -> [idf, weight in prototype 1, 2, ...]`.
+def token_weights(token: str, rules: RuleSet) -> str:
+    """SQL of `[idf, weight in prototype 1, 2, ...]` of a token, unit length vectors.
 
-    The prototype vectors have length one.
+    Few different weights occur, so this is a short list of set tests.
     """
     vectors = [rules.unit_vectors[c] for c in rules.categories]
-    entries = (
-        f"{quoted(token)}, array({', '.join(double(x) for x in (idf, *[v.get(token, 0.0) for v in vectors]))})"
-        for token, idf in rules.idf.items()
+    groups: dict[tuple[float, ...], list[str]] = {}
+    for t, idf in rules.idf.items():
+        groups.setdefault((idf, *[v.get(t, 0.0) for v in vectors]), []).append(t)
+    cases = " ".join(
+        f"WHEN {token} IN {in_list(members)} THEN array({', '.join(double(w) for w in weights)})"
+        for weights, members in groups.items()
     )
-    return f"map({', '.join(entries)})"
+    return f"CASE {cases} END"
 
 
 def known_tokens(tokens: str, rules: RuleSet) -> Column:
@@ -44,7 +51,7 @@ def known_tokens(tokens: str, rules: RuleSet) -> Column:
     return F.expr(f"""
         transform(
             filter({tokens}, t -> t IN {in_list(rules.idf)}),
-            t -> named_struct('token', t, 'w', {prototype_weights(rules)}[t]))""")
+            t -> named_struct('token', t, 'w', {token_weights('t', rules)}))""")
 
 
 def repeats(tokens: str) -> Column:

@@ -30,7 +30,7 @@ _SPACE_CLASS = r"[\s\x1c-\x1f]"
 _INLINE_SPACE_CLASS = r"[\s\x1c-\x1f&&[^\n]]"
 
 
-def regex(pattern: str, ignore_case: bool = True) -> str:
+def regex(pattern: str, ignore_case: bool = True, ascii_only: bool = False) -> str:
     """Java form of a rule pattern with Unicode classes and `\\n`-only line ends.
 
     Two rewrites keep the search linear on long texts and never change whether
@@ -38,11 +38,11 @@ def regex(pattern: str, ignore_case: bool = True) -> str:
     first B after it, ..." with atomic groups, and white space at the start of a
     line is matched from the last line start it spans.
     """
-    flags = "dU" + ("i" if ignore_case else "")
+    flags = ("d" if ascii_only else "dU") + ("i" if ignore_case else "")
     own = re.match(r"\(\?([a-z]+)\)", pattern)
     if own:
         pattern = pattern[own.end():]
-        flags += "".join(f for f in own.group(1) if f not in flags)
+        flags += "".join(f for f in own.group(1) if f not in flags and (ignore_case or f != "i"))
     if "s" in flags and ".+" in pattern:
         first, *rest = pattern.split(".+")
         pattern = rf"\A(?>.*?{first})" + "".join(f"(?>.+?{part})" for part in rest)
@@ -51,6 +51,20 @@ def regex(pattern: str, ignore_case: bool = True) -> str:
     return f"(?{flags})" + pattern.replace(r"\s", _SPACE_CLASS)
 
 
+def ascii_regex(pattern: str) -> str | None:
+    """Form for ASCII text in lower case, several times faster than ignoring case.
+
+    None where lower case would change the meaning of an escape such as `\\D`.
+    """
+    if re.search(r"\\[A-Z]", pattern):
+        return None
+    return regex(pattern.lower(), ignore_case=False, ascii_only=True)
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def bind(value: Column, body) -> Column:
     """Evaluate `value` once and use it in `body`, as a `let` would."""
     return F.transform(F.array(value), body)[0]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketmill.functions import scoring
-from docketmill.functions.text import fold_case, round_half_even, tokens
+from docketmill.functions.text import fold_case, is_ascii, round_half_even, tokens
 from docketmill.rules import DEFAULT_RULES, UNKNOWN, RuleSet, column_name
 
 SCORE_KINDS = ("scores", "alias_scores", "tfidf_scores", "structural_scores")
@@ -25,12 +25,12 @@ def _named(values, rules: RuleSet):
 
 
 def _folded(docs: DataFrame, text: str) -> DataFrame:
-    return docs.withColumn("_folded", fold_case(F.col(text)))
+    return docs.withColumns({"_folded": fold_case(F.col(text)), "_plain": is_ascii(F.col(text))})
 
 
 def _pattern_scores(table: dict, rules: RuleSet, text: str):
     return _named([
-        F.expr(scoring.pattern_score(f"`{text}`", "_folded", table.get(c, []), rules.cues))
+        F.expr(scoring.pattern_score(f"`{text}`", "_folded", "_plain", table.get(c, []), rules.cues))
         for c in rules.categories
     ], rules)
 
@@ -38,13 +38,13 @@ def _pattern_scores(table: dict, rules: RuleSet, text: str):
 def alias_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add `alias_scores`: one weight sum of phrase rules per category."""
     values = _pattern_scores(rules.phrase_rules, rules, text)
-    return _folded(docs, text).withColumn("alias_scores", values).drop("_folded")
+    return _folded(docs, text).withColumn("alias_scores", values).drop("_folded", "_plain")
 
 
 def structural_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
     """Add `structural_scores`: one weight sum of layout rules per category."""
     values = _pattern_scores(rules.layout_rules, rules, text)
-    return _folded(docs, text).withColumn("structural_scores", values).drop("_folded")
+    return _folded(docs, text).withColumn("structural_scores", values).drop("_folded", "_plain")
 
 
 def tfidf_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
@@ -74,7 +74,7 @@ def combined_scores(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str =
     df = _folded(docs, text).withColumns({
         "alias_scores": _pattern_scores(rules.phrase_rules, rules, text),
         "structural_scores": _pattern_scores(rules.layout_rules, rules, text),
-    }).drop("_folded")
+    }).drop("_folded", "_plain")
     df = tfidf_scores(df, rules, text)
     alias, tfidf, layout = (
         scoring.share_of_best(_struct(df, kind, rules))

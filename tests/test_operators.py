@@ -83,7 +83,7 @@ def test_label_lookup_equals_one_search_per_label(spark, texts):
     from docketmill.functions import labels as L
     from docketmill.rules import DEFAULT_RULES
 
-    out = docs(spark, texts).select("doc_id", L.label_lines(F.col("text"), L.alias_map(DEFAULT_RULES)).alias("x"))
+    out = docs(spark, texts).select("doc_id", L.label_lines(F.col("text"), L.alias_map(DEFAULT_RULES), LABELS).alias("x"))
     got = {r["doc_id"]: sorted((x["label"], x["line_no"], x["raw_value"]) for x in r["x"]) for r in out.collect()}
     assert [got[i] for i in range(len(texts))] == [raw_values(t) for t in texts]
 

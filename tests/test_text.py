@@ -75,9 +75,9 @@ VOCABULARY = sorted({
 def test_rewritten_patterns_find_the_same(spark, texts):
     """Cues, chains and line starts never change whether a pattern occurs."""
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn(
-        "folded", T.fold_case(F.col("text")))
+        "folded", T.fold_case(F.col("text"))).withColumn("plain", T.is_ascii(F.col("text")))
     rules = [r for table in (PHRASE_RULES, LAYOUT_RULES) for rs in table.values() for r in rs]
-    cols = [F.expr(pattern_score("text", "folded", [(p, 1.0)], CUES)).alias(f"p{k}") for k, (p, _) in enumerate(rules)]
+    cols = [F.expr(pattern_score("text", "folded", "plain", [(p, 1.0)], CUES)).alias(f"p{k}") for k, (p, _) in enumerate(rules)]
     for row in df.select("text", *cols).collect():
         for k, (p, _) in enumerate(rules):
             assert (row[f"p{k}"] == 1.0) == bool(re.search(p, row["text"], re.I)), (p, row["text"])
@@ -97,9 +97,9 @@ def test_first_group_tells_empty_from_missing(spark):
 def test_long_blank_and_unbroken_runs_stay_fast(spark):
     texts = ["\n" * 200_000 + "x", "a" * 300_000, "description " * 20_000, "employer job title " * 20_000]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn(
-        "folded", T.fold_case(F.col("text")))
+        "folded", T.fold_case(F.col("text"))).withColumn("plain", T.is_ascii(F.col("text")))
     rules = [r for rs in LAYOUT_RULES.values() for r in rs]
     out = df.select(
-        F.expr(pattern_score("text", "folded", rules, {})).alias("s"),
+        F.expr(pattern_score("text", "folded", "plain", rules, {})).alias("s"),
         T.first_email(F.col("text"), r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}").alias("e"))
     assert [r["e"] for r in out.collect()] == [None] * 4
