@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from docketmill.functions import jsontext
 from docketmill.functions import labels as L
 from docketmill.functions import text as T
+from docketmill.operators.rows import elements
 from docketmill.rules import DEFAULT_RULES, RuleSet
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line: `(key, line_no, line, next_line)`, numbered from 0."""
-    numbered = docs.select(key, T.lines(F.col(text)).alias("_lines")).select(
-        key, "_lines", F.posexplode("_lines").alias("line_no", "line"))
-    return numbered.select(
-        key, "line_no", "line", F.get("_lines", F.col("line_no") + 1).alias("next_line"))
+    split = docs.select(key, T.lines(F.col(text)).alias("_lines"))
+    pairs = T.bind(F.col("_lines"), lambda all_lines: F.transform(
+        all_lines,
+        lambda line, i: F.struct(line.alias("line"), F.get(all_lines, i + 1).alias("next_line"))))
+    return elements(split, [key], pairs, "l", "line_no").select(key, "line_no", "l.line", "l.next_line")
 
 
 def with_evidence(docs: DataFrame, rules: RuleSet = DEFAULT_RULES, text: str = "text") -> DataFrame:
@@ -29,7 +31,7 @@ def keyword_matches(
 ) -> DataFrame:
     """One row per piece of evidence, numbered in record order within its document."""
     found = with_evidence(docs.select(key, text), rules, text)
-    return found.select(key, F.posexplode("evidence").alias("match_no", "e")).select(
+    return elements(found, [key], F.col("evidence"), "e", "match_no").select(
         key,
         "match_no",
         F.col("e.field").alias("field"),
@@ -76,8 +78,8 @@ def keyword_fields(
     docs: DataFrame, rules: RuleSet = DEFAULT_RULES, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document and field; `value` is the JSON scalar, or list for several hits."""
-    grouped = _groups(docs.select(key, text), rules, text).select(key, F.explode("_groups").alias("g"))
-    return grouped.select(
+    grouped = _groups(docs.select(key, text), rules, text)
+    return elements(grouped, [key], F.col("_groups"), "g").select(
         key,
         F.col("g.field").alias("field"),
         F.size("g.values").alias("hits"),

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from docketmill.functions import summary as S
 from docketmill.functions import text as T
+from docketmill.operators.rows import elements
 from docketmill.rules import DEFAULT_RULES, RuleSet
 
 
 def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per kept sentence: `(key, sent_no, sentence)`, numbered from 0."""
-    return docs.select(key, F.posexplode(T.sentences(F.col(text))).alias("sent_no", "sentence"))
+    return elements(docs, [key], T.sentences(F.col(text)), "sentence", "sent_no")
 
 
 def sentence_scores(
@@ -21,8 +22,7 @@ def sentence_scores(
     """One row per sentence with tokens: `(key, sent_no, score, words)`."""
     listed = docs.select(key, T.sentences(F.col(text)).alias("_sentences"))
     scores = S.sentence_scores(S.token_occurrences("_sentences", rules))
-    scored = listed.select(key, F.explode(scores).alias("s"))
-    return scored.select(
+    return elements(listed, [key], scores, "s").select(
         key, F.col("s.sent").alias("sent_no"), F.col("s.score").alias("score"), F.col("s.words").alias("words"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketmill.operators.rows import elements
+
 EVENT_SCHEMA = (
     "struct<Records: array<struct<eventTime: string, s3: struct<"
     "bucket: struct<name: string>, object: struct<key: string>>>>>"
@@ -33,7 +35,7 @@ def unnest_events(events: DataFrame, body: str = "body") -> DataFrame:
     Notifications without records give no rows.  `accepted` tells documents from
     other objects, which are neither processed nor reported as failed.
     """
-    records = events.select(F.explode(F.from_json(body, EVENT_SCHEMA)["Records"]).alias("r"))
+    records = elements(events, [], F.from_json(body, EVENT_SCHEMA)["Records"], "r")
     decoded = records.select(
         F.col("r.eventTime").alias("event_time"),
         F.col("r.s3.bucket.name").alias("source_bucket"),

@@ -56,3 +56,9 @@ def test_no_query_uses_python_workers_or_cross_joins(spark):
         text = plan(QUERIES[name](spark, sf))
         for bad in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
+
+
+def test_exploded_arrays_are_computed_once(tables):
+    docs = tables["documents"].select("doc_id", "text")
+    assert plan(K.keyword_matches(docs)).count("split(text") == 1
+    assert plan(terms.term_counts(docs)).count("sort_array(") == 1
