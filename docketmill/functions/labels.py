@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docketmill.functions.sqltext import quoted
 from docketmill.functions.text import (
-    bind, clean_value, collapse_spaces, first_email, fold_case, lines, regex, runs, strip, to_number,
+    bind, clean_value, collapse_spaces, first_email, first_phone, fold_case, lines, regex, runs, strip, to_number,
 )
 from docketmill.rules import EMAIL, PHONE, VALUE_MONEY, RuleSet
 
@@ -92,7 +92,7 @@ def normalized_text(raw: Column, kind: Column) -> Column:
     return F.when(
         kind == "email", F.coalesce(first_email(raw, EMAIL), raw)
     ).when(
-        kind == "phone", F.coalesce(strip(F.regexp_substr(raw, F.lit(regex(PHONE, ignore_case=False)))), raw)
+        kind == "phone", F.coalesce(first_phone(raw, PHONE), raw)
     ).when(kind == "text", raw)
 
 

@@ -114,6 +114,10 @@ def first_email(text: Column, pattern: str) -> Column:
     return F.regexp_substr(text, F.lit(r"(?<![A-Za-z0-9._%+-])" + pattern))
 
 
+def first_phone(text: Column, pattern: str) -> Column:
+    return strip(F.regexp_substr(text, F.lit(regex(pattern, ignore_case=False))))
+
+
 def to_number(text: Column) -> Column:
     """`$1,023.75` -> 1023.75; NULL when no number is left."""
     return strip(F.translate(text, "$,", "")).try_cast("double")

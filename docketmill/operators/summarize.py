@@ -16,6 +16,16 @@ def sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return elements(docs, [key], T.sentences(F.col(text)), "sentence", "sent_no")
 
 
+def summary_tokens(
+    docs: DataFrame, rules: RuleSet = DEFAULT_RULES, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per word that counts in a kept sentence: `(key, sent_no, token)`."""
+    listed = docs.select(key, T.sentences(F.col(text)).alias("_sentences"))
+    found = S.token_occurrences("_sentences", rules)
+    return elements(listed, [key], found, "o").select(
+        key, F.col("o.sent").alias("sent_no"), F.col("o.token").alias("token"))
+
+
 def sentence_scores(
     docs: DataFrame, rules: RuleSet = DEFAULT_RULES, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -208,7 +208,7 @@ def test_own_categories_and_aliases_are_data(spark):
 def test_corpus_tfidf_equals_brute_force(spark):
     texts = ["red blue red", "blue green", ""]
     df = docs(spark, texts)
-    out = {(r["doc_id"], r["token"]): r["weight"] for r in terms.tfidf(terms.term_counts(df), terms.idf(df)).collect()}
+    out = {(r["doc_id"], r["token"]): r["weight"] for r in terms.tfidf(df, terms.idf(df)).collect()}
     assert out[(0, "red")] == pytest.approx(2 / 5 * (math.log(4 / 2) + 1))
     assert out[(1, "blue")] == pytest.approx(1 / 3 * (math.log(4 / 3) + 1))
     assert len(out) == 7

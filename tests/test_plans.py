@@ -33,8 +33,8 @@ def test_row_level_operators_never_shuffle(tables, build):
     assert "Exchange" not in plan(build(tables["documents"].select("doc_id", "text")))
 
 
-def test_rule_idf_is_broadcast(tables):
-    text = plan(terms.document_weights(tables["documents"].select("doc_id", "text")))
+def test_rule_idf_is_broadcast(spark, tables):
+    text = plan(terms.tfidf(tables["documents"], terms.rule_idf(spark), broadcast_weights=True))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 

@@ -433,6 +433,8 @@ JSON_RECORD = "'{' || " + " || ', ' || ".join(
 ) + " || '}'"
 
 ORACLES = {
+    "token_rows": with_(DOCS, WORDS)
+    + f"SELECT doc_id, unnest(range(2 * len(w) - 1)) AS pos, unnest(list_concat(w, {PAIRS})) AS token FROM words",
     "term_counts": with_(DOCS, COUNTS) + "SELECT * FROM counts",
     "bigrams": with_(DOCS, WORDS) + f"SELECT doc_id, unnest(range(len(w) - 1)) AS pos, unnest({PAIRS}) AS bigram FROM words",
     "doc_frequency": with_(DOCS, COUNTS, DF) + "SELECT * FROM df",
@@ -467,9 +469,11 @@ numbered AS (SELECT doc_id, unnest(p) AS line, unnest(range(len(p))) AS line_no
 SELECT doc_id, line_no, line, lead(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS next_line FROM numbered""",
     "sentences": with_(DOCS, SENTENCES) + "SELECT doc_id, sent_no, sentence FROM sents",
     "sentence_scores": with_(DOCS, SENTENCES) + "SELECT doc_id, sent_no, score, words FROM scores",
+    "summary_tokens": with_(DOCS, SENTENCES) + "SELECT doc_id, sent_no, token FROM good",
     "summarize": with_(DOCS, SUMMARY)
     + "SELECT src.doc_id, coalesce(summary, '') AS summary FROM src LEFT JOIN summaries USING (doc_id)",
     "emails": f"SELECT doc_id, {PLAIN_EMAIL} AS email FROM documents",
+    "phones": r"""SELECT doc_id, nullif(regexp_extract(text, '\+?\d[\d\-\s\(\)]{7,}\d'), '') AS phone FROM documents""",
     "currency_flag": f"SELECT doc_id, {PLAIN_CURRENCY} AS currency FROM documents",
     "largest_amounts": f"SELECT doc_id, list_max({AMOUNTS}) AS largest_amount FROM documents",
     "invoice_totals": """

@@ -12,7 +12,7 @@ from docketmill.operators import classify as C
 from docketmill.operators import metadata as M
 from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
-from docketmill.rules import EMAIL
+from docketmill.rules import EMAIL, PHONE
 from docketmill.sources import business_text, uploads
 from docketmill.sources.spread import spread
 
@@ -98,6 +98,10 @@ def upload_events(spark, sf) -> DataFrame:
 
 # --- terms -------------------------------------------------------------------
 
+def token_rows(spark, sf):
+    return terms.token_rows(documents(spark, sf))
+
+
 def term_counts(spark, sf):
     return terms.term_counts(documents(spark, sf))
 
@@ -115,12 +119,13 @@ def idf(spark, sf):
 
 
 def tfidf(spark, sf):
-    return terms.document_weights(documents(spark, sf)).withColumn("weight", F.round("weight", 10))
+    weighted = terms.tfidf(documents(spark, sf), terms.rule_idf(spark), broadcast_weights=True)
+    return weighted.withColumn("weight", F.round("weight", 10))
 
 
 def corpus_tfidf(spark, sf):
     docs = documents(spark, sf)
-    return terms.tfidf(terms.term_counts(docs), terms.idf(docs)).withColumn("weight", F.round("weight", 9))
+    return terms.tfidf(docs, terms.idf(docs)).withColumn("weight", F.round("weight", 9))
 
 
 def cosine(spark, sf):
@@ -181,6 +186,10 @@ def sentence_scores(spark, sf):
     return S.sentence_scores(documents(spark, sf))
 
 
+def summary_tokens(spark, sf):
+    return S.summary_tokens(documents(spark, sf))
+
+
 def summarize(spark, sf):
     return S.summarize(documents(spark, sf)).select("doc_id", "summary")
 
@@ -189,6 +198,10 @@ def emails(spark, sf):
     return documents(spark, sf).select("doc_id", T.first_email(F.col("text"), EMAIL).alias("email"))
 
 
+def phones(spark, sf):
+    return documents(spark, sf).select("doc_id", T.first_phone(F.col("text"), PHONE).alias("phone"))
+
+
 def currency_flag(spark, sf):
     return documents(spark, sf).select("doc_id", X.currency(F.col("text")).alias("currency"))
 
@@ -314,6 +327,7 @@ def output_parity(spark, sf):
 
 
 QUERIES = {
+    "token_rows": token_rows,
     "term_counts": term_counts,
     "bigrams": bigrams,
     "doc_frequency": doc_frequency,
@@ -331,8 +345,10 @@ QUERIES = {
     "lines": lines,
     "sentences": sentences,
     "sentence_scores": sentence_scores,
+    "summary_tokens": summary_tokens,
     "summarize": summarize,
     "emails": emails,
+    "phones": phones,
     "currency_flag": currency_flag,
     "largest_amounts": largest_amounts,
     "invoice_totals": invoice_totals,
