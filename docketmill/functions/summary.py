@@ -29,23 +29,27 @@ def sentence_scores(occurrences: Column) -> Column:
     by the document's largest frequency would not change the order.
     """
 
-    def with_counts(occ: Column) -> Column:
-        by_token = runs(F.transform(occ, lambda o: o["token"]))
-        freq = F.flatten(F.transform(by_token, lambda r: F.array_repeat(r["cnt"], r["cnt"])))
-        return F.sort_array(F.zip_with(
-            occ, freq, lambda o, n: F.struct(o["sent"].alias("sent"), n.alias("freq"))))
-
-    def means(pairs: Column) -> Column:
-        by_sentence = runs(F.transform(pairs, lambda p: p["sent"]))
+    def counted(occ: Column) -> Column:
+        # sentence * 2^32 + frequency: whole numbers sort much faster than structs
+        same_token = runs(occ, lambda o: o["token"])
+        return F.sort_array(F.flatten(F.transform(same_token, lambda r: F.transform(
+            F.slice(occ, r["pos"], r["cnt"]),
+            lambda o: F.shiftleft(o["sent"].cast("bigint"), 32) + r["cnt"],
+        ))))
+
+    def means(codes: Column) -> Column:
+        by_sentence = runs(codes, lambda c: F.shiftright(c, 32))
         return F.transform(by_sentence, lambda r: F.struct(
-            r["item"].alias("sent"),
+            F.shiftright(r["item"], 32).cast("int").alias("sent"),
             (F.aggregate(
-                F.slice(pairs, r["pos"], r["cnt"]), F.lit(0).cast("bigint"), lambda acc, p: acc + p["freq"]
+                F.slice(codes, r["pos"], r["cnt"]),
+                F.lit(0).cast("bigint"),
+                lambda acc, c: acc + c.bitwiseAND(F.lit(0xFFFFFFFF)),
             ).cast("double") / r["cnt"]).alias("score"),
             r["cnt"].alias("words"),
         ))
 
-    return bind(F.sort_array(occurrences), lambda occ: bind(with_counts(occ), means))
+    return bind(F.sort_array(occurrences), lambda occ: bind(counted(occ), means))
 
 
 def top_sentences(sentences: Column, scores: Column, count: int) -> Column:

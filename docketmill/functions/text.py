@@ -156,15 +156,16 @@ def sentences(text: Column, min_words: int = 4) -> Column:
     return F.filter(parts, lambda s: F.size(F.split(s, " ")) >= min_words)
 
 
-def runs(items: Column) -> Column:
-    """Equal neighbours of a sorted array as `(item, cnt, pos)`, in one pass.
+def runs(items: Column, by=lambda x: x) -> Column:
+    """Neighbours of a sorted array with equal `by`, as `(item, cnt, pos)`: the
+    first of them, how many there are, and its position from 1.
 
     This is how a document counts things about itself without a shuffle.
     """
 
     def find(s: Column) -> Column:
         starts = F.array_compact(
-            F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i))
+            F.transform(s, lambda x, i: F.when((i == 0) | (by(x) != by(F.get(s, i - 1))), i))
         )
         return bind(starts, lambda st: F.zip_with(
             st,

@@ -102,7 +102,7 @@ def sales_reports(revenue: DataFrame) -> DataFrame:
     total = _grouped_money(F.col("revenue"))
 
     def listed(i: int, name: str) -> Column:
-        share = F.round(F.col(f"revenue_{i}") * 100 / F.col("revenue"), 1)
+        share = F.round(F.try_divide(F.col(f"revenue_{i}") * 100, F.col("revenue")), 1)
         text = F.concat(
             F.lit(f"{name} "), _text(F.col(f"units_{i}").cast("bigint")), F.lit(" "),
             _grouped_money(F.col(f"revenue_{i}")), F.lit(" "), _text(share.cast("decimal(5,1)")), F.lit("%"))

@@ -14,13 +14,24 @@ from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
 from docketmill.rules import EMAIL, PHONE
 from docketmill.sources import business_text, uploads
-from docketmill.sources.spread import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """Use every core of a local run, where the whole corpus is one small file.
+
+    Tagging is bound by CPU.  On a cluster the corpus has many splits, and its
+    texts stay where they are read.
+    """
+    context = docs.sparkSession.sparkContext
+    if not context.master.startswith("local"):
+        return docs
+    return docs.repartition(2 * context.defaultParallelism, "doc_id")
+
+
 def documents(spark, sf) -> DataFrame:
     return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
