@@ -29,20 +29,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _fallback[0]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` cut from its lineage by a reliable checkpoint."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """`df` written as Parquet to the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str, mode: str = "error") -> DataFrame:
+    """`df` written as Parquet to `path` and read back: cut from its lineage, safe to lose executors."""
+    df.write.mode(mode).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to a folder of its own in the shared folder and read back."""
+    return written(df, new_path(df.sparkSession, name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate
+from docketmill.llm import decontaminate, neardup
 from docketmill.llm.common import table
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
 
 
 QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
 }
