@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, neardup
+from docketmill.llm import decontaminate, neardup, quality
 from docketmill.llm.common import table
 
 
@@ -17,7 +17,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op9_quality_classifier": op9_quality_classifier,
 }
