@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, neardup, quality
+from docketmill.llm import decontaminate, neardup, quality, tokenids
 from docketmill.llm.common import table
 
 
@@ -21,8 +22,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenids.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_token_files": op10_token_files,
 }
