@@ -55,3 +55,11 @@ def crc_of_id(column: str = "doc_id") -> Column:
 
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

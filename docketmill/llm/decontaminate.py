@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketmill.llm import arrowtext as A
+from docketmill.llm.common import fresh
 
 WINDOW = 10
 #: Bytes of item text whose windows are held by a task at once.
@@ -244,9 +245,7 @@ def report(found: DataFrame, column: str = "benchmark_hits") -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs` in which no window of the benchmark occurs."""
-    mark = "benchmark_hits"
-    while mark in docs.columns:
-        mark += "_"
+    mark = fresh("benchmark_hits", docs)
     found = find_benchmark(docs, benchmark, into=mark, **options)
     return found.where(F.octet_length(F.col(f"{mark}.hits")) == 0).select(*docs.columns)
 

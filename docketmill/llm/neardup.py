@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketmill.llm import arrowtext as A
-from docketmill.llm.common import materialized
+from docketmill.llm.common import fresh, materialized
 from docketmill.llm.components import roots
 
 RADIUS = 4
@@ -151,8 +151,6 @@ def without_near_copies(docs: DataFrame, text: str = "text", radius: int = RADIU
     copies = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(copies, "doc_id", "left_anti")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col(text)))
-    mark = "copy_number"
-    while mark in docs.columns:
-        mark += "_"
+    mark = fresh("copy_number", docs)
     numbered = kept.withColumn(mark, F.row_number().over(order))
     return numbered.where((F.col(mark) == 1) | F.col("doc_id").isNull()).select(*docs.columns)

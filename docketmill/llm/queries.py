@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, neardup, quality, tokenids
+from docketmill.llm import decontaminate, mixture, neardup, quality, tokenids
 from docketmill.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
@@ -29,6 +33,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_source_mix": op5_source_mix,
     "op6_decontaminate": op6_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_files": op10_token_files,
