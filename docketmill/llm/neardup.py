@@ -1,6 +1,6 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Two fingerprints within `radius` bits have a common neighbour at half the radius
+Two fingerprints within `RADIUS` bits have a common neighbour at half the radius
 from both.  So every fingerprint emits the variants of its ball, variants are
 shuffled, and fingerprints that meet at a variant are compared.
 
@@ -9,20 +9,27 @@ into two halves: of 4 differing bits at most 2 lie in one of the halves, and in
 that half the two fingerprints meet within radius 1, at 33 variants a half.  The
 pairs that meet are verified on all 64 bits, so the links are the same.
 
-Fingerprints that share a half by chance, or a large family of near copies, can
-crowd a variant.  Up to `CROWD` fingerprints are compared with one another; the
-members of a larger crowd go through the whole ball of 2,081 variants instead,
-where everything that meets is linked (2 + 2 bits) and a chain to the smallest
-member stands for all pairs.  Both ways are exact, so no link is lost.
+Fingerprints that share a half by chance, or a family of near copies, can crowd a
+variant.  Up to `CROWD` of them are compared there, and a spanning forest of their
+links is kept, not all pairs.  The members of a larger crowd go through the whole
+ball of 2,081 variants instead, where everything that meets is linked (2 + 2
+bits), so that the smallest member stands for all.  Both ways are exact.  `CROWD`
+is about where 33 comparisons for each member cost what 2,081 shuffled rows do.
 
-Defined cases: NULL, empty and wordless texts have fingerprint zero; equal texts
-have equal fingerprints and are one node; NULL ids keep their rows but never name
-a component, unless a component has no other; an empty table gives no rows.
+`classes` links fingerprints of word shingles as they are.  `without_near_copies`
+decides by similarity instead: two fingerprints of the set of words find
+candidates in the same way, and the share of common five-word shingles decides.
+
+Defined cases: NULL, empty and wordless texts have fingerprint zero and are copies
+of one another; equal texts have equal fingerprints and are one node; rows without
+an id keep their place but name no component (unless a component has no other),
+and are never dropped as copies; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
 from itertools import accumulate, combinations, repeat
 
 import numpy as np
@@ -39,11 +46,28 @@ from docketmill.llm.components import roots
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
-#: Fingerprints at one variant that are compared pair by pair.
-CROWD = 24
+#: Fingerprints at one variant that are compared with one another.
+CROWD = 512
 #: Hashes whose bits are counted at once.
 _HASHES = 1 << 15
 
+#: Near copies share this part of their shingles of `WIDTH` words.
+SIMILARITY = 0.8
+WIDTH = 5
+#: Differing bits of two 64-bit fingerprints of the words up to which shingles are compared.
+CANDIDATE_BITS = 28
+#: Crowds in which every candidate pair is compared by shingles; larger ones give a spanning forest.
+ALL_PAIRS = 16
+
+
+def _voted(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as a signed long."""
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _HASHES):
+        part = hashes[at : at + _HASHES].astype("<u8").view(np.uint8).reshape(-1, 8)
+        votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
+
 
 def simhash(text: bytes, width: int = SHINGLE) -> int:
     """Signed 64-bit SimHash of the word shingles of a text, repeats included."""
@@ -57,22 +81,20 @@ def simhash(text: bytes, width: int = SHINGLE) -> int:
         ends = list(accumulate(map(len, words), lambda end, n: end + 1 + n))
         starts = [0, *(end + 1 for end in ends)]
         shingles = [joined[s:e] for s, e in zip(starts, ends[width - 1 :], strict=False)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
-    votes = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), _HASHES):
-        part = hashes[at : at + _HASHES].astype("<u8").view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
+    return _voted(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles)))
+
+
+def _texts(texts: pa.Array) -> Iterator[bytes]:
+    for block in A.blocks(texts):
+        raw, bounds = block.data.tobytes(), block.bounds.tolist()
+        for s, e in zip(bounds, bounds[1:], strict=False):
+            yield raw[s:e]
 
 
 @F.arrow_udf(T.LongType())
 def _simhashes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        found = []
-        for block in A.blocks(texts):
-            raw, bounds = block.data.tobytes(), block.bounds.tolist()
-            found.extend(simhash(raw[s:e]) for s, e in zip(bounds, bounds[1:], strict=False))
-        yield pa.array(found, pa.int64())
+        yield pa.array([simhash(t) for t in _texts(texts)], pa.int64())
 
 
 def fingerprint(text: str = "text") -> Column:
@@ -80,47 +102,100 @@ def fingerprint(text: str = "text") -> Column:
     return _simhashes(F.col(text).cast("string"))
 
 
-def _ball(bits: int, radius: int) -> list[int]:
+def _ball(bits: int, radius: int) -> Column:
     """XOR masks of all variants within `radius` of a value of `bits` bits, as signed longs."""
     masks = [sum(1 << b for b in at) for r in range(radius + 1) for at in combinations(range(bits), r)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    return F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in masks])
+
+
+def _half_variants(prints: Sequence[str], radius: int) -> Column:
+    """Variants of both halves of every fingerprint, marked with the half they belong to."""
+    masks = _ball(32, radius // 4)
 
+    def ball(half: Column, mark: int) -> Column:
+        return F.transform(masks, lambda m: half.bitwiseXOR(m).bitwiseOR(F.lit(mark << 32)))
 
-def _masks(masks: list[int]) -> Column:
-    return F.array(*[F.lit(m).cast("bigint") for m in masks])
+    halves = []
+    for i, name in enumerate(prints):
+        halves.append(ball(F.col(name).bitwiseAND(F.lit(0xFFFFFFFF)), 2 * i))
+        halves.append(ball(F.shiftrightunsigned(name, 32), 2 * i + 1))
+    return F.concat(*halves)
 
 
-def _half_variants(fp: Column, radius: int) -> Column:
-    masks = _masks(_ball(32, radius // 4))
-    low = fp.bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftrightunsigned(fp, 32)
-    return F.concat(
-        F.transform(masks, lambda m: low.bitwiseXOR(m)),
-        F.transform(masks, lambda m: high.bitwiseXOR(m).bitwiseOR(F.lit(1 << 32))))
+def spanning_edges(nodes: np.ndarray, prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """A least spanning forest of the links within `limit` bits; `prints` has a column for each print."""
+    far = 1 << 30
+    reached = np.full(len(nodes), far)
+    parent = np.zeros(len(nodes), dtype=np.int64)
+    done = np.zeros(len(nodes), dtype=bool)
+    edges = []
+    for _ in range(len(nodes)):
+        at = int(np.argmin(np.where(done, far + 1, reached)))
+        if reached[at] <= limit:
+            edges.append((int(nodes[parent[at]]), int(nodes[at])))
+        done[at] = True
+        bits = np.bitwise_count(prints ^ prints[at]).sum(axis=1, dtype=np.int64)
+        nearer = ~done & (bits < reached)
+        reached[nearer], parent[nearer] = bits[nearer], at
+    return edges
 
 
-def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """Edges (a, b) that connect all of the distinct `fp` within `radius` bits of each other.
+def near_pairs(nodes: np.ndarray, prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """All pairs within `limit` bits."""
+    bits = np.bitwise_count(prints[:, None] ^ prints).sum(axis=2, dtype=np.int64)
+    return [(int(nodes[i]), int(nodes[j])) for i, j in np.argwhere(np.triu(bits <= limit, 1)).tolist()]
 
-    Between fingerprints that meet in a small crowd every link is an edge; a
-    larger crowd is connected through its smallest members.  `radius` is a
-    multiple of 4, so that half a half's share of it is whole.
+
+def _forest(n_prints: int, limit: int, all_pairs: int):
+    edge = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))
+    def forest(crowds: pa.Array) -> pa.Array:
+        members = crowds.flatten()
+        nodes = members.field(0).to_numpy(zero_copy_only=False)
+        prints = np.stack([members.field(1 + i).to_numpy(zero_copy_only=False) for i in range(n_prints)], axis=1)
+        prints = prints.astype(np.int64).view(np.uint64)
+        sizes = crowds.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        pairs = starts[sizes == 2]
+        near = np.zeros(len(nodes), dtype=bool)
+        near[pairs] = np.bitwise_count(prints[pairs] ^ prints[pairs + 1]).sum(axis=1) <= limit
+        found = []
+        for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
+            if n == 2:
+                edges = [(int(nodes[s]), int(nodes[s + 1]))] if near[s] else []
+            else:
+                pick = near_pairs if n <= all_pairs else spanning_edges
+                edges = pick(nodes[s : s + n], prints[s : s + n], limit)
+            found.append([{"a": a, "b": b} for a, b in edges])
+        return pa.array(found, edge)
+
+    return forest
+
+
+def links(nodes: DataFrame, prints: Sequence[str], limit: int, radius: int = RADIUS, crowd: int = CROWD,
+          all_pairs: int = 2) -> DataFrame:
+    """Edges (a, b) between rows (node, *prints) that meet and differ in at most `limit` bits in all.
+
+    With one print and `limit` = `radius` the edges connect all that is linked.
+    Up to `all_pairs` rows that meet give all their pairs, more a spanning forest.
+    `radius` is a multiple of 4, so that the share of half a half is whole.
     """
     if radius % 4:
         raise ValueError("the radius must be a multiple of 4")
-    met = fps.select("fp", F.explode(_half_variants(F.col("fp"), radius)).alias("variant"))
+    member = F.struct(F.col("node").alias("node"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(prints)])
+    met = nodes.select(member.alias("member"), F.explode(_half_variants(prints, radius)).alias("variant"))
     met = met.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1")
-    small = met.where(F.col("n") <= crowd).groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    pairs = F.flatten(F.transform("fps", lambda x, i: F.transform(
-        F.slice("fps", i + 2, F.size("fps")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    near = F.filter(pairs, lambda p: F.bit_count(p["a"].bitwiseXOR(p["b"])) <= radius)
-    edges = small.select(F.explode(near).alias("e")).select("e.a", "e.b").distinct()
-
-    crowded = met.where(F.col("n") > crowd).select("fp").distinct()
-    masks = _masks(_ball(64, radius // 2))
-    whole = crowded.select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
-    first = F.min("fp").over(Window.partitionBy("variant"))
-    chains = whole.select(F.col("fp").alias("b"), first.alias("a")).where("a < b").select("a", "b").distinct()
+    crowds = met.where(F.col("n") <= crowd).groupBy("variant").agg(
+        F.sort_array(F.collect_list("member")).alias("members"))
+    forest = _forest(len(prints), limit, all_pairs)(F.col("members"))
+    edges = crowds.select(F.explode(forest).alias("e")).select("e.a", "e.b").distinct()
+
+    crowded = met.where(F.col("n") > crowd).select("member.node", "member.p0").distinct()
+    whole = crowded.select("node", F.explode(F.transform(
+        _ball(64, radius // 2), lambda m: F.col("p0").bitwiseXOR(m))).alias("variant"))
+    first = F.min("node").over(Window.partitionBy("variant"))
+    chains = whole.select(first.alias("a"), F.col("node").alias("b")).where("a < b").distinct()
     return edges.unionByName(chains)
 
 
@@ -130,26 +205,80 @@ def classes(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFr
     `component_id` is the smallest doc_id among all rows that are reachable
     through links, the row's own included.
     """
-    marked = materialized(docs.select("doc_id", fingerprint(text).alias("fp")), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    found = roots(links(nodes.select("fp"), radius))
-    members = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    marked = materialized(docs.select("doc_id", fingerprint(text).alias("node")), "fingerprints")
+    nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    found = roots(links(nodes, ["node"], radius, radius))
+    members = nodes.join(found, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     names = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.join(members.join(names, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return marked.join(members.join(names, "root").select("node", "component_id"), "node").select(
+        "doc_id", F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@F.arrow_udf(T.StructType([
+    T.StructField("digest", T.BinaryType()), T.StructField("p0", T.LongType()), T.StructField("p1", T.LongType())]))
+def _word_prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Digest of the words in order, and two fingerprints of their set."""
+    for texts in batches:
+        rows = []
+        for text in _texts(texts):
+            words = text.lower().split()
+            distinct = set(words)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(SEED)), np.uint64, len(distinct))
+            rows.append({
+                "digest": hashlib.md5(b" ".join(words), usedforsecurity=False).digest(),
+                "p0": _voted(hashes), "p1": _voted(A.mixed(hashes * np.uint64(0x9E3779B97F4A7C15)))})
+        yield pa.array(rows, pa.struct([("digest", pa.binary()), ("p0", pa.int64()), ("p1", pa.int64())]))
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Hashes of the distinct shingles of `WIDTH` words of each text."""
+    for texts in batches:
+        found = []
+        for block in A.blocks(texts):
+            block = block.lowered()
+            w = A.words(block, A.NOT_SPACE)
+            edges = np.searchsorted(w.owner, np.arange(block.n_texts + 1)).tolist()
+            for s, e in zip(edges, edges[1:], strict=False):
+                h = np.zeros(max(1, e - s - WIDTH + 1) if e > s else 0, dtype=np.uint64)
+                for i in range(min(WIDTH, e - s)):
+                    h = A.mixed(h * np.uint64(5) + w.hashes[s + i : s + i + len(h)])
+                found.append(np.unique(h).view(np.int64))
+        yield pa.array(found, pa.list_(pa.int64()))
+
+
+def copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, kept_id) of the rows whose class has a smaller doc_id, which is `kept_id`.
+
+    Rows are of one class if their words are equal but for A-Z case and white
+    space, or if a chain of near copies connects them.
+    """
+    prints = docs.where("doc_id is not null").select("doc_id", _word_prints(F.col(text).cast("string")).alias("w"))
+    marked = materialized(prints.select("doc_id", "w.digest", "w.p0", "w.p1"), "word-prints")
+    nodes = marked.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.first("p0").alias("p0"), F.first("p1").alias("p1"))
+    pairs = materialized(links(nodes, ["p0", "p1"], CANDIDATE_BITS, all_pairs=ALL_PAIRS).distinct(), "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = docs.select("doc_id", F.col(text).cast("string").alias("text")).join(ends, "doc_id", "left_semi")
+    sets = sets.dropDuplicates(["doc_id"]).select("doc_id", _shingle_sets("text").alias("s"))
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a").join(
+        sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    alike = both.where(common >= similarity * (F.size("s_a") + F.size("s_b") - common)).select("a", "b")
+    near = roots(alike)
+    classed = marked.join(nodes.select("digest", "node"), "digest").join(near, "node", "left")
+    return classed.select("doc_id", F.coalesce("root", "node").alias("kept_id")).where("doc_id > kept_id").distinct()
 
 
-def without_near_copies(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFrame:
+def without_near_copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class: that of its smallest doc_id.
 
     Rows that repeat a doc_id are copies of one document, of which the row with
     the smallest hash of the text stays.  Rows without an id cannot be told apart
     and stay.
     """
-    found = classes(docs, text, radius)
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
+    dropped = copies(docs, text, similarity).select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col(text)))
     mark = fresh("copy_number", docs)
     numbered = kept.withColumn(mark, F.row_number().over(order))
