@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, mixture, neardup, quality, tokenids
+from docketmill.llm import decontaminate, fingerprints, mixture, neardup, quality, tokenids
 from docketmill.llm.common import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -32,6 +36,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_decontaminate": op6_decontaminate,
