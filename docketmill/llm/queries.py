@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, fingerprints, mixture, neardup, quality, tokenids
+from docketmill.llm import decontaminate, fingerprints, mixture, neardup, quality, secrets, tokenids
 from docketmill.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -38,6 +42,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op5_source_mix": op5_source_mix,
     "op6_decontaminate": op6_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
