@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, fingerprints, mixture, neardup, quality, secrets, tokenids
+from docketmill.llm import decontaminate, fingerprints, language, mixture, neardup, quality, secrets, tokenids
 from docketmill.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op5_source_mix": op5_source_mix,
     "op6_decontaminate": op6_decontaminate,
+    "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_files": op10_token_files,
 }
