@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docketmill.llm import decontaminate, fingerprints, language, mixture, neardup, quality, secrets, tokenids
+from docketmill.llm import (
+    chat, decontaminate, fingerprints, language, licenses, mixture, neardup, quality, secrets, tokenids)
 from docketmill.llm.common import table
 
 
@@ -21,6 +22,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.conversation_calls(table(spark, sf_dir, "conversations"))
+    return chat.formatted(calls, results, chat.CONVERSATION_TOOLS)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -30,6 +36,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents")))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -47,8 +57,10 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_tool_call_links": op4_tool_call_links,
     "op5_source_mix": op5_source_mix,
     "op6_decontaminate": op6_decontaminate,
+    "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_files": op10_token_files,
