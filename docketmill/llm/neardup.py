@@ -55,7 +55,7 @@ _HASHES = 1 << 15
 SIMILARITY = 0.8
 WIDTH = 5
 #: Differing bits of two 64-bit fingerprints of the words up to which shingles are compared.
-CANDIDATE_BITS = 28
+CANDIDATE_BITS = 20
 #: Crowds in which every candidate pair is compared by shingles; larger ones give a spanning forest.
 ALL_PAIRS = 16
 
@@ -173,32 +173,60 @@ def _forest(n_prints: int, limit: int, all_pairs: int):
     return forest
 
 
-def links(nodes: DataFrame, prints: Sequence[str], limit: int, radius: int = RADIUS, crowd: int = CROWD,
-          all_pairs: int = 2) -> DataFrame:
-    """Edges (a, b) between rows (node, *prints) that meet and differ in at most `limit` bits in all.
+def _met(nodes: DataFrame, prints: Sequence[str], radius: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Members (node, prints) by variant, of small and of larger crowds; the latter with their `size`.
+
+    Sizes are summed before they are shuffled, and members that meet nobody go no further.
+    """
+    member = F.struct(F.col("node").alias("node"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(prints)])
+    met = nodes.select(member.alias("member"), F.explode(_half_variants(prints, radius)).alias("variant"))
+    sizes = met.groupBy("variant").agg(F.count("*").alias("size")).where("size > 1")
+    small = met.join(sizes.where(F.col("size") <= crowd).select("variant"), "variant")
+    return small, met.join(sizes.where(F.col("size") > crowd), "variant")
+
+
+def _edges(crowds: DataFrame, n_prints: int, limit: int, all_pairs: int) -> DataFrame:
+    """Edges (a, b) of the columns `members`."""
+    edges = crowds.select(F.explode(_forest(n_prints, limit, all_pairs)(F.col("members"))).alias("e"))
+    return edges.select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b")).distinct()
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """Edges (a, b) that connect all of the distinct `node` fingerprints within `radius` bits of each other.
 
-    With one print and `limit` = `radius` the edges connect all that is linked.
-    Up to `all_pairs` rows that meet give all their pairs, more a spanning forest.
     `radius` is a multiple of 4, so that the share of half a half is whole.
     """
     if radius % 4:
         raise ValueError("the radius must be a multiple of 4")
-    member = F.struct(F.col("node").alias("node"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(prints)])
-    met = nodes.select(member.alias("member"), F.explode(_half_variants(prints, radius)).alias("variant"))
-    met = met.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1")
-    crowds = met.where(F.col("n") <= crowd).groupBy("variant").agg(
-        F.sort_array(F.collect_list("member")).alias("members"))
-    forest = _forest(len(prints), limit, all_pairs)(F.col("members"))
-    edges = crowds.select(F.explode(forest).alias("e")).select("e.a", "e.b").distinct()
-
-    crowded = met.where(F.col("n") > crowd).select("member.node", "member.p0").distinct()
-    whole = crowded.select("node", F.explode(F.transform(
-        _ball(64, radius // 2), lambda m: F.col("p0").bitwiseXOR(m))).alias("variant"))
-    first = F.min("node").over(Window.partitionBy("variant"))
-    chains = whole.select(first.alias("a"), F.col("node").alias("b")).where("a < b").distinct()
+    small, large = _met(nodes, ["node"], radius, crowd)
+    crowds = small.groupBy("variant").agg(F.sort_array(F.collect_list("member")).alias("members"))
+    edges = _edges(crowds, 1, radius, 2)
+    whole = large.select("member.node").distinct().select("node", F.explode(F.transform(
+        _ball(64, radius // 2), lambda m: F.col("node").bitwiseXOR(m))).alias("variant"))
+    first = whole.groupBy("variant").agg(F.min("node").alias("a"))
+    chains = whole.join(first, "variant").where("a < node").select("a", F.col("node").alias("b")).distinct()
     return edges.unionByName(chains)
 
 
+def candidates(nodes: DataFrame, prints: Sequence[str], limit: int = CANDIDATE_BITS, crowd: int = CROWD) -> DataFrame:
+    """(a, b) of rows (node, *prints) that meet at a variant and differ in at most `limit` bits in all.
+
+    A larger crowd is dealt into shares of about `crowd` members, in another way
+    at every variant, and its smallest member joins each share; a family that
+    crowds one variant crowds many, and its members meet in many shares.
+    """
+    small, large = _met(nodes, prints, RADIUS, crowd)
+    crowds = small.groupBy("variant").agg(F.sort_array(F.collect_list("member")).alias("members"))
+    share = F.pmod(F.xxhash64("member.node", "variant"), F.ceil(F.col("size") / crowd))
+    hubs = large.groupBy("variant").agg(F.min("member").alias("hub"))
+    dealt = large.withColumn("share", share).repartition("variant", "share")  # a crowd may fill many tasks
+    shares = dealt.groupBy("variant", "share").agg(F.collect_list("member").alias("members"))
+    shares = shares.join(hubs, "variant").select(
+        "variant", F.sort_array(F.array_union("members", F.array("hub"))).alias("members"))
+    both = crowds.unionByName(shares)
+    return _edges(both, len(prints), limit, ALL_PAIRS)
+
+
 def classes(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; ids are longs.
 
@@ -207,7 +235,7 @@ def classes(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFr
     """
     marked = materialized(docs.select("doc_id", fingerprint(text).alias("node")), "fingerprints")
     nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    found = roots(links(nodes, ["node"], radius, radius))
+    found = roots(links(nodes, radius))
     members = nodes.join(found, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     names = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return marked.join(members.join(names, "root").select("node", "component_id"), "node").select(
@@ -230,9 +258,9 @@ def _word_prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(rows, pa.struct([("digest", pa.binary()), ("p0", pa.int64()), ("p1", pa.int64())]))
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Hashes of the distinct shingles of `WIDTH` words of each text."""
+    """32-bit hashes of the distinct shingles of `WIDTH` words of each text."""
     for texts in batches:
         found = []
         for block in A.blocks(texts):
@@ -243,8 +271,17 @@ def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
                 h = np.zeros(max(1, e - s - WIDTH + 1) if e > s else 0, dtype=np.uint64)
                 for i in range(min(WIDTH, e - s)):
                     h = A.mixed(h * np.uint64(5) + w.hashes[s + i : s + i + len(h)])
-                found.append(np.unique(h).view(np.int64))
-        yield pa.array(found, pa.list_(pa.int64()))
+                found.append(np.unique(h.astype(np.uint32)).view(np.int32))
+        yield pa.array(found, pa.list_(pa.int32()))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have enough in common."""
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a").join(
+        sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    enough = common >= similarity * (F.size("s_a") + F.size("s_b") - common)
+    return both.where(enough).select("a", "b")
 
 
 def copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -257,15 +294,21 @@ def copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     marked = materialized(prints.select("doc_id", "w.digest", "w.p0", "w.p1"), "word-prints")
     nodes = marked.groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("p0").alias("p0"), F.first("p1").alias("p1"))
-    pairs = materialized(links(nodes, ["p0", "p1"], CANDIDATE_BITS, all_pairs=ALL_PAIRS).distinct(), "candidates")
+    pairs = materialized(candidates(nodes, ["p0", "p1"]), "candidates")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.select("doc_id", F.col(text).cast("string").alias("text")).join(ends, "doc_id", "left_semi")
-    sets = sets.dropDuplicates(["doc_id"]).select("doc_id", _shingle_sets("text").alias("s"))
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    alike = both.where(common >= similarity * (F.size("s_a") + F.size("s_b") - common)).select("a", "b")
+    texts = docs.select("doc_id", F.col(text).cast("string").alias("text")).join(ends, "doc_id", "left_semi")
+    sets = materialized(
+        texts.dropDuplicates(["doc_id"]).select("doc_id", _shingle_sets("text").alias("s")), "shingles")
+    # One pair for each node first; most others then lie within a class and need no comparison.
+    chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).unionByName(
+        pairs.groupBy("a").agg(F.min("b").alias("b"))).distinct()
+    alike = materialized(_alike(chosen, sets, similarity), "near-copies")
     near = roots(alike)
+    a_root, b_root = [near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab"]
+    rest = pairs.join(a_root, "a", "left").join(b_root, "b", "left").where(
+        F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    more = materialized(_alike(rest, sets, similarity), "near-copies")
+    near = roots(alike.unionByName(more))
     classed = marked.join(nodes.select("digest", "node"), "digest").join(near, "node", "left")
     return classed.select("doc_id", F.coalesce("root", "node").alias("kept_id")).where("doc_id > kept_id").distinct()
 
