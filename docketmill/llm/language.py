@@ -66,7 +66,7 @@ class Models:
     languages: list[str]
     classes: np.ndarray  # letter class by code point; the last entry stands for all beyond
     width: int
-    tables: list[np.ndarray]  # state * width + class -> next state, or -1 - state if a piece ends
+    tables: list[np.ndarray]  # state * width + class -> next state, or -1 - state if a piece begins
     bits: np.ndarray  # bits that name a place in the text of a language
 
 
@@ -101,12 +101,12 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 def _table(symbols: list[int], width: int) -> np.ndarray:
-    """Steps of the automaton; a step without an arc starts anew at the root, coded as -1 - state."""
+    """Steps of the automaton; a step that begins a piece, at the root or for want of an arc, is -1 - state."""
     arcs = suffix_automaton(symbols)
     restart = np.array([-1 - arcs[0].get(c, 0) for c in range(width)], dtype=np.int32)
     table = np.tile(restart, (len(arcs), 1))
     for state, out in enumerate(arcs):
-        if out:
+        if state and out:
             table[state, list(out)] = list(out.values())
     return table.ravel()
 
@@ -150,15 +150,15 @@ def pieces(texts: list[str], models: Models) -> np.ndarray:
     found = np.zeros((len(texts), len(models.tables)))
     for k, table in enumerate(models.tables):
         state = np.zeros(len(starts), dtype=np.int32)
-        ended = np.ones(len(starts), dtype=np.int32)  # the last piece ends with the stretch
+        begun = np.zeros(len(starts), dtype=np.int32)
         for step, n in enumerate(live):
             if not n:
                 break
             to = table[state[:n] * models.width + grid[step, :n]]
             new = to < 0
-            ended[:n] += new
+            begun[:n] += new
             state[:n] = np.where(new, -1 - to, to)
-        found[:, k] = np.bincount(owner, weights=ended, minlength=len(texts))
+        found[:, k] = np.bincount(owner, weights=begun, minlength=len(texts))
     return found
 
 
