@@ -19,7 +19,7 @@ that gives the id and the code length for the next 16 bits.
 
 Texts are cut before single spaces, where the tokenizer's own pattern always
 ends a piece, and each distinct piece is encoded once in a while; so the ids are
-those of the whole text.
+those of the whole text.  Only byte-level BPE files are taken.
 
 Defined cases: a NULL or empty text has only the end id; documents without an id
 come last; rows that repeat an id keep one another's neighbourhood and come in
@@ -28,10 +28,13 @@ the order of a hash of their codes; an empty table gives empty files.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,11 +52,17 @@ END = 0
 #: Ids of a part of the files on average, and of a block at least.
 PART_IDS = 1 << 22
 BLOCK_IDS = 1 << 16
-#: Distinct pieces whose ids a task remembers.
-MEMORY = 300_000
+#: Distinct pieces whose ids a process remembers.
+MEMORY = 1_000_000
 
 #: A space after a character that no tokenizer takes for white space.
-_CUT = re.compile("(?<=[^\\s᠎​﻿]) ")
+_CUT = re.compile("(?<=[^\\s\u180e\ufeff\u200b]) ")
+#: UTF-8 bytes without which the only white space is a space or a line feed.
+_RARE = bytes([*range(0x09, 0x0A), *range(0x0B, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF])
+#: Letters that every edition of the tables calls so, and ASCII signs but the apostrophe.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+").fullmatch
+_FEED = "\n"
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 
 BLOCK_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -62,34 +71,104 @@ BLOCK_SCHEMA = T.StructType([
     T.StructField("bits", T.BinaryType()), T.StructField("marks", T.BinaryType())])
 
 
+class _Memory(dict):
+    """Ids of pieces as bytes; a piece that is not known is encoded and kept."""
+
+    def __init__(self, prefix: str, encode):
+        super().__init__()
+        self.prefix, self.encode = prefix, encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMORY:
+            self.clear()
+        found = self[piece] = self.encode(self.prefix + piece)
+        return found
+
+
 class PieceEncoder:
-    """Ids of texts as bytes of `dtype`, through a memory of pieces."""
+    """Ids of texts as bytes of `dtype`, through a memory of pieces.
+
+    A piece that is a word of Latin letters and the signs after it is two pieces of
+    the tokenizer's pattern, which go to its model one by one; any other piece
+    goes through the whole tokenizer.  A line feed between two words is a piece too.
+    """
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = dtype
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > MEMORY:
-            self.known = {}
-        new = sorted(pieces - self.known.keys())
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(found.ids, dtype=self.dtype).tobytes()
+        self.tokenize = self.tokenizer.model.tokenize
+        if not _is_byte_level(self.tokenizer):
+            raise ValueError("only byte-level BPE tokenizers cut texts before single spaces")
+        self.letters = _byte_letters()
+        self.code = "H" if dtype == "<u2" else "I"
+        self.first, self.rest = _Memory("", self._encode), _Memory(" ", self._encode)
+        self.parts = _Memory("", self._part)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def _part(self, part: str) -> bytes:
+        spelled = part.encode().decode("latin-1").translate(self.letters)
+        return self._bytes([token.id for token in self.tokenize(spelled)])
+
+    def _encode(self, piece: str) -> bytes:
+        line, feed, others = piece.partition("\n")
+        if feed and line.strip() and others.strip() == others and line.rstrip() == line and others:
+            known = self.rest[line[1:]] if line[0] == " " else self.first[line]
+            return known + self.parts[_FEED] + self.first[others]
+        word = piece.rstrip(_SIGNS)
+        bare = word.removeprefix(" ")
+        if not (bare.isalpha() and (bare.isascii() or _LETTERS(bare))):
+            return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        signs = piece[len(word) :]
+        return self._part(word) + (self.parts[signs] if signs else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text and the end id."""
-        end = np.array([END], dtype=self.dtype).tobytes()
-        cut = []
-        for text in texts:
-            head, *rest = _CUT.split(text)
-            cut.append([head, *(" " + piece for piece in rest)] if text else [])
-        self._learn({piece for pieces in cut for piece in pieces})
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) + end for pieces in cut]
+        end = self._bytes([END])
+        first, rest = self.first.__getitem__, self.rest.__getitem__
+        return [(first(head) if head else b"") + b"".join(map(rest, others)) + end
+                for head, *others in map(pieces, texts)]
+
+
+def pieces(text: str) -> list[str]:
+    """The text cut at, and without, the spaces before which a piece of the pattern always ends."""
+    raw = text.encode()
+    plain = len(raw.translate(None, _RARE)) == len(raw) and "  " not in text and "\n " not in text
+    return text.split(" ") if plain and not text.startswith(" ") else _CUT.split(text)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Bytes that print stand for themselves; the others follow from U+0100 on.
+    """
+    printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in printed else chr(next(others)) for b in range(256)}
+
+
+def _is_byte_level(tokenizer) -> bool:
+    """Whether pieces are cut by the byte-level pattern, with nothing before or after it."""
+    spec = json.loads(tokenizer.to_str())
+    cut = spec["pre_tokenizer"] or {}
+    return (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+            and spec["normalizer"] is None and spec["model"]["type"] == "BPE")
+
+
+_encoders: dict[tuple[str, str], PieceEncoder] = {}
+
+
+def encoder(path: str, dtype: str) -> PieceEncoder:
+    """The encoder of this process, which keeps its memory from task to task."""
+    if (path, dtype) not in _encoders:
+        _encoders[path, dtype] = PieceEncoder(path, dtype)
+    return _encoders[path, dtype]
 
 
 def _dtype(path: str) -> str:
@@ -103,12 +182,12 @@ def tokens(path: str, dtype: str, text: str = "text") -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = PieceEncoder(path, dtype)
+        known = encoder(path, dtype)
         for texts in batches:
             rows: list[bytes] = []
             for block in A.blocks(texts):
                 part = texts.slice(block.first, block.n_texts).fill_null("")
-                rows.extend(encoder.encode(part.to_pylist()))
+                rows.extend(known.encode(part.to_pylist()))
             yield pa.array(rows, pa.binary())
 
     return encode(F.col(text).cast("string"))
