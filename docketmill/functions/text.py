@@ -30,25 +30,83 @@ _SPACE_CLASS = r"[\s\x1c-\x1f]"
 _INLINE_SPACE_CLASS = r"[\s\x1c-\x1f&&[^\n]]"
 
 
+_WORD_CLASS = r"\p{L}\p{N}_"
+_AT_EDGE = f"(?:(?<=[{_WORD_CLASS}])(?![{_WORD_CLASS}])|(?<![{_WORD_CLASS}])(?=[{_WORD_CLASS}]))"
+
+
+def _unicode_words(pattern: str) -> str:
+    """The pattern with `\\b`, `\\B`, `\\w` and `\\W` by letters, numbers and `_`, marks being none."""
+    out, i, in_class, literal = [], 0, False, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            e, follows = pattern[i + 1], pattern[i + 2 : i + 3]
+            plain_next = bool(re.match("[A-Za-z0-9_]", follows)) and not re.match("[?*{]", pattern[i + 3 : i + 4])
+            if in_class:
+                out.append(_WORD_CLASS if e == "w" else f"[^{_WORD_CLASS}]" if e == "W" else c + e)
+            elif e == "b":
+                before, after = f"(?<![{_WORD_CLASS}])", f"(?![{_WORD_CLASS}])"
+                out.append(after if literal else before if plain_next else _AT_EDGE)
+            else:
+                out.append({"B": f"(?!{_AT_EDGE})", "w": f"[{_WORD_CLASS}]", "W": f"[^{_WORD_CLASS}]"}.get(e, c + e))
+            literal = e in "wd" and not in_class
+            i += 2
+            continue
+        if in_class:
+            in_class = c != "]"
+        else:
+            in_class = c == "["
+        literal = not in_class and bool(re.match("[A-Za-z0-9_]", c))
+        out.append(c)
+        i += 1
+    return "".join(out)
+
+
+_PHRASE = r"[A-Za-z0-9_]+(?:\\s\+[A-Za-z0-9_]+)*"
+_SAFE_PART = re.compile(rf"\\b(?:({_PHRASE})|\((?:\?:)?({_PHRASE}(?:\|{_PHRASE})*)\))\\b")
+
+
+def _chain(pattern: str) -> list[str] | None:
+    """The parts of `A.+B.+C` where the first place of each part is also the best one.
+
+    That is so for words between word boundaries, alone or as alternatives none of
+    which lies within another; any other pattern is left as it is.
+    """
+    *first, last = pattern.split(".+")
+    for part in first:
+        found = _SAFE_PART.fullmatch(part)
+        names = (found.group(1) or found.group(2)).split("|") if found else []
+        if not found or any(x != y and x.lower() in y.lower() for x in names for y in names):
+            return None
+    depth, plain = 0, re.sub(r"\\.|\[[^\]]*\]", "", last)
+    for c in plain:
+        depth += (c == "(") - (c == ")")
+        if depth < 0 or c == "|" and depth == 0:
+            return None
+    return [*first, last] if first and depth == 0 and not re.match(r"[?*+{]", last) else None
+
+
 def regex(pattern: str, ignore_case: bool = True, ascii_only: bool = False) -> str:
     """Java form of a rule pattern with Unicode classes and `\\n`-only line ends.
 
     Two rewrites keep the search linear on long texts and never change whether
-    there is a match: a chain `A.+B.+C` in dot-all mode becomes "first A, then
-    first B after it, ..." with atomic groups, and white space at the start of a
-    line is matched from the last line start it spans.
+    there is a match: a chain of words `A.+B.+C` in dot-all mode becomes "first A,
+    then first B after it, ..." with atomic groups, and white space at the start
+    of a line is matched from the last line start it spans.
     """
     flags = ("d" if ascii_only else "dU") + ("i" if ignore_case else "")
     own = re.match(r"\(\?([a-z]+)\)", pattern)
     if own:
         pattern = pattern[own.end():]
         flags += "".join(f for f in own.group(1) if f not in flags and (ignore_case or f != "i"))
-    if "s" in flags and ".+" in pattern:
-        first, *rest = pattern.split(".+")
+    parts = _chain(pattern) if "s" in flags and ".+" in pattern else None
+    if parts:
+        first, *rest = parts
         pattern = rf"\A(?>.*?{first})" + "".join(f"(?>.+?{part})" for part in rest)
     if "m" in flags and pattern.startswith(r"^\s*"):
         pattern = "^" + _INLINE_SPACE_CLASS + "*" + pattern[4:]
-    return f"(?{flags})" + pattern.replace(r"\s", _SPACE_CLASS)
+    pattern = pattern.replace(r"\s", _SPACE_CLASS)
+    return f"(?{flags})" + (pattern if ascii_only else _unicode_words(pattern))
 
 
 def ascii_regex(pattern: str) -> str | None:

@@ -2,78 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketmill.functions.text import is_blank, strip
 
-# The largest document that is put together in one cell.  Spark holds a string
-# in one buffer of at most 2 GiB, and assembling needs the pages next to it.
-MAX_DOCUMENT_BYTES = 1 << 29
+#: What identifies a document.
+IDENTITY = ("source_bucket", "source_key")
 
 MISSING = "missing input"
-TOO_LARGE = "document too large for one text cell"
 NO_TEXT = "no extractable text"
 
 
-def page_bytes(page_text: Column) -> Column:
-    """Bytes a page adds to its document: the text and the newline after it."""
-    return F.coalesce(F.octet_length(page_text), F.lit(0)).cast("bigint") + 1
-
-
-def oversized(pages: DataFrame, key: str, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
-    """Keys of documents above the cell limit, with their size and page count.
-
-    Sizes are summed before the shuffle.  The result has at most
-    (bytes of the corpus / limit) rows, so it is small enough to broadcast:
-    200,000 keys for 100 TB.
-    """
-    sizes = pages.groupBy(key).agg(
-        F.sum(page_bytes(F.col("page_text"))).alias("doc_bytes"),
-        F.count(F.lit(1)).cast("int").alias("num_pages"),
-    )
-    return sizes.filter(F.col("doc_bytes") > max_bytes)
-
-
 def assemble_pages(
-    pages: DataFrame,
-    key: str = "source_key",
-    max_bytes: int = MAX_DOCUMENT_BYTES,
-    extractor: str = "pages",
+    pages: DataFrame, key: Sequence[str] = IDENTITY, extractor: str = "pages"
 ) -> DataFrame:
-    """One row per document: `(key, text, num_pages, char_count, extractor, error)`.
+    """One row per document: `(*key, text, num_pages, char_count, extractor, error)`.
 
-    Pages (`key, page_no, page_text`) are joined in page order by a newline and
-    the whole is stripped; a NULL page counts as an empty one.  A document no
-    text cell can hold is measured first and set aside with an error, so no
-    group larger than `max_bytes` is ever collected.
+    Pages (`*key, page_no, page_text`) are joined in page order by a newline and
+    the whole is stripped; a NULL page counts as an empty one, and a page that was
+    delivered twice with the same text counts once.  The text of a document is one
+    cell, so its pages must meet in one task; text is shuffled once and nothing
+    else is read.
     """
-    too_large = oversized(pages, key, max_bytes)
-    fitting = pages.join(F.broadcast(too_large.select(key)), key, "left_anti")
-    ordered = F.array_sort(F.collect_list(
-        F.struct("page_no", F.coalesce("page_text", F.lit("")).alias("page_text"))))
-    docs = fitting.groupBy(key).agg(ordered.alias("_pages")).select(
-        key,
+    page = F.struct("page_no", F.coalesce("page_text", F.lit("")).alias("page_text"))
+    docs = pages.groupBy(*key).agg(F.array_sort(F.collect_set(page)).alias("_pages")).select(
+        *key,
         strip(F.array_join(F.col("_pages.page_text"), "\n")).alias("text"),
         F.size("_pages").alias("num_pages"),
     )
-    whole = docs.select(
-        key,
+    return docs.select(
+        *key,
         "text",
         "num_pages",
         F.length("text").cast("bigint").alias("char_count"),
         F.lit(extractor).alias("extractor"),
         F.when(F.col("text") == "", F.lit(NO_TEXT)).alias("error"),
     )
-    rejected = too_large.select(
-        key,
-        F.lit(None).cast("string").alias("text"),
-        "num_pages",
-        F.lit(None).cast("bigint").alias("char_count"),
-        F.lit(extractor).alias("extractor"),
-        F.lit(TOO_LARGE).alias("error"),
-    )
-    return whole.unionByName(rejected)
 
 
 def from_text(docs: DataFrame, text: str = "text", extractor: str = "text") -> DataFrame:
@@ -88,13 +55,13 @@ def from_text(docs: DataFrame, text: str = "text", extractor: str = "text") -> D
     })
 
 
-def missing_inputs(manifest: DataFrame, pages: DataFrame, key: str = "source_key") -> DataFrame:
+def missing_inputs(manifest: DataFrame, pages: DataFrame, key: Sequence[str] = IDENTITY) -> DataFrame:
     """Manifest rows without a single page.
 
     Page keys are made distinct before the join, so a document with very many
     pages is one row by then.
     """
-    return manifest.join(pages.select(key).distinct(), key, "left_anti")
+    return manifest.join(pages.select(*key).distinct(), list(key), "left_anti")
 
 
 def accepted(outcomes: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from docketmill.functions.text import is_blank
 from docketmill.operators.classify import classify
 from docketmill.operators.keywords import keyword_cells
 from docketmill.operators.metadata import metadata
-from docketmill.operators.pages import MISSING, NO_TEXT, accepted, assemble_pages, from_text, quarantined
+from docketmill.operators.pages import IDENTITY, MISSING, NO_TEXT, accepted, assemble_pages, from_text, quarantined
 from docketmill.operators.summarize import summarize
 from docketmill.plans import records as R
 from docketmill.rules import DEFAULT_RULES, RuleSet
 from docketmill.sources import sinks
-from docketmill.sources.uploads import pdf_uploads
+from docketmill.sources.uploads import pdf_uploads, unreadable_events
 
 def tag(documents: DataFrame, rules: RuleSet = DEFAULT_RULES, num_sentences: int = 3) -> DataFrame:
     """Add category, scores, metadata, label/value fields and a summary to each document.
@@ -51,13 +51,14 @@ def rejects(documents: DataFrame) -> DataFrame:
     return quarantined(documents)
 
 
-def documents_for(uploads: DataFrame, pages: DataFrame, **options) -> DataFrame:
+def documents_for(uploads: DataFrame, pages: DataFrame) -> DataFrame:
     """Uploads joined to their assembled pages; an upload without pages gets an error.
 
-    Both sides are one row per document when they meet.
+    Only pages of uploaded documents are grouped, and what is grouped stays where
+    it is for the join: the page table is read once and its text shuffled once.
     """
-    docs = assemble_pages(pages, "source_key", **options)
-    found = uploads.join(docs.withColumn("_found", F.lit(True)), "source_key", "left")
+    wanted = pages.join(uploads.select(*IDENTITY).distinct(), list(IDENTITY), "left_semi")
+    found = uploads.join(assemble_pages(wanted).withColumn("_found", F.lit(True)), list(IDENTITY), "left")
     return found.withColumn(
         "error", F.when(F.col("_found").isNull(), F.lit(MISSING)).otherwise(F.col("error"))
     ).drop("_found")
@@ -89,8 +90,14 @@ def run(
 def process_uploads(
     events: DataFrame, pages: DataFrame, out_path: str | None = None, rules: RuleSet = DEFAULT_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """Notifications and page texts to `(records, rejects)`."""
-    return run(documents_for(pdf_uploads(events), pages), out_path, rules)
+    """Notifications and page texts to `(records, rejects)`; unreadable notifications are rejects."""
+    return run(with_unreadable(documents_for(pdf_uploads(events), pages), events), out_path, rules)
+
+
+def with_unreadable(documents: DataFrame, events: DataFrame, body: str = "body") -> DataFrame:
+    """Documents and, as rows with an error only, the notifications that name none."""
+    bad = unreadable_events(events, body).select("error")
+    return documents.unionByName(bad, allowMissingColumns=True)
 
 
 def process_texts(

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketmill.operators.rows import elements
 
 EVENT_SCHEMA = (
-    "struct<Records: array<struct<eventTime: string, s3: struct<"
+    "struct<_corrupt_record: string, Records: array<struct<eventTime: string, s3: struct<"
     "bucket: struct<name: string>, object: struct<key: string>>>>>"
 )
-PAGE_SCHEMA = "source_key string, page_no int, page_text string"
+PAGE_SCHEMA = "source_bucket string, source_key string, page_no int, page_text string"
+BROKEN = "unreadable notification"
+NO_OBJECT = "notification without bucket or key"
 ANY_CASE_PDF = "*.[pP][dD][fF]"
 
 
@@ -33,7 +37,8 @@ def unnest_events(events: DataFrame, body: str = "body") -> DataFrame:
     """One row per record of each JSON notification, with its key decoded.
 
     Notifications without records give no rows.  `accepted` tells documents from
-    other objects, which are neither processed nor reported as failed.
+    other objects, which are neither processed nor reported as failed; see
+    `unreadable_events` for what cannot be parsed.
     """
     records = elements(events, [], F.from_json(body, EVENT_SCHEMA)["Records"], "r")
     decoded = records.select(
@@ -44,6 +49,22 @@ def unnest_events(events: DataFrame, body: str = "body") -> DataFrame:
     return decoded.withColumn("accepted", F.coalesce(is_pdf(F.col("source_key")), F.lit(False)))
 
 
+def unreadable_events(events: DataFrame, body: str = "body") -> DataFrame:
+    """Notifications that name no object: `(body, error)`.
+
+    A body that is no JSON object, or holds a record without a bucket or key, is
+    reported once, as it is.
+    """
+    parsed = F.from_json(body, EVENT_SCHEMA)
+    nameless = F.exists(
+        parsed["Records"], lambda r: r["s3"]["bucket"]["name"].isNull() | r["s3"]["object"]["key"].isNull())
+    reason = (
+        F.when(F.col("p._corrupt_record").isNotNull() | F.col("p").isNull(), F.lit(BROKEN))
+        .when(F.col("nameless"), F.lit(NO_OBJECT)))
+    found = events.select(F.col(body).alias("body"), parsed.alias("p"), nameless.alias("nameless"))
+    return found.select("body", reason.alias("error")).filter("error is not null").distinct()
+
+
 def pdf_uploads(events: DataFrame, body: str = "body") -> DataFrame:
     """Distinct `(source_bucket, source_key)` of uploaded documents; a repeated
     notification counts once."""
@@ -51,20 +72,36 @@ def pdf_uploads(events: DataFrame, body: str = "body") -> DataFrame:
     return rows.select("source_bucket", "source_key").distinct()
 
 
-def read_manifest(spark: SparkSession, path: str, bucket: str = "") -> DataFrame:
-    """Objects under `path` with a `.pdf` suffix in any case; their bytes are never read."""
+def object_key(path: Column, root: str) -> Column:
+    """Key of the object at `path` in the bucket whose top is `root`; both may be URIs."""
+    top = re.sub("^[a-zA-Z0-9]+://[^/]*|^[a-zA-Z0-9]+:(?=/)", "", root).strip("/")
+    inside = F.regexp_replace(F.regexp_replace(path, "^[a-zA-Z0-9]+://[^/]*|^[a-zA-Z0-9]+:(?=/)", ""), "^/+", "")
+    return F.when(F.startswith(inside, F.lit(f"{top}/")), F.substring(inside, len(top) + 2, 1 << 30)).otherwise(
+        inside) if top else inside
+
+
+def read_manifest(spark: SparkSession, path: str, bucket: str = "", root: str | None = None) -> DataFrame:
+    """Objects under `path` with a `.pdf` suffix in any case; their bytes are never read.
+
+    `root` is the top of the bucket (`path` itself, if not given); keys are
+    relative to it, as those of notifications are.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", ANY_CASE_PDF).option(
         "recursiveFileLookup", "true").load(path)
+    return manifest_rows(files, bucket, path if root is None else root)
+
+
+def manifest_rows(files: DataFrame, bucket: str, root: str) -> DataFrame:
     return files.select(
         F.lit(bucket).alias("source_bucket"),
-        F.col("path").alias("source_key"),
+        object_key(decode_key(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), root).alias("source_key"),
         "length",
         F.col("modificationTime").alias("modification_time"),
     )
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A page table `(source_key, page_no, page_text)` in Parquet, ORC, JSON or CSV."""
+    """A page table `(source_bucket, source_key, page_no, page_text)` in Parquet, ORC, JSON or CSV."""
     reader = spark.read.schema(PAGE_SCHEMA)
     if fmt == "csv":
         reader = reader.options(header=True, multiLine=True, escape='"')

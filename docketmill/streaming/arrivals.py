@@ -1,7 +1,8 @@
 """Arrival-driven runs: new files are processed as they land.
 
-Every stage before the sinks looks at one document only, so a micro-batch is the
-batch pipeline applied to the files that arrived; no state store is needed.
+A micro-batch is the batch pipeline applied to the files that arrived.  What was
+done before is known from the written outcomes; no state store is needed, and
+nothing is forgotten after a while.
 """
 
 from __future__ import annotations
@@ -9,16 +10,18 @@ from __future__ import annotations
 import hashlib
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docketmill.plans.pipeline import documents_for, outcomes
+from docketmill.operators.pages import IDENTITY
+from docketmill.plans.pipeline import documents_for, outcomes, with_unreadable
 from docketmill.plans.records import CSV_COLUMNS, REJECT_COLUMNS
 from docketmill.rules import DEFAULT_RULES, RuleSet
 from docketmill.session import checkpoint_root
 from docketmill.sources import sinks
-from docketmill.sources.uploads import ANY_CASE_PDF, PAGE_SCHEMA, unnest_events
+from docketmill.sources.uploads import ANY_CASE_PDF, PAGE_SCHEMA, is_pdf, manifest_rows, pdf_uploads
 
 
 def _parts(path: str) -> tuple[str, str, list[str]]:
@@ -42,79 +45,123 @@ def stable_name(*paths: str) -> str:
 def page_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Page files `(source_key, page_no, page_text)` as they arrive.
-
-    All pages of a document must be delivered in one file.
-    """
+    """Page files `(source_bucket, source_key, page_no, page_text)` as they arrive."""
     reader = spark.readStream.schema(PAGE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.format(fmt).load(path)
 
 
-def upload_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def upload_stream(
+    spark: SparkSession, path: str, bucket: str = "", root: str | None = None, files_per_trigger: int | None = None
+) -> DataFrame:
     """New `.pdf` objects under `path` as manifest rows; their bytes are not read."""
     reader = spark.readStream.format("binaryFile").option("pathGlobFilter", ANY_CASE_PDF).option(
         "recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path).select(
-        F.col("path").alias("source_key"), "length", F.col("modificationTime").alias("modification_time"))
+    return manifest_rows(reader.load(path), bucket, path if root is None else root)
 
 
-def event_stream(
-    spark: SparkSession, path: str, redelivery_window: str = "7 days", files_per_trigger: int | None = None
-) -> DataFrame:
-    """Accepted uploads from JSON notification files, each object and time once.
-
-    Repeats are recognised within `redelivery_window` of event time, which bounds
-    the state that is kept.
-    """
+def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """JSON notification files as they arrive, one `body` each."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rows = unnest_events(reader.text(path, wholetext=True), "value").filter("accepted")
-    timed = rows.withColumn("event_time", F.try_to_timestamp("event_time"))
-    return timed.withWatermark("event_time", redelivery_window).dropDuplicatesWithinWatermark(
-        ["source_bucket", "source_key", "event_time"]).select("source_bucket", "source_key", "event_time")
+    return reader.text(path, wholetext=True).withColumnRenamed("value", "body")
+
+
+def _written(spark: SparkSession, out_path: str, before: int) -> DataFrame:
+    """Outcomes of the batches before `before`; none if nothing is written yet."""
+    schema = f"{sinks.RECORD_SCHEMA}, error string, rejected boolean, batch_id bigint"
+    try:
+        table = spark.read.schema(schema).parquet(f"{out_path}/outcomes")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        table = spark.createDataFrame([], schema)
+    return table.filter(F.col("batch_id") < before)
+
+
+def _write_batch(found: DataFrame, out_path: str, batch_id: int) -> None:
+    sinks.write_outcomes(found, f"{out_path}/outcomes/batch_id={batch_id}")
+    done, _ = sinks.read_outcomes(found.sparkSession, f"{out_path}/outcomes/batch_id={batch_id}")
+    sinks.write_csv(done, f"{out_path}/results/csv/batch_id={batch_id}")
+    sinks.write_json(done, f"{out_path}/results/json/batch_id={batch_id}")
+
+
+def _start(stream: DataFrame, process, in_path: str, out_path: str, checkpoint: str | None, available_now: bool):
+    assert_no_loop(in_path, out_path)
+    location = checkpoint or f"{checkpoint_root(stream.sparkSession)}/arrivals/{stable_name(in_path, out_path)}"
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", location)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def run_stream(
     pages: DataFrame,
     in_path: str,
     out_path: str,
-    bucket: str = "",
     checkpoint: str | None = None,
     rules: RuleSet = DEFAULT_RULES,
     available_now: bool = True,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Process a page stream; each micro-batch owns its directories under `out_path`.
 
     A retried batch overwrites its own directories, so every document is written
-    once however often a batch is tried.
+    once however often a batch is tried.  A document whose pages come in several
+    batches is written again from all of them, and the last outcome counts; the
+    page store is read again only for such documents.
     """
-    assert_no_loop(in_path, out_path)
-    spark = pages.sparkSession
-    location = checkpoint or f"{checkpoint_root(spark)}/arrivals/{stable_name(in_path, out_path)}"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        uploads = batch.select("source_key").distinct().withColumn("source_bucket", F.lit(bucket))
-        found = outcomes(documents_for(uploads, batch), rules)
-        sinks.write_outcomes(found, f"{out_path}/outcomes/batch_id={batch_id}")
-        done, _ = sinks.read_outcomes(batch.sparkSession, f"{out_path}/outcomes/batch_id={batch_id}")
-        sinks.write_csv(done, f"{out_path}/results/csv/batch_id={batch_id}")
-        sinks.write_json(done, f"{out_path}/results/json/batch_id={batch_id}")
-
-    writer = pages.writeStream.foreachBatch(process).option("checkpointLocation", location)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+        spark = batch.sparkSession
+        uploads = batch.select(*IDENTITY).filter(is_pdf(F.col("source_key"))).distinct()
+        known = _written(spark, out_path, batch_id).select(*IDENTITY).distinct()
+        again = uploads.join(known, list(IDENTITY), "left_semi")
+        if not again.isEmpty():
+            store = spark.read.schema(PAGE_SCHEMA).format(fmt).load(in_path)
+            batch = batch.unionByName(store.join(again, list(IDENTITY), "left_semi"))
+        _write_batch(outcomes(documents_for(uploads, batch), rules), out_path, batch_id)
+
+    return _start(pages, process, in_path, out_path, checkpoint, available_now)
+
+
+def run_uploads_stream(
+    events: DataFrame,
+    pages: DataFrame,
+    in_path: str,
+    out_path: str,
+    checkpoint: str | None = None,
+    rules: RuleSet = DEFAULT_RULES,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Process a stream of notifications (`body`) against a page table.
+
+    Each object that has a record already is left out, however late and however
+    often it is announced; objects without pages and unreadable notifications are
+    rejects.  What is remembered is the written table, so nothing expires.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        done = _written(batch.sparkSession, out_path, batch_id).filter("not rejected").select(*IDENTITY)
+        uploads = pdf_uploads(batch).join(done, list(IDENTITY), "left_anti")
+        found = with_unreadable(documents_for(uploads, pages), batch)
+        _write_batch(outcomes(found, rules), out_path, batch_id)
+
+    return _start(events, process, in_path, out_path, checkpoint, available_now)
 
 
 def read_stream_results(spark: SparkSession, out_path: str) -> tuple[DataFrame, DataFrame]:
-    """`(records, rejects)` over all batches written so far."""
-    schema = f"{sinks.RECORD_SCHEMA}, error string, rejected boolean, batch_id bigint"
-    table = spark.read.schema(schema).parquet(f"{out_path}/outcomes")
+    """`(records, rejects)` over all batches written so far.
+
+    Of a document with several outcomes the one of the last batch counts.
+    """
+    table = _written(spark, out_path, 1 << 62)
+    last = table.filter("source_key is not null").groupBy(*IDENTITY).agg(F.max("batch_id").alias("last_batch"))
+    table = table.join(last, list(IDENTITY), "left").filter("last_batch is null or batch_id = last_batch")
     return (
         table.filter(~F.col("rejected")).select(*CSV_COLUMNS, "batch_id"),
         table.filter(F.col("rejected")).select(*REJECT_COLUMNS, "batch_id"),

@@ -16,6 +16,7 @@ from docketmill.operators import terms
 from docketmill.operators.classify import classify
 from docketmill.operators.summarize import summarize
 from docketmill.rules import FIELD_ALIASES, PROTOTYPES, STOPWORDS, RuleSet
+from docketmill.plans import pipeline
 from docketmill.sources import uploads
 
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -215,15 +216,29 @@ def test_corpus_tfidf_equals_brute_force(spark):
 
 
 def page_rows(spark, rows):
-    return spark.createDataFrame(rows, uploads.PAGE_SCHEMA)
+    return spark.createDataFrame([("b", *r) if len(r) == 3 else r for r in rows], uploads.PAGE_SCHEMA)
 
 
 def test_pages_are_joined_in_order_and_empty_ones_count(spark):
-    df = page_rows(spark, [("a", 2, "two \n"), ("a", 0, " zero"), ("a", 1, None), ("b", 0, " \n"), ("c", 0, "x" * 50)])
-    got = {r["source_key"]: r for r in P.assemble_pages(df, max_bytes=40).collect()}
+    df = page_rows(spark, [("a", 2, "two \n"), ("a", 0, " zero"), ("a", 1, None), ("b", 0, " \n"), ("a", 2, "two \n")])
+    got = {r["source_key"]: r for r in P.assemble_pages(df).collect()}
     assert (got["a"]["text"], got["a"]["num_pages"], got["a"]["char_count"]) == ("zero\n\ntwo", 3, 9)
     assert got["a"]["error"] is None and got["b"]["error"] == P.NO_TEXT
-    assert (got["c"]["text"], got["c"]["error"], got["c"]["num_pages"]) == (None, P.TOO_LARGE, 1)
+
+
+def test_a_key_in_two_buckets_is_two_documents(spark):
+    pages = page_rows(spark, [("b1", "x.pdf", 0, "one"), ("b2", "x.pdf", 0, "two"), ("b2", "y.pdf", 0, "other")])
+    wanted = spark.createDataFrame([("b1", "x.pdf"), ("b2", "x.pdf"), ("b3", "x.pdf")], "source_bucket string, source_key string")
+    got = {r["source_bucket"]: (r["text"], r["num_pages"], r["error"]) for r in pipeline.documents_for(wanted, pages).collect()}
+    assert got == {"b1": ("one", 1, None), "b2": ("two", 1, None), "b3": (None, None, P.MISSING)}
+    assert [r["source_bucket"] for r in P.missing_inputs(wanted, pages).collect()] == ["b3"]
+
+
+def test_unreadable_notifications(spark):
+    bodies = ["{broken", '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {}}}]}', '{"Event": "test"}',
+              '{"Records": []}', '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "a.pdf"}}}]}', "{broken"]
+    found = uploads.unreadable_events(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert sorted(map(tuple, found.collect())) == sorted([(bodies[0], uploads.BROKEN), (bodies[1], uploads.NO_OBJECT)])
 
 
 def test_a_hot_document_with_a_third_of_all_pages(spark):

@@ -25,8 +25,8 @@ def page_rows(extra=()):
     rows = []
     for name, text in TEXTS.items():
         lines = text.split("\n")
-        rows += [(f"in/{name}.pdf", 0, "\n".join(lines[:6])), (f"in/{name}.pdf", 1, "\n".join(lines[6:]))]
-    return rows + list(extra)
+        rows += [(BUCKET, f"in/{name}.pdf", 0, "\n".join(lines[:6])), (BUCKET, f"in/{name}.pdf", 1, "\n".join(lines[6:]))]
+    return rows + [(BUCKET, *r) for r in extra]
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,7 @@ def finished(spark, tmp_path_factory):
     quoted = 'Nöte "A", b\nSay: "yes"\nRegion: \\x, ü'
     events = spark.createDataFrame(
         [event(*[f"in/{n}.pdf" for n in TEXTS]), event("in/notes.txt", "in/gone.pdf"),
-         event("in/blank.pdf", "in/%22q%22%2C+x.PDF"), event("in/invoice_001.pdf")], "body string")
+         event("in/blank.pdf", "in/%22q%22%2C+x.PDF"), event("in/invoice_001.pdf"), ("{broken",)], "body string")
     pages = spark.createDataFrame(
         page_rows([("in/blank.pdf", 0, " "), ('in/"q", x.PDF', 0, quoted)]), uploads.PAGE_SCHEMA)
     done, bad = pipeline.process_uploads(events, pages, out)
@@ -61,7 +61,7 @@ def test_six_documents_end_to_end(finished):
 def test_failures_are_kept_apart_and_repeats_count_once(finished):
     _, done, bad = finished
     assert {(r["source_key"], r["error"]) for r in bad.collect()} == {
-        ("in/gone.pdf", P.MISSING), ("in/blank.pdf", P.NO_TEXT)}
+        ("in/gone.pdf", P.MISSING), ("in/blank.pdf", P.NO_TEXT), (None, uploads.BROKEN)}
     ids = [r["document_id"] for r in done.select("document_id").collect()]
     assert len(ids) == len(set(ids)) == 7
 
@@ -101,7 +101,7 @@ def test_python_reads_the_csv(finished):
 
 def test_reports(spark, finished):
     out, done, bad = finished
-    inputs = done.select("source_key").union(bad.select("source_key"))
+    inputs = done.select(*P.IDENTITY).union(bad.select(*P.IDENTITY).filter("source_key is not null"))
     gaps = reports.output_parity(
         inputs, sinks.read_csv(spark, f"{out}/results/csv"), sinks.read_json(spark, f"{out}/results/json"))
     assert {r["source_key"] for r in gaps.collect()} == {"in/gone.pdf", "in/blank.pdf"}
@@ -110,7 +110,7 @@ def test_reports(spark, finished):
     assert audit["invoice_001.pdf"]["keyword_field_keys"].split(",") == list(KEYWORDS["invoice_001"])
     outcomes = done.select(F.lit(None).cast("string").alias("error")).union(bad.select("error"))
     assert reports.run_summary(outcomes).first().asDict() == {
-        "received": 9, "processed": 7, "failed": 2, "status_code": 207}
+        "received": 10, "processed": 7, "failed": 3, "status_code": 207}
     names = [r["filename"] for r in reports.by_filename(done).collect()]
     assert names == sorted(names)
 
@@ -143,51 +143,65 @@ def test_local_files_keep_their_path(spark, tmp_path):
     assert all("source_path" in x and "s3_uri" not in x for x in lines) and len(lines) == 6
 
 
-def test_manifest_finds_pdfs_in_any_case(spark, tmp_path):
-    for name in ("a.pdf", "b.PDF", "c.txt", "sub/d.Pdf"):
-        path = tmp_path / name
-        path.parent.mkdir(exist_ok=True)
+def test_manifest_finds_pdfs_in_any_case_and_joins_pages(spark, tmp_path):
+    for name in ("a.pdf", "b.PDF", "c.txt", "sub/d +1.Pdf"):
+        path = tmp_path / "top" / name
+        path.parent.mkdir(exist_ok=True, parents=True)
         path.write_bytes(b"12345")
-    df = uploads.read_manifest(spark, str(tmp_path), BUCKET)
-    assert {(os.path.basename(r["source_key"]), r["length"]) for r in df.collect()} == {
-        ("a.pdf", 5), ("b.PDF", 5), ("d.Pdf", 5)}
+    for where, root in ((tmp_path / "top", None), (tmp_path / "top", f"file://{tmp_path}/top/")):
+        df = uploads.read_manifest(spark, str(where), BUCKET, root)
+        assert {(r["source_key"], r["length"]) for r in df.collect()} == {("a.pdf", 5), ("b.PDF", 5), ("sub/d +1.Pdf", 5)}
+    pages = spark.createDataFrame([(BUCKET, "a.pdf", 0, "x"), (BUCKET, "sub/d +1.Pdf", 0, "y")], uploads.PAGE_SCHEMA)
+    assert [r["source_key"] for r in P.missing_inputs(df, pages).collect()] == ["b.PDF"]
 
 
 def test_stream_processes_new_files_once(spark, tmp_path):
     source, out, ckpt = (str(tmp_path / n) for n in ("pages", "out", "ckpt"))
-    rows = page_rows([("in/blank.pdf", 0, None)])
+    rows = page_rows([("in/blank.pdf", 0, None), ("notes.txt", 0, "no document")])
     schema = uploads.PAGE_SCHEMA
+    rows[0], rows[6] = rows[6], rows[0]  # the first document's pages come in two files
     spark.createDataFrame(rows[:4], schema).coalesce(1).write.mode("append").parquet(source)
 
     def drain():
         stream = arrivals.page_stream(spark, source, files_per_trigger=1)
-        arrivals.run_stream(stream, source, out, BUCKET, ckpt).awaitTermination(180)
+        arrivals.run_stream(stream, source, out, ckpt).awaitTermination(180)
         done, bad = arrivals.read_stream_results(spark, out)
         return {r["filename"] for r in done.collect()}, done.count(), bad.count()
 
-    assert drain() == ({"invoice_001.pdf", "invoice_002.pdf"}, 2, 0)
-    assert drain()[1:] == (2, 0)
+    first = [r[1].split("/")[1] for r in rows[:4]]
+    assert drain() == (set(first), len(set(first)), 0)
+    assert drain()[1:] == (len(set(first)), 0)
     spark.createDataFrame(rows[4:], schema).coalesce(1).write.mode("append").parquet(source)
     names, done, bad = drain()
     assert (len(names), done, bad) == (6, 6, 1)
-    assert sinks.read_csv(spark, f"{out}/results/csv").count() == 6
+    pages = {r["filename"]: (r["num_pages"], r["char_count"]) for r in arrivals.read_stream_results(spark, out)[0].collect()}
+    assert pages == {f"{n}.pdf": (2, len(t)) for n, t in TEXTS.items()}
 
 
-def test_event_stream_drops_repeats(spark, tmp_path):
-    source = tmp_path / "events"
+def test_notifications_become_records_once(spark, tmp_path):
+    source, out, ckpt = tmp_path / "events", str(tmp_path / "out"), str(tmp_path / "ckpt")
     source.mkdir()
+    pages = spark.createDataFrame(page_rows(), uploads.PAGE_SCHEMA)
 
-    def body(key):
-        return json.dumps({"Records": [{"eventTime": "2025-01-01T00:00:00Z", "s3": {
-            "bucket": {"name": BUCKET}, "object": {"key": key}}}]})
-
-    for i, key in enumerate(["a.pdf", "a.pdf", "b.pdf", "c.txt"]):
-        (source / f"{i}.json").write_text(body(key))
-    stream = arrivals.event_stream(spark, str(source), files_per_trigger=1)
-    query = stream.writeStream.format("memory").queryName("uploads_seen").option(
-        "checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    assert sorted(r["source_key"] for r in spark.table("uploads_seen").collect()) == ["a.pdf", "b.pdf"]
+    def body(key, time=None):
+        record = {"s3": {"bucket": {"name": BUCKET}, "object": {"key": key}}}
+        return json.dumps({"Records": [record | ({"eventTime": time} if time else {})]})
+
+    def drain():
+        stream = arrivals.event_stream(spark, str(source), files_per_trigger=1)
+        arrivals.run_uploads_stream(stream, pages, str(source), out, ckpt).awaitTermination(240)
+        done, bad = arrivals.read_stream_results(spark, out)
+        return sorted(r["filename"] for r in done.collect()), sorted((r["filename"] or "", r["error"]) for r in bad.collect())
+
+    bodies = [body("in/invoice_001.pdf", "2025-03-02T00:00:00Z"), body("in/invoice_001.pdf"), body("in/notes.txt"),
+              "{broken", body("in/gone.pdf")]
+    for i, text in enumerate(bodies):
+        (source / f"{i}.json").write_text(text)
+    rejects = [("", uploads.BROKEN), ("gone.pdf", P.MISSING)]
+    assert drain() == (["invoice_001.pdf"], rejects)
+    (source / "late.json").write_text(body("in/invoice_002.pdf", "2024-01-01T00:00:00Z"))
+    (source / "again.json").write_text(bodies[0])
+    assert drain() == (["invoice_001.pdf", "invoice_002.pdf"], rejects)
 
 
 def test_results_must_not_feed_the_input():

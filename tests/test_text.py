@@ -103,3 +103,23 @@ def test_long_blank_and_unbroken_runs_stay_fast(spark):
         F.expr(pattern_score("text", "folded", "plain", rules, {})).alias("s"),
         T.first_email(F.col("text"), r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}").alias("e"))
     assert [r["e"] for r in out.collect()] == [None] * 4
+
+
+USER_RULES = [
+    r"(?is)(alpha.+beta|gamma).+delta", r"(?is)a\.+b", r"\b(tax|vat)\b", r"\bvat\b", r"(?is)\b(tax|tax\s+due)\b.+\bdue\b",
+    r"(?is)\btax\b.+\b(due|net)\b", r"(?is)a+.+b", r"(?is)\btax\b.+?\bdue\b", r"(?is)tax|net.+due", r"\Btax", r"\w+²", r"x\b",
+    r"(?is)\b(a\s+b\s+c|b)\b.+\bc\b", r"[\w-]+\W\bvat", r"(?is)\btax\b.+due|net",
+]
+PIECES = ["tax", "vat", "due", "net", "alpha", "beta", "gamma", "delta", "a", "b", "c", ".", "..", "²", "½", "Ⅷ", "́", "_",
+          " ", "\n", "x", "é", "TAX", "-", "٣"]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=9).map("".join), min_size=30, max_size=60))
+def test_user_rules_mean_what_python_says(spark, texts):
+    """Groups, escapes, marks and numbers that are no digits."""
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    cols = [F.rlike("text", F.lit(T.regex(p))).alias(f"p{k}") for k, p in enumerate(USER_RULES)]
+    for row in df.select("text", *cols).collect():
+        for k, p in enumerate(USER_RULES):
+            assert row[f"p{k}"] == bool(re.search(p, row["text"], re.I)), (p, row["text"])

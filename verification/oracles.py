@@ -123,6 +123,8 @@ applications AS (
 BUSINESS = f"""{INVOICES},{REPORTS},{APPLICATIONS},
 business AS (SELECT * FROM invoices UNION ALL SELECT * FROM reports UNION ALL SELECT * FROM applications)"""
 
+PLAIN_AND_BUSINESS = (
+    BUSINESS + ",\nsrc AS (SELECT doc_id, text FROM business UNION ALL SELECT doc_id::VARCHAR, text FROM documents)")
 BUSINESS_SRC = BUSINESS + ",\nsrc AS (SELECT doc_id, text FROM business)"
 
 # --- terms -------------------------------------------------------------------
@@ -362,16 +364,15 @@ WARNING = "'{\"warning\": \"No extractor registered for category ''' || category
 # --- pages and uploads -------------------------------------------------------
 
 CHAT = "'chats/' || conv_id || '.pdf'"
-SCANNED = f"""
-scanned AS (
-  SELECT {CHAT} AS source_key, count(*) AS num_pages,
-    trim(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, chr(10) ORDER BY turn), E' \\t\\n\\r') AS text
-  FROM conversations WHERE role <> 'system' GROUP BY conv_id),
-uploads AS (SELECT DISTINCT {CHAT} AS source_key FROM conversations),
-chat_outcomes AS (
-  SELECT source_key, num_pages,
-    CASE WHEN num_pages IS NULL THEN 'missing input' WHEN text = '' THEN 'no extractable text' END AS error
-  FROM uploads LEFT JOIN scanned USING (source_key))"""
+ORDERED = """
+uploads AS (
+  SELECT 'business-inbox' AS source_bucket, 'invoices/' || o_orderkey || '.pdf' AS source_key, o_orderstatus,
+    EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS has_lines
+  FROM orders),
+order_outcomes AS (
+  SELECT source_bucket, source_key, CASE WHEN has_lines OR o_orderstatus = 'F' THEN 1 END AS num_pages,
+    CASE WHEN NOT has_lines AND o_orderstatus = 'F' THEN 'no extractable text' WHEN NOT has_lines THEN 'missing input' END AS error
+  FROM uploads)"""
 
 EVENTS = r"""
 parts AS (
@@ -449,9 +450,9 @@ SELECT doc_id, token, cnt, round(cnt::DOUBLE / sum(cnt) OVER (PARTITION BY doc_i
   * (ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + df)) + 1), 9) AS weight
 FROM counts JOIN df USING (token)""",
     "cosine": with_(DOCS, COSINE) + "SELECT doc_id, category, round(similarity, 8) AS similarity FROM cosines",
-    "alias_scores": with_(DOCS, RULES) + "SELECT doc_id, "
+    "alias_scores": with_(PLAIN_AND_BUSINESS, RULES) + "SELECT doc_id, "
     + ", ".join(f"a_{x} AS alias_{x}" for x in SHORT.values()) + " FROM rule_scores",
-    "structural_scores": with_(DOCS, RULES) + "SELECT doc_id, "
+    "structural_scores": with_(PLAIN_AND_BUSINESS, RULES) + "SELECT doc_id, "
     + ", ".join(f"l_{x} AS structural_{x}" for x in SHORT.values()) + " FROM rule_scores",
     "combined_scores": with_(DOCS, COMBINED) + "SELECT doc_id, "
     + ", ".join(f"round(c_{x}, 8) AS score_{x}" for x in SHORT.values()) + " FROM combined",
@@ -475,7 +476,7 @@ SELECT doc_id, line_no, line, lead(line) OVER (PARTITION BY doc_id ORDER BY line
     "emails": f"SELECT doc_id, {PLAIN_EMAIL} AS email FROM documents",
     "phones": r"""SELECT doc_id, nullif(regexp_extract(text, '\+?\d[\d\-\s\(\)]{7,}\d'), '') AS phone FROM documents""",
     "currency_flag": f"SELECT doc_id, {PLAIN_CURRENCY} AS currency FROM documents",
-    "largest_amounts": f"SELECT doc_id, list_max({AMOUNTS}) AS largest_amount FROM documents",
+    "largest_amounts": with_(PLAIN_AND_BUSINESS) + f"SELECT doc_id, list_max({AMOUNTS}) AS largest_amount FROM src",
     "invoice_totals": """
 SELECT l_orderkey AS order_key, count(*) AS lines, sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS subtotal,
   round(sum(CAST(l_extendedprice AS DECIMAL(18,2))) * 0.17::DECIMAL(3,2), 2)::DOUBLE AS tax,
@@ -506,14 +507,21 @@ FROM classified JOIN src USING (doc_id) LEFT JOIN meta USING (doc_id)""",
     "events_unnest": with_(EVENTS) + "SELECT * FROM flagged",
     "pdf_uploads": with_(EVENTS) + "SELECT DISTINCT source_bucket, source_key FROM flagged WHERE accepted",
     "assemble_pages": f"""
-SELECT {CHAT} AS source_key, trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r') AS text, count(*) AS num_pages,
-  len(trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r')) AS char_count
+SELECT 'chats' AS source_bucket, {CHAT} AS source_key, trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r') AS text,
+  count(*) AS num_pages, len(trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r')) AS char_count
 FROM conversations GROUP BY conv_id""",
-    "quarantine_empty": with_(SCANNED)
-    + "SELECT source_key, num_pages, 'no extractable text' AS error FROM scanned WHERE text = ''",
-    "missing_inputs": f"""
-SELECT DISTINCT {CHAT} AS source_key, 'chats' AS source_bucket FROM conversations
-WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE role = 'assistant')""",
+    "quarantine_empty": with_(ORDERED)
+    + "SELECT source_bucket, source_key, num_pages, error FROM order_outcomes WHERE error = 'no extractable text'",
+    "missing_inputs": with_(ORDERED)
+    + "SELECT source_bucket, source_key FROM order_outcomes WHERE error = 'missing input'",
+    "two_buckets": f"""
+WITH chats AS (
+  SELECT {CHAT} AS source_key, trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r') AS text, count(*) AS num_pages
+  FROM conversations GROUP BY conv_id)
+SELECT 'chats' AS source_bucket, source_key, text, num_pages, len(text) AS char_count, NULL::VARCHAR AS error FROM chats
+UNION ALL SELECT 'copies', source_key, replace(text, 'e', '3'), num_pages, len(text), NULL FROM chats
+UNION ALL SELECT 'lost', source_key, NULL, NULL, NULL, 'missing input' FROM chats""",
+    "events_rejected": "SELECT DISTINCT html AS body, 'unreadable notification' AS error FROM pages",
     "records": with_(RECORDS) + "SELECT * FROM recs",
     "records_csv": with_(RECORDS) + f"""
 SELECT document_id, filename, source_bucket, source_key, '' AS source_path, s3_uri, category, best_category_match,
@@ -525,12 +533,13 @@ SELECT document_id, filename, source_bucket, source_key, '' AS source_path, s3_u
     "audit_view": with_(RECORDS) + """
 SELECT document_id, filename, category, confidence, array_to_string(json_keys(metadata), ',') AS metadata_keys,
   array_to_string(json_keys(keyword_fields), ',') AS keyword_field_keys, len(summary) AS summary_chars FROM recs""",
-    "run_summary": with_(SCANNED) + """
+    "run_summary": with_(ORDERED) + """
 SELECT count(*) AS received, count(*) FILTER (error IS NULL) AS processed, count(*) FILTER (error IS NOT NULL) AS failed,
-  CASE WHEN count(*) FILTER (error IS NOT NULL) = 0 THEN 200 ELSE 207 END AS status_code FROM chat_outcomes""",
-    "rejects": with_(SCANNED) + """
-SELECT split_part(source_key, '/', -1) AS filename, 's3://chats/' || source_key AS s3_uri, num_pages, error
-FROM chat_outcomes WHERE error IS NOT NULL""",
-    "output_parity": with_(SCANNED) + """
-SELECT source_key, true AS in_inputs, false AS in_csv, false AS in_json FROM chat_outcomes WHERE error IS NOT NULL""",
+  CASE WHEN count(*) FILTER (error IS NOT NULL) = 0 THEN 200 ELSE 207 END AS status_code FROM order_outcomes""",
+    "rejects": with_(ORDERED) + """
+SELECT split_part(source_key, '/', -1) AS filename, 's3://business-inbox/' || source_key AS s3_uri, num_pages, error
+FROM order_outcomes WHERE error IS NOT NULL""",
+    "output_parity": with_(ORDERED) + """
+SELECT source_bucket, source_key, true AS in_inputs, false AS in_csv, false AS in_json
+FROM order_outcomes WHERE error IS NOT NULL""",
 }

@@ -13,32 +13,21 @@ from docketmill.operators import metadata as M
 from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
 from docketmill.rules import EMAIL, PHONE
-from docketmill.sources import business_text, uploads
+from docketmill.sources import uploads
+from verification import business_text
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """Use every core of a local run, where the whole corpus is one small file.
-
-    Tagging is bound by CPU.  On a cluster the corpus has many splits, and its
-    texts stay where they are read.
-    """
-    context = docs.sparkSession.sparkContext
-    if not context.master.startswith("local"):
-        return docs
-    return docs.repartition(2 * context.defaultParallelism, "doc_id")
-
-
 def documents(spark, sf) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def business(spark, sf) -> DataFrame:
     names = ("lineitem", "orders", "customer", "nation", "region")
-    return spread(business_text.business_documents({n: table(spark, sf, n) for n in names}))
+    return business_text.business_documents({n: table(spark, sf, n) for n in names})
 
 
 def invoices(spark, sf) -> DataFrame:
@@ -66,26 +55,38 @@ def chat_key() -> Column:
 def chat_pages(spark, sf) -> DataFrame:
     """Conversations as a page table: a conversation is a document, a turn a page."""
     return table(spark, sf, "conversations").select(
+        F.lit("chats").alias("source_bucket"),
         chat_key().alias("source_key"),
         F.col("turn").cast("int").alias("page_no"),
         F.col("text").alias("page_text"),
-        "role",
     )
 
 
-def scanned_pages(spark, sf) -> DataFrame:
-    """The same, but only answers have selectable text; system turns are lost."""
-    return chat_pages(spark, sf).filter(F.col("role") != "system").withColumn(
-        "page_text", F.when(F.col("role") == "assistant", F.col("page_text")))
+def order_uploads(spark, sf) -> DataFrame:
+    """An upload for every order."""
+    return table(spark, sf, "orders").select(
+        F.lit(business_text.BUCKET).alias("source_bucket"),
+        F.concat(F.lit("invoices/"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("source_key"))
 
 
-def answer_pages(spark, sf) -> DataFrame:
-    return chat_pages(spark, sf).filter(F.col("role") == "assistant")
+def order_pages(spark, sf) -> DataFrame:
+    """The page of every invoice; of orders without lines, finished ones have a page without
+    text, and the others none."""
+    written = invoices(spark, sf).select(
+        "source_bucket", "source_key", F.lit(0).alias("page_no"), F.col("text").alias("page_text"))
+    finished = order_uploads(spark, sf).join(
+        table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(
+            F.concat(F.lit("invoices/"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("source_key")),
+        "source_key", "left_semi")
+    blank = finished.join(written.select("source_key"), "source_key", "left_anti").select(
+        "source_bucket", "source_key", F.lit(0).alias("page_no"), F.lit(None).cast("string").alias("page_text"))
+    return written.unionByName(blank)
 
 
-def chat_uploads(spark, sf) -> DataFrame:
-    return chat_pages(spark, sf).select("source_key").distinct().withColumn(
-        "source_bucket", F.lit("chats"))
+def plain_and_business(spark, sf) -> DataFrame:
+    """Business documents and plain ones together, so that every branch occurs."""
+    plain = documents(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return business(spark, sf).select("doc_id", "text").unionByName(plain)
 
 
 def upload_events(spark, sf) -> DataFrame:
@@ -150,11 +151,11 @@ def _scores(df: DataFrame, *kinds: str) -> DataFrame:
 
 
 def alias_scores(spark, sf):
-    return _scores(C.alias_scores(documents(spark, sf)), "alias_scores")
+    return _scores(C.alias_scores(plain_and_business(spark, sf)), "alias_scores")
 
 
 def structural_scores(spark, sf):
-    return _scores(C.structural_scores(documents(spark, sf)), "structural_scores")
+    return _scores(C.structural_scores(plain_and_business(spark, sf)), "structural_scores")
 
 
 def combined_scores(spark, sf):
@@ -218,7 +219,7 @@ def currency_flag(spark, sf):
 
 
 def largest_amounts(spark, sf):
-    return documents(spark, sf).select(
+    return plain_and_business(spark, sf).select(
         "doc_id", X.largest_dollar_amount(F.col("text")).alias("largest_amount"))
 
 
@@ -255,10 +256,7 @@ def application_metadata(spark, sf):
 
 
 def metadata(spark, sf):
-    """Business documents and plain ones together, so that every branch occurs."""
-    plain = documents(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    docs = business(spark, sf).select("doc_id", "text").unionByName(plain)
-    return M.metadata(C.classify(docs)).select("doc_id", "category", "metadata")
+    return M.metadata(C.classify(plain_and_business(spark, sf))).select("doc_id", "category", "metadata")
 
 
 def keyword_matches(spark, sf):
@@ -280,16 +278,33 @@ def pdf_uploads(spark, sf):
 
 
 def assemble_pages(spark, sf):
-    return pages.assemble_pages(chat_pages(spark, sf).drop("role")).drop("extractor", "error")
+    return pages.assemble_pages(chat_pages(spark, sf)).drop("extractor", "error")
 
 
 def quarantine_empty(spark, sf):
-    found = pages.assemble_pages(scanned_pages(spark, sf).drop("role"))
-    return pages.quarantined(found).select("source_key", "num_pages", "error")
+    found = pages.assemble_pages(order_pages(spark, sf))
+    return pages.quarantined(found).select("source_bucket", "source_key", "num_pages", "error")
 
 
 def missing_inputs(spark, sf):
-    return pages.missing_inputs(chat_uploads(spark, sf), answer_pages(spark, sf))
+    return pages.missing_inputs(order_uploads(spark, sf), order_pages(spark, sf))
+
+
+def two_buckets(spark, sf):
+    """The same keys in two buckets, with other texts in the second, and an upload in a third."""
+    first = chat_pages(spark, sf)
+    second = first.withColumns({"source_bucket": F.lit("copies"), "page_text": F.translate("page_text", "e", "3")})
+    both = first.unionByName(second)
+    third = first.withColumn("source_bucket", F.lit("lost"))
+    uploaded = both.unionByName(third).select("source_bucket", "source_key").distinct()
+    return pipeline.documents_for(uploaded, both).select(
+        "source_bucket", "source_key", "text", "num_pages", "char_count", "error")
+
+
+def events_rejected(spark, sf):
+    """Web pages among notifications are none that can be read."""
+    raw = table(spark, sf, "pages").select(F.col("html").alias("body"))
+    return uploads.unreadable_events(upload_events(spark, sf).unionByName(raw))
 
 
 # --- records -----------------------------------------------------------------
@@ -319,22 +334,25 @@ def audit_view(spark, sf):
     return reports.audit_view(_business_records(spark, sf))
 
 
-def _chat_outcomes(spark, sf) -> DataFrame:
-    found = pipeline.documents_for(chat_uploads(spark, sf), scanned_pages(spark, sf).drop("role"))
-    return pipeline.outcomes(found)
+def _order_outcomes(spark, sf) -> DataFrame:
+    return pipeline.outcomes(pipeline.documents_for(order_uploads(spark, sf), order_pages(spark, sf)))
 
 
 def run_summary(spark, sf):
-    return reports.run_summary(_chat_outcomes(spark, sf))
+    return reports.run_summary(_order_outcomes(spark, sf))
 
 
 def rejects(spark, sf):
-    return pages.quarantined(_chat_outcomes(spark, sf)).select("filename", "s3_uri", "num_pages", "error")
+    return pages.quarantined(_order_outcomes(spark, sf)).select("filename", "s3_uri", "num_pages", "error")
 
 
 def output_parity(spark, sf):
-    done = pages.accepted(_chat_outcomes(spark, sf))
-    return reports.output_parity(chat_uploads(spark, sf), records.csv_rows(done), records.json_lines(done))
+    """Uploads against the rows of the CSV output and what is parsed from the JSON lines."""
+    done = pages.accepted(_order_outcomes(spark, sf))
+    lines_of_json = records.json_lines(done)
+    from_json = lines_of_json.select(F.json_tuple("value", "source_bucket", "source_key").alias(
+        "source_bucket", "source_key"))
+    return reports.output_parity(order_uploads(spark, sf), records.csv_rows(done), from_json)
 
 
 QUERIES = {
@@ -376,6 +394,8 @@ QUERIES = {
     "assemble_pages": assemble_pages,
     "quarantine_empty": quarantine_empty,
     "missing_inputs": missing_inputs,
+    "two_buckets": two_buckets,
+    "events_rejected": events_rejected,
     "records": business_records,
     "records_csv": records_csv,
     "records_json": records_json,
