@@ -43,3 +43,11 @@ def test_query_equals_twin(spark, duck, name):
 
 def test_flagship_query(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name, column", [
+    ("alias_scores", "alias_invoice"), ("structural_scores", "structural_invoice"), ("largest_amounts", "largest_amount"),
+    ("rejects", "error"), ("output_parity", "source_key"), ("two_buckets", "text")])
+def test_queries_can_fail(spark, name, column):
+    """Results that would hide a wrong operator: one value everywhere, or nothing but NULL."""
+    assert entry_point.queries()[name](spark, SF).select(column).distinct().limit(2).count() == 2

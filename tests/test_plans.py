@@ -7,6 +7,7 @@ from docketmill.operators import billing, terms
 from docketmill.operators import keywords as K
 from docketmill.operators import pages as P
 from docketmill.plans import pipeline
+from docketmill.sources import uploads
 from verification.queries import QUERIES
 
 
@@ -62,3 +63,26 @@ def test_exploded_arrays_are_computed_once(tables):
     docs = tables["documents"].select("doc_id", "text")
     assert plan(K.keyword_matches(docs)).count("split(text") == 1
     assert plan(terms.term_counts(docs)).count("sort_array(") == 1
+
+
+def test_ingest_reads_the_page_text_once(spark, tmp_path):
+    """Pages are pruned by the uploads below the aggregate, and text is shuffled once."""
+    rows = [("b", f"{i}.pdf", p, f"text {i} {p}") for i in range(20) for p in range(3)]
+    spark.createDataFrame(rows, uploads.PAGE_SCHEMA).write.parquet(str(tmp_path / "pages"))
+    wanted = spark.createDataFrame([("b", "3.pdf"), ("b", "99.pdf")], "source_bucket string, source_key string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pipeline.documents_for(wanted, uploads.read_pages(spark, str(tmp_path / "pages")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.splitlines()
+    assert sum("FileScan" in x and "page_text" in x for x in lines) == 1
+    aggregate = min(i for i, x in enumerate(lines) if "Aggregate" in x and "collect_set" in x)
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    assert semi > aggregate  # below it
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "page_text" in x)
+    shuffles = [x for x in lines[aggregate:scan] if "Exchange hashpartitioning(source_bucket" in x]
+    assert len(shuffles) <= 2  # the pages, and the keys of the uploads beside them
+    assert found.count() == 2
