@@ -24,6 +24,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+OP4 = """
+WITH calls AS (
+  SELECT conv_id, turn, role, text, conv_id || '-' || turn AS call_id,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place
+  FROM conversations WHERE role IN ('user', 'system')),
+answers AS (SELECT conv_id, turn - 1 AS turn, text AS result FROM conversations WHERE role = 'assistant')
+SELECT conv_id, call_id, place, result IS NOT NULL AS linked, true AS valid, '' AS errors,
+  '{"arguments":' || CASE role WHEN 'user' THEN json_object('prompt', text, 'turn', turn)
+    ELSE json_object('rules', text, 'turn', turn) END
+  || ',"errors":[],' || substr(json_object(
+    'id', call_id, 'name', CASE role WHEN 'user' THEN 'reply' ELSE 'configure' END, 'place', place, 'result', result,
+    'turn', turn)::VARCHAR, 2) AS message
+FROM calls LEFT JOIN answers USING (conv_id, turn)
+"""
+
 ORACLES = {
+    "op4_tool_call_links": OP4,
     "op6_decontaminate": OP6,
 }

@@ -74,3 +74,14 @@ def test_queries_give_a_row_for_each_document(spark, name):
     else:
         ids = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()
         assert sorted(r["doc_id"] for r in rows.collect()) == sorted(r["doc_id"] for r in ids)
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_twins(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    expected = con.sql(ORACLES[name]).to_arrow_table()
+    got = QUERIES[name](spark, SF).toArrow().select(expected.column_names)
+    rows = [sorted(map(str, t.to_pylist())) for t in (got, expected)]
+    assert rows[0] and rows[0] == rows[1]
