@@ -38,6 +38,7 @@ def application(app_id, date, account, name, dob, ssn, email, phone, address, em
     ])
 
 
+# Names, numbers and dates of the six acceptance documents, and what is read from them.
 TEXTS = {
     "invoice_001": invoice(
         "INV-2025-0042", "2025-09-15", "Acme Corporation", "123 Business Park, Karachi, Pakistan",
