@@ -56,6 +56,8 @@ SIMILARITY = 0.8
 WIDTH = 5
 #: Differing bits of two 64-bit fingerprints of the words up to which shingles are compared.
 CANDIDATE_BITS = 20
+#: Members of a share of a larger crowd where only candidates are wanted.
+SHARE = 128
 #: Crowds in which every candidate pair is compared by shingles; larger ones give a spanning forest.
 ALL_PAIRS = 16
 
@@ -122,33 +124,33 @@ def _half_variants(prints: Sequence[str], radius: int) -> Column:
     return F.concat(*halves)
 
 
-def spanning_edges(nodes: np.ndarray, prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """A least spanning forest of the links within `limit` bits; `prints` has a column for each print."""
+def spanning_edges(prints: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of a least spanning forest of the links within `limit` bits; a print is a column."""
     far = 1 << 30
-    reached = np.full(len(nodes), far)
-    parent = np.zeros(len(nodes), dtype=np.int64)
-    done = np.zeros(len(nodes), dtype=bool)
-    edges = []
-    for _ in range(len(nodes)):
-        at = int(np.argmin(np.where(done, far + 1, reached)))
+    reached = np.full(len(prints), far)
+    parent = np.zeros(len(prints), dtype=np.int64)
+    open_ = np.ones(len(prints), dtype=bool)
+    a, b = [], []
+    for _ in range(len(prints)):
+        at = int(np.argmin(np.where(open_, reached, far + 1)))
         if reached[at] <= limit:
-            edges.append((int(nodes[parent[at]]), int(nodes[at])))
-        done[at] = True
+            a.append(parent[at])
+            b.append(at)
+        open_[at] = False
         bits = np.bitwise_count(prints ^ prints[at]).sum(axis=1, dtype=np.int64)
-        nearer = ~done & (bits < reached)
+        nearer = open_ & (bits < reached)
         reached[nearer], parent[nearer] = bits[nearer], at
-    return edges
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-def near_pairs(nodes: np.ndarray, prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """All pairs within `limit` bits."""
+def near_pairs(prints: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of all pairs within `limit` bits."""
     bits = np.bitwise_count(prints[:, None] ^ prints).sum(axis=2, dtype=np.int64)
-    return [(int(nodes[i]), int(nodes[j])) for i, j in np.argwhere(np.triu(bits <= limit, 1)).tolist()]
+    a, b = np.nonzero(np.triu(bits <= limit, 1))
+    return a, b
 
 
 def _forest(n_prints: int, limit: int, all_pairs: int):
-    edge = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-
     @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])))
     def forest(crowds: pa.Array) -> pa.Array:
         members = crowds.flatten()
@@ -156,19 +158,19 @@ def _forest(n_prints: int, limit: int, all_pairs: int):
         prints = np.stack([members.field(1 + i).to_numpy(zero_copy_only=False) for i in range(n_prints)], axis=1)
         prints = prints.astype(np.int64).view(np.uint64)
         sizes = crowds.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        pairs = starts[sizes == 2]
-        near = np.zeros(len(nodes), dtype=bool)
-        near[pairs] = np.bitwise_count(prints[pairs] ^ prints[pairs + 1]).sum(axis=1) <= limit
-        found = []
-        for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
-            if n == 2:
-                edges = [(int(nodes[s]), int(nodes[s + 1]))] if near[s] else []
-            else:
-                pick = near_pairs if n <= all_pairs else spanning_edges
-                edges = pick(nodes[s : s + n], prints[s : s + n], limit)
-            found.append([{"a": a, "b": b} for a, b in edges])
-        return pa.array(found, edge)
+        ends = [np.empty((2, 0), dtype=np.int64)]
+        counts = np.zeros(len(sizes) + 1, dtype=np.int32)
+        for k, (end, n) in enumerate(zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)):
+            here = prints[end - n : end]
+            if n == 2 and int(here[0, 0] ^ here[1, 0]).bit_count() > limit:
+                continue
+            a, b = near_pairs(here, limit) if n <= max(2, all_pairs) else spanning_edges(here, limit)
+            if len(a):
+                ends.append(np.stack([a, b]) + (end - n))
+                counts[k + 1] = len(a)
+        a, b = nodes[np.concatenate(ends, axis=1)]
+        edges = pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), edges)
 
     return forest
 
@@ -208,7 +210,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
     return edges.unionByName(chains)
 
 
-def candidates(nodes: DataFrame, prints: Sequence[str], limit: int = CANDIDATE_BITS, crowd: int = CROWD) -> DataFrame:
+def candidates(nodes: DataFrame, prints: Sequence[str], limit: int = CANDIDATE_BITS, crowd: int = SHARE) -> DataFrame:
     """(a, b) of rows (node, *prints) that meet at a variant and differ in at most `limit` bits in all.
 
     A larger crowd is dealt into shares of about `crowd` members, in another way

@@ -114,7 +114,6 @@ def test_near_copies_by_shingles(spark):
 
 
 def test_a_large_family_in_shares(spark, monkeypatch):
-    monkeypatch.setattr(N, "CROWD", 8)
     monkeypatch.setattr(N.candidates, "__defaults__", (N.CANDIDATE_BITS, 8))
     texts = near_texts(60)
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
