@@ -53,7 +53,7 @@ END = 0
 PART_IDS = 1 << 22
 BLOCK_IDS = 1 << 16
 #: Distinct pieces whose ids a process remembers.
-MEMORY = 1_000_000
+MEMORY = 400_000
 
 #: A space after a character that no tokenizer takes for white space.
 _CUT = re.compile("(?<=[^\\s\u180e\ufeff\u200b]) ")
