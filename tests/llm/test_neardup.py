@@ -131,3 +131,44 @@ def test_odd_rows(odd_docs, no_docs):
     ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda i: (i is None, i))
     assert ids == [1, 2, 5, 7, 9, 10, None, None]
     assert N.classes(no_docs).collect() == [] and N.without_near_copies(no_docs).collect() == []
+
+
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def check_copies(spark, texts):
+    """The kept ids are those of brute force over all pairs."""
+    texts = {i: w.split() for i, w in texts.items()}
+    sets = {i: shingles(w) for i, w in texts.items()}
+    ids = sorted(texts)
+    near = [(a, b) for a in ids for b in ids if a < b
+            and 1.25 * len(sets[a] & sets[b]) >= len(sets[a] | sets[b])]
+    expected = {i: r for i, r in union(ids, near).items() if i != r}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["kept_id"] for r in N.copies(docs).collect()} == expected
+    return expected
+
+
+def new_words(n):
+    return [f"n{random.randrange(10**6)}" for _ in range(n)]
+
+
+def test_copies_changed_in_one_passage_appended_to_or_cut_off(spark):
+    random.seed(11)
+    texts, planted = {}, set()
+    for family in range(120):
+        base = new_words(random.randrange(80, 400))
+        n = random.randrange(5, len(base) // 6)
+        at = random.randrange(len(base) - n)
+        copy = [base[:at] + new_words(n) + base[at + n :], base + new_words(n), base[:-n]][family % 3]
+        texts[2 * family], texts[2 * family + 1] = " ".join(base), " ".join(copy)
+        if 0.8 <= jaccard(base, copy) <= 0.9:
+            planted.add(2 * family + 1)
+    assert len(planted) > 40
+    assert planted <= check_copies(spark, texts).keys()
