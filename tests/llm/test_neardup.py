@@ -172,3 +172,22 @@ def test_copies_changed_in_one_passage_appended_to_or_cut_off(spark):
             planted.add(2 * family + 1)
     assert len(planted) > 40
     assert planted <= check_copies(spark, texts).keys()
+
+
+def boilerplate_texts(n):
+    """Distinct texts of which most is the same, below the similarity, and for every tenth a true copy."""
+    random.seed(12)
+    common = new_words(250)
+    texts = {i: " ".join(common + new_words(45)) for i in range(n)}
+    for i in range(0, n, 10):
+        words = texts[i].split()
+        at = random.randrange(len(words) - 8)
+        texts[n + i] = " ".join(words[:at] + new_words(8) + words[at + 8 :])
+    return texts
+
+
+def test_copies_in_a_crowd_with_common_boilerplate(spark, monkeypatch):
+    texts = boilerplate_texts(400)
+    assert len(check_copies(spark, texts)) == 40
+    monkeypatch.setattr(N.candidates, "__defaults__", (N.CANDIDATE_BITS, 2))
+    assert len(check_copies(spark, texts)) == 40
