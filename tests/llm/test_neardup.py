@@ -191,3 +191,23 @@ def test_copies_in_a_crowd_with_common_boilerplate(spark, monkeypatch):
     assert len(check_copies(spark, texts)) == 40
     monkeypatch.setattr(N.candidates, "__defaults__", (N.CANDIDATE_BITS, 2))
     assert len(check_copies(spark, texts)) == 40
+
+
+def test_copies_whose_words_are_nearest_to_those_of_another_text(spark, monkeypatch):
+    random.seed(13)
+    texts = {}
+    for i in range(40):  # a copy with a new passage, and the same words in another order
+        base = new_words(150)
+        texts[3 * i] = " ".join(base)
+        texts[3 * i + 1] = " ".join(base[12:] + new_words(4))
+        texts[3 * i + 2] = " ".join(random.sample(base, len(base)))
+    common = new_words(900)
+    for i in range(60):  # a family in which some pairs are alike and some are not
+        words = list(common)
+        for _ in range(random.randrange(1, 4)):
+            at = random.randrange(850)
+            words[at : at + 50] = new_words(50)
+        texts[1000 + i] = " ".join(words)
+    for crowd in (64, 2):
+        monkeypatch.setattr(N.candidates, "__defaults__", (N.CANDIDATE_BITS, crowd))
+        assert len(check_copies(spark, texts)) > 50
