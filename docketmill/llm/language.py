@@ -4,17 +4,18 @@ Labelled text of each language is a suffix automaton.  A text is parsed against
 it from left to right into the longest pieces that occur in it; the language that
 needs the fewest pieces, normalised by the length of its text, is the language.
 
-An automaton is kept as a table of (state, letter class) -> next state, in which a
-step that has no arc ends the piece and begins the next at the root.  So parsing
-is one look-up for each character, and thousands of stretches of text take their
-steps together.  Texts are parsed in stretches of `STRETCH` characters that begin
+Every language has letter classes of its own, one for each letter of its sample and
+one for all others, which have no arc.  An automaton is kept as a table of (state,
+letter class) -> next state, in which a step that has no arc ends the piece and
+begins the next at the root; of a language with so many letters that the table
+would pass its part of `DENSE_CELLS`, only the arcs are kept, in order, and searched.
+Both give the same steps, and thousands of stretches of text take them together.  Texts are parsed in stretches of `STRETCH` characters that begin
 at the root, each for itself; nothing is left out.
 
 Letters are compared in lower case; anything but letters is one class, and runs
-of it one character.  Letters beyond the `CLASSES` most frequent ones in the
-labelled text are one class too.  Each language is learned from at most
-`SAMPLE_CHARS` characters, taken from its labelled documents in the order of a
-hash of the id, `PIECE_CHARS` of each at most.
+of it one character.  Each language is learned from `SAMPLE_CHARS` characters, or all
+it has, taken from its labelled documents in the order of a hash of id and text: a
+piece of `PIECE_CHARS` from a hashed place of each, and as many documents as it takes.
 
 Defined cases: a NULL text and a text without letters have language `und` and
 score 0; labels that are NULL and ids that are NULL are not learned from; equal
@@ -26,13 +27,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,11 +40,10 @@ from docketmill.llm.common import crc_of_id
 
 SAMPLE_CHARS = 1 << 16
 PIECE_CHARS = 4_096
-#: Documents of a language that are looked at for its sample.
-SAMPLE_DOCS = 256
 #: Languages that can be told apart at most; their tables are held by every task.
 MAX_LANGUAGES = 64
-CLASSES = 96
+#: Cells of the tables of all languages together; no result depends on it.
+DENSE_CELLS = 1 << 25
 STRETCH = 512
 #: Characters parsed at once.
 BATCH_CHARS = 1 << 20
@@ -59,14 +58,35 @@ def letters(text: str) -> str:
     return _NO_LETTERS.sub(" ", text).lower()
 
 
+@dataclass
+class Model:
+    """Steps of one automaton: state * width + class -> next state, or -1 - state if a piece begins.
+
+    `classes` has the letter class by code point; the last entry, for all beyond, and
+    that of other letters is 0.  Without `keys` the steps are the whole table; with
+    them those of the arcs in the order of the keys, and `restart` has the others.
+    """
+
+    classes: np.ndarray
+    width: int
+    steps: np.ndarray
+    keys: np.ndarray | None = None
+    restart: np.ndarray | None = None
+
+    def next(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        if self.keys is None:
+            return self.steps[state * self.width + symbols]
+        wanted = state.astype(np.int64) * self.width + symbols
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.steps[at], self.restart[symbols])
+
+
 @dataclass
 class Models:
-    """Tables of all languages over one set of letter classes."""
+    """The automata of all languages."""
 
     languages: list[str]
-    classes: np.ndarray  # letter class by code point; the last entry stands for all beyond
-    width: int
-    tables: list[np.ndarray]  # state * width + class -> next state, or -1 - state if a piece begins
+    automata: list[Model]
     bits: np.ndarray  # bits that name a place in the text of a language
 
 
@@ -100,42 +120,40 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return arcs
 
 
-def _table(symbols: list[int], width: int) -> np.ndarray:
-    """Steps of the automaton; a step that begins a piece, at the root or for want of an arc, is -1 - state."""
-    arcs = suffix_automaton(symbols)
+def _model(text: str, cells: int) -> Model:
+    """The automaton of a text, as a table if it has at most so many cells."""
+    known = {c: i for i, c in enumerate(sorted(set(text)), 1)}
+    by_code = np.zeros(max(map(ord, known)) + 2, dtype=np.int32)
+    for c, i in known.items():
+        by_code[ord(c)] = i
+    width = len(known) + 1
+    arcs = suffix_automaton([known[c] for c in text])
     restart = np.array([-1 - arcs[0].get(c, 0) for c in range(width)], dtype=np.int32)
-    table = np.tile(restart, (len(arcs), 1))
-    for state, out in enumerate(arcs):
-        if state and out:
-            table[state, list(out)] = list(out.values())
-    return table.ravel()
-
-
-def build(samples: dict[str, str], classes: int = CLASSES) -> Models:
+    if len(arcs) * width <= cells:
+        table = np.tile(restart, (len(arcs), 1))
+        for state, out in enumerate(arcs):
+            if state and out:
+                table[state, list(out)] = list(out.values())
+        return Model(by_code, width, table.ravel())
+    # Steps from the root begin a piece, so its arcs are in `restart` alone.
+    found = sorted((state * width + c, to) for state, out in enumerate(arcs) if state for c, to in out.items())
+    keys, steps = np.array(found or [(-1, 0)], dtype=np.int64).T
+    return Model(by_code, width, steps.astype(np.int32), np.ascontiguousarray(keys), restart)
+
+
+def build(samples: dict[str, str], cells: int = DENSE_CELLS) -> Models:
     """Models of the sample text of every language."""
     clean = {lang: letters(text) for lang, text in sorted(samples.items())}
     clean = {lang: text for lang, text in clean.items() if text.strip()}
-    counts = Counter("".join(clean.values()))
-    frequent = sorted(counts, key=lambda c: (-counts[c], c))[: classes - 1]
-    by_code = np.zeros(max(map(ord, frequent), default=0) + 2, dtype=np.int32)
-    for i, c in enumerate(frequent, 1):
-        by_code[ord(c)] = i
-    width = len(frequent) + 1
     return Models(
-        list(clean), by_code, width, [_table([int(by_code[ord(c)]) if ord(c) < len(by_code) else 0 for c in text], width)
-                               for text in clean.values()],
+        list(clean), [_model(text, cells // len(clean)) for text in clean.values()],
         np.array([math.log2(len(text) + 1) for text in clean.values()]))
 
 
-def _classes(text: str, models: Models) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return models.classes[np.minimum(codes, len(models.classes) - 1)]
-
-
 def pieces(texts: list[str], models: Models) -> np.ndarray:
     """Number of pieces of every text (as `letters` gives it) for every language."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    symbols = _classes("".join(texts), models)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     lanes = -(-lengths // STRETCH)
     owner = np.repeat(np.arange(len(texts)), lanes)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -143,18 +161,19 @@ def pieces(texts: list[str], models: Models) -> np.ndarray:
     sizes = np.minimum(STRETCH, np.repeat(lengths, lanes) - place * STRETCH)
     order = np.argsort(-sizes, kind="stable")
     starts, sizes, owner = starts[order], sizes[order], owner[order]
-    grid = np.zeros((STRETCH, len(starts)), dtype=np.int32)
+    grid = np.zeros((STRETCH, len(starts)), dtype=np.uint32)
     live = [int(n) for n in np.searchsorted(-sizes, -np.arange(STRETCH), side="left")]
     for step, n in enumerate(live):
-        grid[step, :n] = symbols[starts[:n] + step]
-    found = np.zeros((len(texts), len(models.tables)))
-    for k, table in enumerate(models.tables):
+        grid[step, :n] = codes[starts[:n] + step]
+    found = np.zeros((len(texts), len(models.automata)))
+    for k, model in enumerate(models.automata):
+        symbols = model.classes[np.minimum(grid, len(model.classes) - 1)]
         state = np.zeros(len(starts), dtype=np.int32)
         begun = np.zeros(len(starts), dtype=np.int32)
         for step, n in enumerate(live):
             if not n:
                 break
-            to = table[state[:n] * models.width + grid[step, :n]]
+            to = model.next(state[:n], symbols[step, :n])
             new = to < 0
             begun[:n] += new
             state[:n] = np.where(new, -1 - to, to)
@@ -190,24 +209,40 @@ def predict(texts: list[str | None], models: Models) -> tuple[list[str], np.ndar
 
 
 def sample(docs: DataFrame, learn: Column, lang: str = "lang") -> dict[str, str]:
-    """Sample text of each language; what is collected is bounded by the documented limits."""
-    labelled = docs.where(learn & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col(lang).isNotNull())
-    hashed = labelled.select(
-        F.col(lang).cast("string").alias("lang"), F.xxhash64(F.lit(SEED), "doc_id").alias("h"), "doc_id")
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    names = hashed.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    """Sample text of each language; collected is about twice `SAMPLE_CHARS` of each.
+
+    Documents below a share of the hashes are taken, at first as many as should give
+    twice the characters, and twice as many while a language has too few.
+    """
+    labelled = docs.where(learn & F.col("doc_id").isNotNull() & (F.char_length("text") > 0) & F.col(lang).isNotNull())
+    hashes = F.xxhash64(F.lit(SEED), "doc_id", "text")
+    room = F.greatest(F.char_length("text") - PIECE_CHARS, F.lit(0)) + 1
+    drawn = labelled.select(
+        F.col(lang).cast("string").alias("lang"), hashes.alias("h"),
+        F.substring("text", F.pmod(F.xxhash64(hashes), room).cast("int") + 1, F.lit(PIECE_CHARS)).alias("piece"))
+    totals = labelled.groupBy(F.col(lang).cast("string").alias("lang")).agg(
+        F.sum(F.least(F.char_length("text"), F.lit(PIECE_CHARS))).alias("chars")).orderBy("lang")
+    names = totals.limit(MAX_LANGUAGES + 1).collect()
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    picked = hashed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
-    # At most MAX_LANGUAGES * SAMPLE_DOCS rows.
-    texts = labelled.select("doc_id", F.col(lang).cast("string").alias("lang"), F.substring(
-        "text", 1, PIECE_CHARS).alias("piece")).join(F.broadcast(picked.select("doc_id", "lang", "rank")), ["doc_id", "lang"])
-    upto = F.sum(F.char_length("piece")).over(Window.partitionBy("lang").orderBy("rank", "piece"))
-    kept = texts.withColumn("upto", upto).where(F.col("upto") - F.char_length("piece") < SAMPLE_CHARS)
-    found: dict[str, list[str]] = {}
-    for r in kept.orderBy("lang", "rank", "piece").collect():
-        found.setdefault(r["lang"], []).append(r["piece"])
-    return {name: "\n".join(parts)[:SAMPLE_CHARS] for name, parts in found.items()}
+    shares = {r["lang"]: 2 * SAMPLE_CHARS / r["chars"] for r in names}
+    found: dict[str, str] = {}
+    while shares:
+        below = F.create_map(*[F.lit(x) for name, share in shares.items() for x in (
+            name, int(min(share, 1.0) * (1 << 53)))])[F.col("lang")]
+        # The upper 53 bits of the hash; a text that repeats with its id is learned once.
+        taken = drawn.where(F.shiftrightunsigned("h", 11) < below).dropDuplicates(["lang", "h"])
+        texts: dict[str, list[str]] = {}
+        for r in sorted(taken.collect(), key=lambda r: (r["lang"], r["h"])):
+            texts.setdefault(r["lang"], []).append(r["piece"])
+        for name, share in list(shares.items()):
+            parts = texts.get(name, [])
+            if share >= 1 or sum(map(len, parts)) >= SAMPLE_CHARS:
+                found[name] = "\n".join(parts)[:SAMPLE_CHARS]
+                del shares[name]
+            else:
+                shares[name] = 2 * share
+    return found
 
 
 RESULT = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])

@@ -81,3 +81,35 @@ def test_odd_rows(spark, odd_docs, no_docs):
     unknown = L.languages(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r["lang_pred"], r["score"]) for r in unknown} == {("und", 0.0)}
     assert L.languages(no_docs).collect() == []
+
+
+def test_scripts_with_many_letters():
+    random.seed(3)
+    texts = {}
+    for k, first in enumerate((0x4E00, 0x5600, 0x5E00, 0x0430, 0x03B1, 0x05D0, 0x0E01, 0xAC00)):
+        alphabet = [c for c in map(chr, range(first, first + (600 if first > 0x2000 else 24))) if c.isalpha()]
+        words = ["".join(random.choices(alphabet, k=3)) for _ in range(400)]
+        texts[f"l{k}"] = [" ".join(random.choices(words, k=12)) for _ in range(120)]
+    samples = {name: "\n".join(lines[:100]) for name, lines in texts.items()}
+    tested = [(name, line) for name, lines in texts.items() for line in lines[100:]]
+    dense, sparse = L.build(samples, 1 << 40), L.build(samples, 0)
+    assert all(m.keys is None for m in dense.automata) and all(m.keys is not None for m in sparse.automata)
+    lines = [L.letters(line) for _, line in tested]
+    assert (L.pieces(lines, dense) == L.pieces(lines, sparse)).all()
+    names, _ = L.predict([line for _, line in tested], L.build(samples))
+    assert names == [name for name, _ in tested]
+    mixed = [f"{line} {texts['l1'][0][:3]}" for name, line in tested if name == "l0"]
+    assert set(L.predict(mixed, L.build(samples))[0]) == {"l0"}
+
+
+def test_short_texts_fill_the_sample(spark):
+    rows = [(i, f"word{i} short text", "en") for i in range(9000)] + [(10**6 + i, f"{'x' * 9000} {i}", "xx") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = L.sample(docs, F.lit(True))
+    assert len(found["en"]) == L.SAMPLE_CHARS
+    assert len(found["xx"]) == 3 * L.PIECE_CHARS + 2
+
+
+def test_pieces_are_from_hashed_places(spark):
+    docs = spark.createDataFrame([(i, "a" * 9000 + "b" * 9000, "en") for i in range(9)], "doc_id bigint, text string, lang string")
+    assert "b" in L.sample(docs, F.lit(True))["en"]
