@@ -39,7 +39,73 @@ SELECT conv_id, call_id, place, result IS NOT NULL AS linked, true AS valid, ''
 FROM calls LEFT JOIN answers USING (conv_id, turn)
 """
 
+#: The sixteen rests of CRC-32 (reflected polynomial 0xEDB88320) by half byte.
+_CRC_STEPS: list[int] = []
+for _rest in range(16):
+    for _ in range(4):
+        _rest = (_rest >> 1) ^ (0xEDB88320 if _rest & 1 else 0)
+    _CRC_STEPS.append(_rest)
+
+#: Unsigned CRC-32 of the UTF-8 bytes of a text, half byte by half byte, the low one first.
+_CRC = f"""CASE WHEN {{text}} = '' THEN 0 ELSE xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(string_split(regexp_replace(hex({{text}}), '(.)(.)', '\\2\\1', 'g'), ''),
+    lambda d: (instr('0123456789ABCDEF', d) - 1)::BIGINT)),
+  lambda c, d: xor(c >> 4, {_CRC_STEPS}[xor(c, d) % 16 + 1]))) END"""
+
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce('=' || doc_id, '') AS k FROM documents),
+scores AS (
+  SELECT r, s, -1.0::DOUBLE / ln((('0x' || substr(md5(k || ':' || s), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) AS score
+  FROM d, range(25) AS shards(s)),
+best AS (
+  SELECT r, arg_max(s, score) FILTER (s < 24) AS shard, arg_max(s, score) AS grown_shard FROM scores GROUP BY r),
+placed AS (
+  SELECT doc_id, strlen(t) + 8 AS size, {_CRC.format(text="t")} AS text_crc32, shard, grown_shard,
+    ('0x' || substr(md5(k), 1, 15))::BIGINT AS place
+  FROM d JOIN best USING (r))
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY place, doc_id, text_crc32, size) - 1 AS slot,
+  grown_shard::INTEGER AS grown_shard
+FROM placed
+"""
+
+OP13 = f"""
+WITH runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(
+      text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00c0-\u00ff]{{7,}}')) AS run
+    FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT run, n, {_CRC.format(text="(coalesce(doc_id::VARCHAR, 'null') || ':' || run)")} AS h FROM runs),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+    ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS part FROM v, unnest(range(length(word))) AS t(i)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN v b ON a.part = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN v b ON a.part = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(other, struct_pack(m := -other_n, o := encode(other))) AS form
+  FROM pairs GROUP BY word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * v.n THEN form END AS form,
+    CASE WHEN most >= 10 * v.n THEN most END AS form_n
+  FROM v LEFT JOIN near USING (word)),
+chain AS (
+  WITH RECURSIVE c AS (
+    SELECT word, word AS last, form AS next FROM formed
+    UNION ALL SELECT c.word, c.next, f.form FROM c JOIN formed f ON f.word = c.next)
+  SELECT word, last AS root FROM c WHERE next IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+"""
+
 ORACLES = {
     "op4_tool_call_links": OP4,
     "op6_decontaminate": OP6,
+    "op11_sharding": OP11,
+    "op13_spelling_variants": OP13,
 }

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docketmill.llm import (
-    chat, decontaminate, fingerprints, language, licenses, mixture, neardup, quality, secrets, tokenids)
+    chat, decontaminate, fingerprints, language, licenses, mixture, neardup, quality, secrets, sharding, spelling,
+    tokenids, whitening)
 from docketmill.llm.common import table
 
 
@@ -53,6 +54,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = sharding.SHARDS
+    return sharding.placed(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        sharding.equal_shards(n), sharding.equal_shards(n + 1))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -64,4 +80,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_files": op10_token_files,
+    "op11_sharding": op11_sharding,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -19,7 +19,7 @@ def size(text):
 def test_every_query_is_registered():
     names = entry_point.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert set(ORACLES) <= set(QUERIES)
 
@@ -71,6 +71,10 @@ def test_queries_give_a_row_for_each_document(spark, name):
     if name == "op4_tool_call_links":
         turns = spark.read.parquet(f"{SF}/conversations.parquet")
         assert rows.count() == turns.where("role <> 'assistant'").count()
+    elif name == "op12_embedding_whitening":
+        assert rows.count() == 8 * spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    elif name == "op13_spelling_variants":
+        assert rows.count() == rows.select("word").distinct().count() > 0
     else:
         ids = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()
         assert sorted(r["doc_id"] for r in rows.collect()) == sorted(r["doc_id"] for r in ids)
