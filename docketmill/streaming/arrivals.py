@@ -1,8 +1,9 @@
 """Arrival-driven runs: new files are processed as they land.
 
 A micro-batch is the batch pipeline applied to the files that arrived.  What was
-done before is known from the written outcomes; no state store is needed, and
-nothing is forgotten after a while.
+done before is looked up in a log of the written outcomes' keys, of which a batch
+reads only the buckets of its own documents (`keylog`); no state store is needed,
+and nothing is forgotten after a while.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from docketmill.plans.records import CSV_COLUMNS, REJECT_COLUMNS
 from docketmill.rules import DEFAULT_RULES, RuleSet
 from docketmill.session import checkpoint_root
 from docketmill.sources import sinks
-from docketmill.sources.uploads import ANY_CASE_PDF, PAGE_SCHEMA, is_pdf, manifest_rows, pdf_uploads
+from docketmill.sources.uploads import (
+    ANY_CASE_PDF, PAGE_SCHEMA, is_pdf, manifest_rows, pdf_uploads, read_pages, with_arrival)
+from docketmill.streaming.keylog import KeyLog
 
 
 def _parts(path: str) -> tuple[str, str, list[str]]:
@@ -45,11 +48,11 @@ def stable_name(*paths: str) -> str:
 def page_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Page files `(source_bucket, source_key, page_no, page_text)` as they arrive."""
+    """Page files as they arrive: `(source_bucket, source_key, page_no, page_text, arrival)`."""
     reader = spark.readStream.schema(PAGE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.format(fmt).load(path)
+    return with_arrival(reader.format(fmt).load(path))
 
 
 def upload_stream(
@@ -71,16 +74,32 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
-def _written(spark: SparkSession, out_path: str, before: int) -> DataFrame:
-    """Outcomes of the batches before `before`; none if nothing is written yet."""
-    schema = f"{sinks.RECORD_SCHEMA}, error string, rejected boolean, batch_id bigint"
+_OUTCOMES = f"{sinks.RECORD_SCHEMA}, error string, rejected boolean, batch_id bigint"
+
+
+def _written(spark: SparkSession, out_path: str, batch_id: int | None = None) -> DataFrame:
+    """Outcomes of one batch, or of all; none if nothing is written yet.
+
+    The folder of a batch is read by its name, without listing the others.
+    """
+    top = f"{out_path}/outcomes"
     try:
-        table = spark.read.schema(schema).parquet(f"{out_path}/outcomes")
+        return spark.read.schema(_OUTCOMES).option("basePath", top).parquet(
+            top if batch_id is None else f"{top}/batch_id={batch_id}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        table = spark.createDataFrame([], schema)
-    return table.filter(F.col("batch_id") < before)
+        return spark.createDataFrame([], _OUTCOMES)
+
+
+def key_log(spark: SparkSession, out_path: str) -> KeyLog:
+    """The log of the documents that the batches under `out_path` have outcomes of."""
+
+    def keys(batch_id: int) -> DataFrame:
+        rows = _written(spark, out_path, batch_id).filter("source_key is not null")
+        return rows.select(*IDENTITY, "batch_id", (~F.col("rejected")).alias("has_record"))
+
+    return KeyLog(spark, f"{out_path}/keys", keys)
 
 
 def _write_batch(found: DataFrame, out_path: str, batch_id: int) -> None:
@@ -119,11 +138,12 @@ def run_stream(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         uploads = batch.select(*IDENTITY).filter(is_pdf(F.col("source_key"))).distinct()
-        known = _written(spark, out_path, batch_id).select(*IDENTITY).distinct()
+        known = key_log(spark, out_path).known(uploads, batch_id)
         again = uploads.join(known, list(IDENTITY), "left_semi")
         if not again.isEmpty():
-            store = spark.read.schema(PAGE_SCHEMA).format(fmt).load(in_path)
-            batch = batch.unionByName(store.join(again, list(IDENTITY), "left_semi"))
+            # The store holds the pages of this batch too.
+            store = read_pages(spark, in_path, fmt).join(again, list(IDENTITY), "left_semi")
+            batch = batch.join(again, list(IDENTITY), "left_anti").unionByName(store, allowMissingColumns=True)
         _write_batch(outcomes(documents_for(uploads, batch), rules), out_path, batch_id)
 
     return _start(pages, process, in_path, out_path, checkpoint, available_now)
@@ -142,12 +162,14 @@ def run_uploads_stream(
 
     Each object that has a record already is left out, however late and however
     often it is announced; objects without pages and unreadable notifications are
-    rejects.  What is remembered is the written table, so nothing expires.
+    rejects.  What is remembered is the written table, so nothing expires; a batch
+    reads of it what the log's buckets of its own objects hold.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        done = _written(batch.sparkSession, out_path, batch_id).filter("not rejected").select(*IDENTITY)
-        uploads = pdf_uploads(batch).join(done, list(IDENTITY), "left_anti")
+        announced = pdf_uploads(batch)
+        done = key_log(batch.sparkSession, out_path).known(announced, batch_id).filter("has_record")
+        uploads = announced.join(done, list(IDENTITY), "left_anti")
         found = with_unreadable(documents_for(uploads, pages), batch)
         _write_batch(outcomes(found, rules), out_path, batch_id)
 
@@ -159,7 +181,7 @@ def read_stream_results(spark: SparkSession, out_path: str) -> tuple[DataFrame,
 
     Of a document with several outcomes the one of the last batch counts.
     """
-    table = _written(spark, out_path, 1 << 62)
+    table = _written(spark, out_path)
     last = table.filter("source_key is not null").groupBy(*IDENTITY).agg(F.max("batch_id").alias("last_batch"))
     table = table.join(last, list(IDENTITY), "left").filter("last_batch is null or batch_id = last_batch")
     return (
