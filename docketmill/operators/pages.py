@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketmill.functions.text import is_blank, strip
+from docketmill.functions.text import bind, is_blank, strip
 
 #: What identifies a document.
 IDENTITY = ("source_bucket", "source_key")
@@ -16,22 +16,47 @@ MISSING = "missing input"
 NO_TEXT = "no extractable text"
 
 
+def latest_pages(pages: DataFrame, key: Sequence[str] = IDENTITY, arrival: str = "arrival") -> DataFrame:
+    """Pages `(*key, page_no, page_text, arrival)` with one version of each numbered page: the last to arrive.
+
+    Of versions that arrive at the same time the greatest text counts.  Versions are
+    compared by tasks before they are shuffled, so a page that is written very often
+    costs one row a task.  Pages without a number have no versions and all stay.
+    """
+    version = F.struct(arrival, "page_text")
+    numbered = pages.filter("page_no is not null").groupBy(*key, "page_no").agg(F.max(version).alias("v")).select(
+        *key, "page_no", F.col("v.page_text").alias("page_text"), F.col(f"v.{arrival}").alias(arrival))
+    return numbered.unionByName(pages.filter("page_no is null").select(*key, "page_no", "page_text", arrival))
+
+
 def assemble_pages(
-    pages: DataFrame, key: Sequence[str] = IDENTITY, extractor: str = "pages"
+    pages: DataFrame, key: Sequence[str] = IDENTITY, extractor: str = "pages", arrival: str = "arrival"
 ) -> DataFrame:
     """One row per document: `(*key, text, num_pages, char_count, extractor, error)`.
 
     Pages (`*key, page_no, page_text`) are joined in page order by a newline and
-    the whole is stripped; a NULL page counts as an empty one, and a page that was
-    delivered twice with the same text counts once.  The text of a document is one
-    cell, so its pages must meet in one task; text is shuffled once and nothing
-    else is read.
+    the whole is stripped; a NULL page counts as an empty one.  Of several pages with
+    one number the last counts by the column `arrival`, if there is one, then by text.
+    Pages without a number follow the others in order of arrival and text, each of
+    them: two equal ones are two pages.  The text of a document is one cell, so its
+    pages must meet in one task; text is shuffled once and nothing else is read.
+    Where pages are written again very often, take `latest_pages` first.
     """
-    page = F.struct("page_no", F.coalesce("page_text", F.lit("")).alias("page_text"))
-    docs = pages.groupBy(*key).agg(F.array_sort(F.collect_set(page)).alias("_pages")).select(
+    order = F.col(arrival) if arrival in pages.columns else F.lit(None).cast("int")
+    text = F.coalesce("page_text", F.lit(""))
+    numbered = F.when(F.col("page_no").isNotNull(), F.struct("page_no", order.alias("at"), text.alias("page_text")))
+    others = F.when(F.col("page_no").isNull(), F.struct(order.alias("at"), text.alias("page_text")))
+
+    def last_versions(versions: Column) -> Column:
+        return F.filter(versions, lambda p, i: F.coalesce(
+            F.get(versions, i + 1)["page_no"] != p["page_no"], F.lit(True)))
+
+    docs = pages.groupBy(*key).agg(
+        F.array_sort(F.collect_set(numbered)).alias("_numbered"), F.array_sort(F.collect_list(others)).alias("_others"),
+    ).withColumn("_numbered", bind(F.col("_numbered"), last_versions)).select(
         *key,
-        strip(F.array_join(F.col("_pages.page_text"), "\n")).alias("text"),
-        F.size("_pages").alias("num_pages"),
+        strip(F.array_join(F.concat(F.col("_numbered.page_text"), F.col("_others.page_text")), "\n")).alias("text"),
+        (F.size("_numbered") + F.size("_others")).alias("num_pages"),
     )
     return docs.select(
         *key,

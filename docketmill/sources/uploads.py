@@ -67,8 +67,9 @@ def unreadable_events(events: DataFrame, body: str = "body") -> DataFrame:
 
 def pdf_uploads(events: DataFrame, body: str = "body") -> DataFrame:
     """Distinct `(source_bucket, source_key)` of uploaded documents; a repeated
-    notification counts once."""
-    rows = unnest_events(events, body).filter("accepted")
+    notification counts once, and one without a bucket names no document
+    (`unreadable_events` reports it)."""
+    rows = unnest_events(events, body).filter("accepted and source_bucket is not null")
     return rows.select("source_bucket", "source_key").distinct()
 
 
@@ -100,12 +101,17 @@ def manifest_rows(files: DataFrame, bucket: str, root: str) -> DataFrame:
     )
 
 
+def with_arrival(pages: DataFrame) -> DataFrame:
+    """Pages read from files, with `arrival`: when their file was written."""
+    return pages.withColumn("arrival", F.col("_metadata.file_modification_time"))
+
+
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A page table `(source_bucket, source_key, page_no, page_text)` in Parquet, ORC, JSON or CSV."""
+    """A page table `(source_bucket, source_key, page_no, page_text, arrival)` in Parquet, ORC, JSON or CSV."""
     reader = spark.read.schema(PAGE_SCHEMA)
     if fmt == "csv":
         reader = reader.options(header=True, multiLine=True, escape='"')
-    return reader.format(fmt).load(path)
+    return with_arrival(reader.format(fmt).load(path))
 
 
 def basename(key: Column) -> Column:
