@@ -1,8 +1,11 @@
 """Label/value lines: which canonical field a line names and what its value is.
 
-A label holds no `(`, `:` or `-`, so a line names a label exactly when its text
+Most labels hold no `(`, `:` or `-`, so a line names one exactly when its text
 before the first of these, with spaces collapsed and case folded, equals the
-label.  One lookup per line therefore replaces one search per label and line.
+label.  One lookup per line therefore replaces one search per label and line.  A
+label that holds such a sign is found by looking up the beginnings of the line of
+every length that such labels have; there are as many lookups as lengths, however
+many labels.  A line that names several labels gives a hit for each of them.
 """
 
 from __future__ import annotations
@@ -14,13 +17,15 @@ from pyspark.sql import functions as F
 
 from docketmill.functions.sqltext import quoted
 from docketmill.functions.text import (
-    bind, clean_value, collapse_spaces, first_email, first_phone, fold_case, lines, regex, runs, strip, to_number,
+    SPACES, bind, clean_value, collapse_spaces, first_email, first_phone, fold_case, lines, regex, runs, strip, to_number,
 )
 from docketmill.rules import EMAIL, PHONE, VALUE_MONEY, RuleSet
 
 LABEL_PART = r"^[^(:\-]*"
 INLINE_VALUE = r"^(?:\([^)]*\))?\s*[:\-](.+)$"
 NO_VALUE = r"^(?:\([^)]*\))?\s*[:\-]?\s*$"
+# What may follow a label that was cut off at its length.
+AFTER_LABEL = r"^(?![A-Za-z0-9])\s*"
 
 
 def label_key(head: Column) -> Column:
@@ -33,33 +38,60 @@ def starts_like_label(labels: list[str]) -> str:
     return r"^\s*(?:" + "|".join(re.escape(w) for w in first) + ")"
 
 
+def _has_sign(label: str) -> bool:
+    return bool(re.search(r"[(:\-]", label))
+
+
 def label_lines(text: Column, labels: Column, names: list[str]) -> Column:
-    """`(line_no, label, alias, raw_value)` of the lines that name a key of `labels`.
+    """`(line_no, label, alias, raw_value)` of the lines of a text that name a key of `labels`, of which none holds a sign."""
+    return labelled(lines(text), names, labels)
+
 
-    `names` are those keys; lines that start with none of their first words are
-    passed over at once.  The value follows the label on its line; only a label that stands alone
-    takes the next line instead, which may itself be a label.
+def labelled(all_lines: Column, names: list[str], plain: Column | None, signed: Column | None = None) -> Column:
+    """`(line_no, label, alias, raw_value)` of the lines of an array that name a key of `plain` or of `signed`.
+
+    `names` are those keys, the ones that hold a sign being in `signed`; lines that
+    start with none of their first words are passed over at once.  The value follows
+    the label on its line; only a label that stands alone takes the next line instead,
+    which may itself be a label.
     """
+    lengths = sorted({len(n) for n in names if _has_sign(n)})
 
-    def lookup(line: Column, number: Column) -> Column:
-        def head_of(head: Column) -> Column:
+    def of_head(line: Column, number: Column) -> Column:
+        def found(head: Column) -> Column:
             label = label_key(head)
             return F.struct(
                 number.alias("line_no"),
                 label.alias("label"),
-                labels[label].alias("alias"),
+                plain[label].alias("alias"),
                 F.substr(line, F.length(head) + 1, F.length(line) - F.length(head)).alias("rest"),
             )
 
-        return bind(F.regexp_extract(line, regex(LABEL_PART), 0), head_of)
+        return bind(F.regexp_extract(line, regex(LABEL_PART), 0), found)
+
+    def of_lengths(line: Column, number: Column) -> Column:
+        def beginnings(both: Column) -> Column:
+            def cut(n: int) -> Column:
+                label = F.substring(both["folded"], 1, n)
+                rest = F.substr(both["flat"], F.lit(n + 1))
+                whole = (F.length(label) == n) & F.rlike(rest, F.lit(regex(AFTER_LABEL)))
+                return F.struct(
+                    number.alias("line_no"), label.alias("label"),
+                    F.when(whole, signed[label]).alias("alias"),
+                    F.regexp_replace(rest, regex(AFTER_LABEL), "").alias("rest"))
+
+            return F.array(*[cut(n) for n in lengths])
 
-    def with_value(found: Column, all_lines: Column) -> Column:
+        flat = collapse_spaces(F.ltrim(line, F.lit(SPACES)))
+        return bind(flat, lambda f: bind(F.struct(f.alias("flat"), fold_case(f).alias("folded")), beginnings))
+
+    def with_value(found: Column, every: Column) -> Column:
         rest = found["rest"]
         value = F.when(
             F.rlike(rest, F.lit(regex(INLINE_VALUE))),
             clean_value(F.regexp_extract(rest, regex(INLINE_VALUE), 1)),
         ).when(
-            F.rlike(rest, F.lit(regex(NO_VALUE))), clean_value(F.get(all_lines, found["line_no"] + 1))
+            F.rlike(rest, F.lit(regex(NO_VALUE))), clean_value(F.get(every, found["line_no"] + 1))
         )
         return F.struct(
             found["line_no"].alias("line_no"), found["label"].alias("label"),
@@ -67,25 +99,33 @@ def label_lines(text: Column, labels: Column, names: list[str]) -> Column:
 
     likely = F.lit(regex(starts_like_label(names)))
 
-    def scan(all_lines: Column) -> Column:
-        numbered = F.transform(all_lines, lambda l, i: F.struct(i.alias("i"), l.alias("l")))
+    def scan(every: Column) -> Column:
+        numbered = F.transform(every, lambda l, i: F.struct(i.alias("i"), l.alias("l")))
         candidates = F.filter(numbered, lambda x: F.rlike(x["l"], likely))
-        named = F.filter(
-            F.transform(candidates, lambda x: lookup(x["l"], x["i"])), lambda x: x["alias"].isNotNull())
-        valued = F.transform(named, lambda x: with_value(x, all_lines))
+        tried = []
+        if plain is not None:
+            tried.append(F.transform(candidates, lambda x: of_head(x["l"], x["i"])))
+        if signed is not None:
+            tried.append(F.flatten(F.transform(candidates, lambda x: of_lengths(x["l"], x["i"]))))
+        named = F.filter(F.concat(*tried), lambda x: x["alias"].isNotNull())
+        valued = F.transform(named, lambda x: with_value(x, every))
         return F.filter(valued, lambda x: x["raw_value"].isNotNull())
 
-    return bind(lines(text), scan)
+    return bind(all_lines, scan)
+
+
+def _without_sign(label: str) -> bool:
+    return not _has_sign(label)
 
 
-def alias_map(rules: RuleSet) -> Column:
-    """Literal map from label to its field, orders and kind."""
+def alias_map(rules: RuleSet, chosen=lambda label: True) -> Column | None:
+    """Literal map from the chosen labels to their field, orders and kind; None if there are none."""
     entries = ", ".join(
         f"{quoted(alias)}, named_struct('field', {quoted(name)}, 'field_ord', {f_ord},"
         f" 'alias_ord', {a_ord}, 'kind', {quoted(kind)})"
-        for name, f_ord, alias, a_ord, kind in rules.alias_rows
+        for name, f_ord, alias, a_ord, kind in rules.alias_rows if chosen(alias)
     )
-    return F.expr(f"map({entries})")
+    return F.expr(f"map({entries})") if entries else None
 
 
 def normalized_text(raw: Column, kind: Column) -> Column:
@@ -101,12 +141,10 @@ def normalized_number(raw: Column, kind: Column) -> Column:
     return F.when(kind == "money", to_number(first))
 
 
-def evidence(text: Column, rules: RuleSet) -> Column:
-    """All field evidence of a document, in field, label, line order.
+def line_hits(all_lines: Column, rules: RuleSet) -> Column:
+    """Hits `(field_ord, alias_ord, raw_value, line_no, field, matched_label, kind, text_value, number_value)`
+    of an array of lines; those without a normalised value are dropped."""
 
-    Equal evidence is kept once, where it occurs first; evidence without a
-    normalised value is dropped.
-    """
     def resolve(line: Column) -> Column:
         a = line["alias"]
         return F.struct(
@@ -121,6 +159,18 @@ def evidence(text: Column, rules: RuleSet) -> Column:
             normalized_number(line["raw_value"], a["kind"]).alias("number_value"),
         )
 
+    names = [r[2] for r in rules.alias_rows]
+    found = labelled(all_lines, names, alias_map(rules, _without_sign), alias_map(rules, _has_sign))
+    hits = F.transform(found, resolve)
+    return F.filter(hits, lambda h: h["text_value"].isNotNull() | h["number_value"].isNotNull())
+
+
+def evidence(text: Column, rules: RuleSet) -> Column:
+    """All field evidence of a document, in field, label, line order.
+
+    Equal evidence is kept once, where it occurs first; evidence without a
+    normalised value is dropped.
+    """
     def distinct(hits: Column) -> Column:
         def first_of_run(h: Column, i: Column) -> Column:
             before = F.get(hits, i - 1)
@@ -136,9 +186,7 @@ def evidence(text: Column, rules: RuleSet) -> Column:
             h["number_value"].alias("number_value"),
         )))
 
-    hits = F.transform(label_lines(text, alias_map(rules), [r[2] for r in rules.alias_rows]), resolve)
-    valued = F.filter(hits, lambda h: h["text_value"].isNotNull() | h["number_value"].isNotNull())
-    return bind(F.sort_array(valued), distinct)
+    return bind(F.sort_array(line_hits(lines(text), rules)), distinct)
 
 
 def by_field(evidence_list: Column) -> Column:
