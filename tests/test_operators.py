@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docketmill.functions import jsontext
+from docketmill.functions import text as T
 from docketmill.operators import keywords as K
 from docketmill.operators import metadata as M
 from docketmill.operators import pages as P
@@ -89,6 +90,49 @@ def test_label_lookup_equals_one_search_per_label(spark, texts):
     assert [got[i] for i in range(len(texts))] == [raw_values(t) for t in texts]
 
 
+SIGNED = ["tax", "tax - net", "tax (17%)", "e-mail", "e-mail (work)", "ship-to: name", "(ref)", "no.:", "-x", "name", "a:b-c(d"]
+SIGNED_PIECES = ["Tax", " - net", "(17%)", " (17%)", "E-Mail", "(work)", "Ship-To:", " Name", "(ref)", "No.", ":", "-", "-X", "a:b-c(d",
+                 " ", "  ", "\t", "\xa0", "$5.00", "v", "1", "(", ")", "\n", "\r\n", "TAX", "e-mail"]
+
+
+@QUICK
+@given(st.lists(st.lists(st.sampled_from(SIGNED_PIECES), max_size=10).map("".join), min_size=20, max_size=60))
+def test_signed_labels_equal_one_search_per_label(spark, texts):
+    from docketmill.functions import labels as L
+
+    rules = RuleSet(field_aliases={f"f{i}": [a] for i, a in enumerate(SIGNED)})
+
+    def clean(v):
+        return re.sub(r"\s+", " ", v).strip(" :-\t") or None
+
+    def raw_values(text):
+        found, rows = [], text.splitlines()
+        for alias in SIGNED:
+            label = r"\s+".join(re.escape(w) for w in alias.split(" "))
+            head = rf"(?i)^\s*{label}(?![A-Za-z0-9])(?:\s*\([^)]*\))?\s*"
+            for n, row in enumerate(rows):
+                m = re.match(head + r"[:\-]\s*(.+)$", row)
+                if m:
+                    value = clean(m.group(1))
+                elif re.match(head + r"[:\-]?\s*$", row) and n + 1 < len(rows):
+                    value = clean(rows[n + 1])
+                else:
+                    continue
+                if value:
+                    found.append((alias, n, value))
+        return sorted(found)
+
+    hits = docs(spark, texts).select("doc_id", L.line_hits(T.lines(F.col("text")), rules).alias("x")).collect()
+    got = {r["doc_id"]: sorted((x["matched_label"], x["line_no"], x["raw_value"]) for x in r["x"]) for r in hits}
+    assert [got[i] for i in range(len(texts))] == [raw_values(t) for t in texts]
+
+
+@pytest.mark.parametrize("aliases", [["a", "a"], ["Tax"], ["two  spaces"], [" lead"], ["trail "], [""]])
+def test_labels_that_are_refused(aliases):
+    with pytest.raises(ValueError):
+        RuleSet(field_aliases={"f": aliases}).alias_rows
+
+
 def brute_summary(text, n):
     parts = re.split(r"(?<=[.!?])\s+(?=[A-Z\"'])", re.sub(r"\s+", " ", text.strip()))
     sents = [p for p in parts if len(p.split()) >= 4]
@@ -226,6 +270,49 @@ def test_pages_are_joined_in_order_and_empty_ones_count(spark):
     assert got["a"]["error"] is None and got["b"]["error"] == P.NO_TEXT
 
 
+def versions(spark, rows):
+    schema = uploads.PAGE_SCHEMA + ", arrival int"
+    return spark.createDataFrame([("b", *r) for r in rows], schema)
+
+
+def test_the_last_version_of_a_page_counts(spark):
+    rows = [("a", 0, "old text", 1), ("a", 0, "new text", 2), ("a", 0, "new text", 2), ("a", 0, "older", 0), ("a", 1, "one", 5),
+            ("a", 2, "zz", 3), ("a", 2, None, 4), ("b", 0, "tie a", 1), ("b", 0, "tie b", 1), ("c", 0, "x", None), ("c", 0, "y", 0)]
+    df = versions(spark, rows)
+    for pages in (df, P.latest_pages(df), P.latest_pages(df.repartition(7))):
+        got = {r["source_key"]: (r["text"], r["num_pages"]) for r in P.assemble_pages(pages).collect()}
+        assert got == {"a": ("new text\none", 3), "b": ("tie b", 1), "c": ("y", 1)}
+    assert sorted((r["source_key"], r["page_no"]) for r in P.latest_pages(df).collect()) == [
+        ("a", 0), ("a", 1), ("a", 2), ("b", 0), ("c", 0)]
+
+
+def test_pages_without_a_number_are_a_list(spark):
+    rows = [("a", None, "same", 2), ("a", None, "same", 2), ("a", None, "before", 1), ("a", 7, "numbered", 9), ("b", None, None, 1)]
+    df = versions(spark, rows)
+    for pages in (df, P.latest_pages(df)):
+        got = {r["source_key"]: (r["text"], r["num_pages"], r["error"]) for r in P.assemble_pages(pages).collect()}
+        assert got == {"a": ("numbered\nbefore\nsame\nsame", 4, None), "b": ("", 1, P.NO_TEXT)}
+    plain = P.assemble_pages(df.drop("arrival")).filter("source_key = 'a'").first()
+    assert (plain["text"], plain["num_pages"]) == ("numbered\nbefore\nsame\nsame", 4)
+
+
+def test_versions_are_compared_before_they_are_shuffled(spark):
+    df = versions(spark, [("a", 0, f"v{i}", i) for i in range(500)])
+    plan = P.latest_pages(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "partial_max" in plan
+    assert [(r["page_text"], r["arrival"]) for r in P.latest_pages(df).collect()] == [("v499", 499)]
+
+
+def test_a_notification_without_a_bucket_is_one_reject(spark):
+    bodies = ['{"Records": [{"s3": {"object": {"key": "a.pdf"}}}]}',
+              '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "c.pdf"}}}]}']
+    events = spark.createDataFrame([(b,) for b in bodies], "body string")
+    found = pipeline.with_unreadable(pipeline.documents_for(
+        uploads.pdf_uploads(events), page_rows(spark, [("c.pdf", 0, "text")])), events)
+    assert [(r["source_bucket"], r["source_key"], r["error"]) for r in found.orderBy("source_key").collect()] == [
+        (None, None, uploads.NO_OBJECT), ("b", "c.pdf", None)]
+
+
 def test_a_key_in_two_buckets_is_two_documents(spark):
     pages = page_rows(spark, [("b1", "x.pdf", 0, "one"), ("b2", "x.pdf", 0, "two"), ("b2", "y.pdf", 0, "other")])
     wanted = spark.createDataFrame([("b1", "x.pdf"), ("b2", "x.pdf"), ("b3", "x.pdf")], "source_bucket string, source_key string")

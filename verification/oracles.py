@@ -522,6 +522,49 @@ SELECT 'chats' AS source_bucket, source_key, text, num_pages, len(text) AS char_
 UNION ALL SELECT 'copies', source_key, replace(text, 'e', '3'), num_pages, len(text), NULL FROM chats
 UNION ALL SELECT 'lost', source_key, NULL, NULL, NULL, 'missing input' FROM chats""",
     "events_rejected": "SELECT DISTINCT html AS body, 'unreadable notification' AS error FROM pages",
+    "page_versions": f"""
+WITH versions AS (
+  SELECT conv_id, turn, 0 AS arrival, text FROM conversations
+  UNION ALL SELECT conv_id, turn, 1, text FROM conversations WHERE turn % 4 = 1
+  UNION ALL SELECT conv_id, turn, 1, replace(text, 'e', '3') FROM conversations WHERE turn % 3 = 0
+  UNION ALL SELECT conv_id, turn, 2, text || ' (last)' FROM conversations WHERE turn % 6 = 0),
+numbered AS (SELECT conv_id, turn, max(struct_pack(a := arrival, t := text)).t AS text FROM versions GROUP BY conv_id, turn),
+listed AS (
+  SELECT conv_id, 0 AS kind, turn, text FROM numbered
+  UNION ALL SELECT conv_id, 1, turn, 'note ' || (turn % 2) FROM conversations, range(2) WHERE turn % 5 = 1),
+joined AS (
+  SELECT conv_id, trim(string_agg(text, chr(10) ORDER BY kind, turn, text), E' \\t\\n\\r') AS text, count(*) AS num_pages
+  FROM listed GROUP BY conv_id)
+SELECT {CHAT} AS source_key, text, num_pages, len(text) AS char_count FROM joined""",
+    "latest_pages": f"""
+SELECT {CHAT} AS source_key, turn::INTEGER AS page_no, n::INTEGER AS arrival, text || CASE n WHEN 0 THEN '' ELSE ' v' || n END AS page_text
+FROM (SELECT *, CASE WHEN turn % 4 = 0 THEN 3 WHEN turn % 3 = 0 THEN 2 WHEN turn % 2 = 0 THEN 1 ELSE 0 END AS n FROM conversations)""",
+    "upload_summary": with_(EVENTS, """
+named AS (SELECT DISTINCT source_bucket, source_key FROM flagged WHERE accepted),
+counts AS (
+  SELECT (SELECT count(*) FROM named) AS named, (SELECT count(*) FROM named WHERE source_key LIKE 'My %') AS processed,
+    (SELECT count(DISTINCT path) FROM parts) AS nameless)""") + """
+SELECT named + nameless AS received, processed, named - processed + nameless AS failed,
+  CASE WHEN named - processed + nameless = 0 THEN 200 ELSE 207 END AS status_code FROM counts""",
+    "stream_records": f"""
+SELECT 'chats' AS source_bucket, {CHAT} AS source_key, count(*) AS num_pages,
+  len(trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r')) AS char_count, NULL::VARCHAR AS error
+FROM conversations GROUP BY conv_id""",
+    "paged_cosine": with_(DOCS, COSINE) + "SELECT doc_id, category, round(similarity, 8) AS similarity FROM cosines",
+    "paged_sentence_scores": with_(DOCS, SENTENCES) + "SELECT doc_id, sent_no, score, words FROM scores",
+    "paged_keyword_matches": with_(EVIDENCE) + "SELECT * FROM evidence",
+    "signed_labels": with_(BUSINESS, """
+hits AS (
+  SELECT 'invoice-' || k AS doc_id, unnest([
+    struct_pack(match_no := 0, field := 'invoice_number', matched_label := 'invoice-no (ours)', raw_value := 'INV-' || y || '-' || k, line_no := 1),
+    struct_pack(match_no := 1, field := 'invoice_number', matched_label := 'invoice-no', raw_value := 'INV-' || y || '-' || k, line_no := 1),
+    struct_pack(match_no := 2, field := 'customer_name', matched_label := 'bill-to', raw_value := replace(c_name, '#', ' '), line_no := 4)]) AS h
+  FROM order_head
+  UNION ALL SELECT 'application-' || n, unnest([
+    struct_pack(match_no := 0, field := 'email', matched_label := 'e-mail', raw_value := 'applicant' || n || '@example.org', line_no := 8),
+    struct_pack(match_no := 1, field := 'employer', matched_label := 'employer: since 2001', raw_value := 'Works ' || c_nationkey || ' Limited', line_no := 12),
+    struct_pack(match_no := 2, field := 'employer', matched_label := 'employer', raw_value := 'since 2001 - Works ' || c_nationkey || ' Limited', line_no := 12)])
+  FROM applicants)""") + "SELECT doc_id, unnest(h), h.raw_value AS text_value FROM hits",
     "records": with_(RECORDS) + "SELECT * FROM recs",
     "records_csv": with_(RECORDS) + f"""
 SELECT document_id, filename, source_bucket, source_key, '' AS source_path, s3_uri, category, best_category_match,

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from docketmill.functions import extraction as X
 from docketmill.functions import text as T
-from docketmill.operators import billing, keywords, pages, reports, terms
+from docketmill.operators import billing, keywords, paged, pages, reports, terms
 from docketmill.operators import classify as C
 from docketmill.operators import metadata as M
 from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
-from docketmill.rules import EMAIL, PHONE
+from docketmill.rules import EMAIL, PHONE, RuleSet
+from docketmill.session import new_folder
 from docketmill.sources import uploads
+from docketmill.streaming import arrivals
 from verification import business_text
 
 
@@ -307,6 +309,114 @@ def events_rejected(spark, sf):
     return uploads.unreadable_events(upload_events(spark, sf).unionByName(raw))
 
 
+def page_versions(spark, sf):
+    """Conversations whose pages are written again, delivered again, or have no number."""
+    turn = F.col("page_no")
+    first = chat_pages(spark, sf).withColumn("arrival", F.lit(0))
+    again = first.filter(turn % 4 == 1).withColumn("arrival", F.lit(1))
+    changed = first.filter(turn % 3 == 0).withColumns({"arrival": F.lit(1), "page_text": F.translate("page_text", "e", "3")})
+    last = first.filter(turn % 6 == 0).withColumns({
+        "arrival": F.lit(2), "page_text": F.concat("page_text", F.lit(" (last)"))})
+    notes = first.filter(turn % 5 == 1).withColumns({
+        "arrival": turn, "page_no": F.lit(None).cast("int"), "page_text": F.concat(F.lit("note "), (turn % 2).cast("string"))})
+    found = first
+    for more in (again, changed, last, notes, notes):
+        found = found.unionByName(more)
+    return pages.assemble_pages(found).select("source_key", "text", "num_pages", "char_count")
+
+
+def latest_pages(spark, sf):
+    """The same rewritten pages, one row a page."""
+    first = chat_pages(spark, sf).withColumn("arrival", F.lit(0))
+    found = first
+    for n in (1, 2, 3):
+        found = found.unionByName(first.filter(F.col("page_no") % (n + 1) == 0).withColumns({
+            "arrival": F.lit(n), "page_text": F.concat("page_text", F.lit(f" v{n}"))}))
+    return pages.latest_pages(found).drop("source_bucket")
+
+
+def upload_summary(spark, sf):
+    """Notifications of web pages, each with one that lacks a bucket; the copies in capitals have no page."""
+    url = F.col("url")
+    path = F.regexp_extract(url, "^https?://[^/]+/(.*)$", 1)
+    nameless = table(spark, sf, "pages").select(F.to_json(F.struct(F.array(F.struct(F.struct(
+        F.struct(F.concat(path, F.lit(".pdf")).alias("key")).alias("object")).alias("s3"))).alias("Records"))).alias("body"))
+    events = upload_events(spark, sf).unionByName(nameless)
+    written = uploads.pdf_uploads(events).filter("source_key like 'My %'").withColumns({
+        "page_no": F.lit(0), "page_text": F.lit("some text")})
+    found = pipeline.documents_for(uploads.pdf_uploads(events), written)
+    return reports.run_summary(pipeline.with_unreadable(found, events))
+
+
+def stream_records(spark, sf):
+    """Conversations announced twice each, in notifications that arrive in four batches."""
+    pages_ = chat_pages(spark, sf)
+    keys = table(spark, sf, "conversations").select("conv_id", chat_key().alias("key")).distinct()
+    record = F.struct(F.struct(
+        F.struct(F.lit("chats").alias("name")).alias("bucket"), F.struct(F.col("key")).alias("object")).alias("s3"))
+    # A notification has a bounded number of records.
+    first = keys.select(F.floor(F.col("conv_id") / 64).cast("string").alias("name"), record.alias("r"))
+    second = keys.select(F.concat(F.lit("again "), F.floor(F.col("conv_id") / 128)).alias("name"), record.alias("r"))
+    bodies = first.unionByName(second).groupBy("name").agg(F.collect_list("r").alias("Records")).select(
+        F.to_json(F.struct("Records")).alias("body"))
+    source, out = new_folder(spark, "notifications"), new_folder(spark, "stream")
+    bodies.write.option("maxRecordsPerFile", 1).text(source)
+    a_batch = -(-bodies.count() // 4)
+    arrivals.run_uploads_stream(
+        arrivals.event_stream(spark, source, a_batch), pages_, source, out, new_folder(spark, "offsets")).awaitTermination()
+    done, bad = arrivals.read_stream_results(spark, out)
+    return done.select("source_bucket", "source_key", "num_pages", "char_count", F.lit(None).cast("string").alias("error")).unionByName(
+        bad.select("source_bucket", "source_key", "num_pages", F.lit(None).cast("bigint").alias("char_count"), "error"))
+
+
+# --- pages that never meet ---------------------------------------------------
+
+def _cut(docs: DataFrame, separator: str, size: int) -> DataFrame:
+    """`(doc_id, page_no, page_text)`: a page for every `size` pieces of a text between separators."""
+    parts = F.split("text", separator)
+    starts = F.sequence(F.lit(0), F.ceil(F.size(parts) / size).cast("int") - 1)
+    cut = F.transform(starts, lambda i: F.array_join(F.slice(parts, i * size + 1, size), separator))
+    rows = docs.select("doc_id", F.posexplode_outer(cut).alias("page_no", "page_text"))
+    return rows.withColumn("page_no", F.coalesce("page_no", F.lit(0)))
+
+
+def document_pages(spark, sf) -> DataFrame:
+    """Documents in pages of 25 words, so that most sentences and many word pairs cross a page edge."""
+    return _cut(documents(spark, sf), " ", 25)
+
+
+def paged_cosine(spark, sf):
+    found = paged.cosine(document_pages(spark, sf), key=["doc_id"])
+    return found.withColumn("similarity", F.round("similarity", 8))
+
+
+def paged_sentence_scores(spark, sf):
+    return paged.sentence_scores(document_pages(spark, sf), key=["doc_id"])
+
+
+def paged_keyword_matches(spark, sf):
+    """Business documents in pages of five lines: `Bill To:` is the last line of one."""
+    return paged.keyword_matches(_cut(business(spark, sf), "\n", 5), key=["doc_id"])
+
+
+#: Labels that hold the signs at which the others end.
+SIGNED = RuleSet(field_aliases={
+    "invoice_number": ["invoice-no", "invoice-no (ours)", "invoice number"],
+    "customer_name": ["bill-to"],
+    "email": ["e-mail"],
+    "employer": ["employer", "employer: since 2001"],
+})
+
+
+def signed_labels(spark, sf):
+    """Business documents with such labels, some lines naming two of them."""
+    text = F.col("text")
+    for plain, signed in (("Invoice Number: ", "Invoice-No (ours): "), ("Bill To:", " BILL-to -"),
+                          ("Email Address: ", "E-Mail: "), ("Employer: ", "Employer:  since 2001 - ")):
+        text = F.replace(text, F.lit(plain), F.lit(signed))
+    return keywords.keyword_matches(business(spark, sf).select("doc_id", text.alias("text")), SIGNED).drop("number_value")
+
+
 # --- records -----------------------------------------------------------------
 
 def _business_records(spark, sf) -> DataFrame:
@@ -396,6 +506,14 @@ QUERIES = {
     "missing_inputs": missing_inputs,
     "two_buckets": two_buckets,
     "events_rejected": events_rejected,
+    "page_versions": page_versions,
+    "latest_pages": latest_pages,
+    "upload_summary": upload_summary,
+    "stream_records": stream_records,
+    "paged_cosine": paged_cosine,
+    "paged_sentence_scores": paged_sentence_scores,
+    "paged_keyword_matches": paged_keyword_matches,
+    "signed_labels": signed_labels,
     "records": business_records,
     "records_csv": records_csv,
     "records_json": records_json,
