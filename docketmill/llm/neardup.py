@@ -16,33 +16,27 @@ ball of 2,081 variants instead, where everything that meets is linked (2 + 2
 bits), so that the smallest member stands for all.  Both ways are exact.  `CROWD`
 is about where 33 comparisons for each member cost what 2,081 shuffled rows do.
 
-`classes` links fingerprints of word shingles as they are.  `without_near_copies`
-decides by similarity instead: the share of common five-word shingles.  Its
-candidates come from a prefix join, which loses no pair: with the shingles of all
-texts in one order, two sets that are alike share one among the first few of both.
-The order is rarest first as a sample has it, but any order gives the same pairs.
-Lengths, places in the order and parities of the sets rule out pairs that cannot be
-alike; the sets themselves decide.  At a shingle that crowds share, all members are
-first compared with one of them, and then, block by block, those of different
-classes with each other, so only what is linked already is never compared.
+`classes` names the component of every row; `without_near_copies` keeps one row of
+each.  Texts are not shuffled by component, only left out by id, so a component may
+hold any part of the table.
 
 Defined cases: NULL, empty and wordless texts have fingerprint zero and are copies
 of one another; equal texts have equal fingerprints and are one node; rows without
 an id keep their place but name no component (unless a component has no other),
-and are never dropped as copies; an empty table gives no rows.
+and are never dropped as copies; rows that repeat an id are linked one by one, so
+a text is not lost because another text of its id is a copy; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
 from collections.abc import Iterator, Sequence
 from itertools import accumulate, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,18 +52,6 @@ CROWD = 512
 #: Hashes whose bits are counted at once.
 _HASHES = 1 << 15
 
-#: Near copies share this part of their shingles of `WIDTH` words.
-SIMILARITY = 0.8
-WIDTH = 5
-#: Bits of the parities by which the members of crowds are compared before their shingles are.
-CANDIDATE_BITS = 1024
-#: Members at one shingle that are paired at once; `_BLOCK` times as many are a block of a larger crowd.
-SHARE = 64
-_BLOCK = 8
-#: Texts whose shingles are counted for the order, and the shingles that are kept; no result depends on them.
-ORDER_DOCS = 4096
-ORDER_SHINGLES = 1 << 16
-
 
 def _voted(hashes: np.ndarray) -> int:
     """The bits that are set in over half of the hashes, as a signed long."""
@@ -234,246 +216,24 @@ def classes(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFr
         "doc_id", F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _sets(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Digest of the words in order, and the sorted hashes of the distinct shingles of `WIDTH` words, of each text."""
-    for block in A.blocks(texts):
-        raw, bounds = block.data.tobytes(), block.bounds.tolist()
-        w = A.words(block.lowered(), A.NOT_SPACE)
-        edges = np.searchsorted(w.owner, np.arange(block.n_texts + 1)).tolist()
-        for k, (s, e) in enumerate(zip(edges, edges[1:], strict=False)):
-            h = np.zeros(max(1, e - s - WIDTH + 1) if e > s else 0, dtype=np.uint64)
-            for i in range(min(WIDTH, e - s)):
-                h = A.mixed(h * np.uint64(5) + w.hashes[s + i : s + i + len(h)])
-            words = b" ".join(raw[bounds[k] : bounds[k + 1]].lower().split())
-            yield hashlib.md5(words, usedforsecurity=False).digest(), np.unique(h).view(np.int64)
-
-
-@F.arrow_udf(T.StructType([
-    T.StructField("digest", T.BinaryType()), T.StructField("s", T.ArrayType(T.LongType()))]))
-def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        rows = list(_sets(texts))
-        yield pa.StructArray.from_arrays(
-            [pa.array([d for d, _ in rows], pa.binary()), pa.array([s for _, s in rows], pa.list_(pa.int64()))],
-            ["digest", "s"])
-
-
-def _shingle_order(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles that repeat in a sample of the texts, sorted, and their counts there."""
-    one_of = max(1, -(-docs.count() // ORDER_DOCS))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_of)) == 0)
-    shingles = picked.select(F.explode(_shingle_sets(F.col(text).cast("string"))["s"]).alias("h"))
-    counts = shingles.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    found = counts.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).toArrow().sort_by("h")
-    return found["h"].to_numpy(), found["n"].to_numpy()
-
+def without_near_copies(docs: DataFrame, text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of each component: that of its smallest doc_id.
 
-def prefix_lengths(n: int, similarity: float) -> tuple[int, int]:
-    """How many of the first shingles of a set of `n` must meet, as the larger and as the smaller set of a pair.
-
-    Of the larger set at least `similarity * n` shingles are common, of the smaller one
-    at least as many as of two sets of its size.
-    """
-    return tuple(n - math.ceil(n * part - 1e-9) + 1 if n else 0 for part in (similarity, 2 * similarity / (1 + similarity)))
-
-
-def _word_prefixes(order: tuple[np.ndarray, np.ndarray], similarity: float, text: str) -> Column:
-    """struct(digest, n, indexed, tokens, parities) of a text.
-
-    `tokens` are its first shingles, of which the first `indexed` meet those of larger sets too.
-    """
-    sent = SparkSession.active().sparkContext.broadcast(order)  # at most ORDER_SHINGLES
-    fields = [("digest", pa.binary()), ("n", pa.int32()), ("indexed", pa.int32()),
-              ("tokens", pa.list_(pa.int64())), ("parities", pa.binary())]
-
-    @F.arrow_udf("struct<digest:binary,n:int,indexed:int,tokens:array<bigint>,parities:binary>")
-    def prefixes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, counts = sent.value
-        for texts in batches:
-            columns = [[] for _ in fields]
-            for digest, s in _sets(texts):
-                often = np.zeros(len(s), dtype=np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    often = np.where(known[at] == s, counts[at], 0)
-                first, indexed = prefix_lengths(len(s), similarity)
-                odd = np.bincount(s & (CANDIDATE_BITS - 1), minlength=CANDIDATE_BITS) & 1
-                row = (digest, len(s), indexed, s[np.lexsort((s, often))[:first]], np.packbits(odd.astype(bool)).tobytes())
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            arrays = [pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)]
-            yield pa.StructArray.from_arrays(arrays, [name for name, _ in fields])
-
-    return prefixes(F.col(text).cast("string"))
-
-
-def crowds_of(nodes: DataFrame) -> DataFrame:
-    """(token, size, node, n, pos, indexed) of nodes whose first shingles meet others.
-
-    Sizes are summed before they are shuffled, and shingles at which no smaller set can meet go no further.
-    """
-    met = nodes.select("node", "n", "indexed", F.posexplode("tokens").alias("pos", "token")).select(
-        "token", "node", "n", "pos", (F.col("pos") < F.col("indexed")).alias("indexed"))
-    sizes = met.groupBy("token").agg(F.count("*").alias("size"), F.max("indexed").alias("any"))
-    return met.join(sizes.where("size > 1 and any").select("token", "size"), "token")
-
-
-def _needed(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Common shingles of sets of these sizes that are alike, at least."""
-    return similarity / (1 + similarity) * (a + b) - 1e-6
-
-
-def _possible(n: np.ndarray, pos: np.ndarray, indexed: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the pairs of members at one shingle that may be alike if it is their first common one."""
-    a, b = np.triu_indices(len(n), 1)
-    smaller = (indexed[a] & (n[a] <= n[b])) | (indexed[b] & (n[b] <= n[a]))
-    common = np.minimum(n[a] - pos[a], n[b] - pos[b])
-    sure = smaller & (common >= _needed(n[a], n[b], similarity))
-    return a[sure], b[sure]
-
-
-def _pairs(similarity: float):
-    @F.arrow_udf("array<struct<a:binary,b:binary>>")
-    def pairs(crowds: pa.Array) -> pa.Array:
-        members = crowds.flatten()
-        n, pos, indexed = (members.field(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-        sizes = crowds.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        found, counts = [np.empty((2, 0), dtype=np.int64)], [0]
-        for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
-            here = slice(end - size, end)
-            found.append(np.stack(_possible(n[here], pos[here], indexed[here], similarity)) + (end - size))
-            counts.append(found[-1].shape[1])
-        ends = [members.field(0).take(pa.array(at)) for at in np.concatenate(found, axis=1)]
-        return pa.ListArray.from_arrays(
-            pa.array(np.cumsum(counts, dtype=np.int32)), pa.StructArray.from_arrays(ends, ["a", "b"]))
-
-    return pairs
-
-
-def _block_pairs(similarity: float, bits: int):
-    """Pairs of different classes between two blocks of a crowd, or in one, that the parities allow too."""
-
-    def pairs(block: pa.Table) -> pa.Table:
-        n, pos, indexed, own = (block[c].to_numpy() for c in ("n", "pos", "indexed", "own"))
-        root = np.unique(np.array(block["root"].to_pylist(), dtype="S16"), return_inverse=True)[1]
-        odd = np.frombuffer(b"".join(p[: bits // 8] for p in block["parities"].to_pylist()), dtype=np.uint64)
-        odd = odd.reshape(len(n), -1)
-        a, b = _possible(n, pos, indexed, similarity)
-        one = block["i"][0].as_py() == block["j"][0].as_py()
-        wanted = (root[a] != root[b]) & (one | (own[a] != own[b]))
-        a, b = a[wanted], b[wanted]
-        kept = [np.empty(0, dtype=np.int64)]
-        for at in range(0, len(a), 1 << 16):
-            x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
-            differ = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1, dtype=np.int64)
-            kept.append(at + np.flatnonzero(n[x] + n[y] - differ >= 2 * _needed(n[x], n[y], similarity)))
-        at = np.concatenate(kept)
-        return pa.table({"a": block["node"].take(pa.array(a[at])), "b": block["node"].take(pa.array(b[at]))})
-
-    return pairs
-
-
-def candidates(crowds: DataFrame, nodes: DataFrame, similarity: float, near: DataFrame | None,
-               bits: int = CANDIDATE_BITS, crowd: int = SHARE) -> DataFrame:
-    """(a, b) of nodes that meet and may be alike.
-
-    Without the classes `near` (node, root) of what was found alike: all pairs of
-    crowds up to `crowd` members, and of larger ones the pairs with their smallest
-    member.  With them: all pairs of different classes of the larger crowds.
-    """
-    if near is None:
-        member = F.struct("node", "n", "pos", "indexed").alias("member")
-        small = crowds.where(F.col("size") <= crowd).groupBy("token").agg(F.collect_list(member).alias("members"))
-        found = small.select(F.explode(_pairs(similarity)(F.col("members"))).alias("e")).select("e.a", "e.b")
-        large = crowds.where(F.col("size") > crowd)
-        hubs = large.groupBy("token").agg(F.min(F.struct("node", "n")).alias("hub"))
-        longer, shorter = F.greatest("n", "hub.n"), F.least("n", "hub.n")
-        found = found.unionByName(large.join(hubs, "token").where(shorter >= similarity * longer - 1e-6).select(
-            F.col("hub.node").alias("a"), F.col("node").alias("b")))
-    else:
-        large = crowds.where(F.col("size") > crowd).join(near, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        several = large.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        large = large.join(several.where("low <> high").select("token"), "token").join(
-            nodes.select("node", "parities"), "node")
-        blocks = F.ceil(F.col("size") / (crowd * _BLOCK))
-        dealt = large.withColumn("own", F.pmod(F.xxhash64("node", "token"), blocks)).withColumn(
-            "other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-        found = dealt.groupBy("token", "i", "j").applyInArrow(
-            _block_pairs(similarity, bits), "a binary, b binary")
-    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _ends(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(node, s): shingle sets of the nodes of pairs, each from a row with its smallest id."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = nodes.select("node", "first_id").join(ends, "node", "left_semi")
-    texts = docs.join(ids.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = texts.select(_shingle_sets(F.col(text).cast("string")).alias("w")).select(
-        F.col("w.digest").alias("node"), "w.s")
-    return materialized(found.join(ids, "node", "left_semi").dropDuplicates(["node"]), "shingles")
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have enough in common."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    enough = common >= similarity * (F.size("s_a") + F.size("s_b") - common)
-    return both.where(enough).select("a", "b")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame:
-    """Alike pairs that connect, with the `known` ones, all that the alike pairs connect."""
-    # One pair for each node first; most others then lie within a class and need no comparison.
-    chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).unionByName(
-        pairs.groupBy("a").agg(F.min("b").alias("b"))).distinct()
-    alike = materialized(_alike(chosen, sets, similarity), "near-copies")
-    alike = alike if known is None else alike.unionByName(known)
-    near = roots(alike)
-    a_root, b_root = [near.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab"]
-    rest = pairs.join(a_root, "a", "left").join(b_root, "b", "left").where(
-        F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    return alike.unionByName(materialized(_alike(rest, sets, similarity), "near-copies"))
-
-
-def copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, kept_id) of the rows whose class has a smaller doc_id, which is `kept_id`.
-
-    Rows are of one class if their words are equal but for A-Z case and white
-    space, or if a chain of near copies connects them.
-    """
-    docs = docs.where("doc_id is not null")
-    words = docs.select("doc_id", _word_prefixes(_shingle_order(docs, text), similarity, text).alias("w"))
-    marked = materialized(words.select("doc_id", "w.*"), "word-prefixes")
-    firsts = marked.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    nodes = materialized(marked.join(firsts, "digest").where("doc_id = first_id").dropDuplicates(["digest"]).select(
-        F.col("digest").alias("node"), "first_id", "n", "indexed", "tokens", "parities"), "nodes")
-    crowds = materialized(crowds_of(nodes), "crowds")
-    pairs = materialized(candidates(crowds, nodes, similarity, None), "candidates")
-    alike = _linked(pairs, _ends(pairs, nodes, docs, text), similarity)
-    more = materialized(candidates(crowds, nodes, similarity, roots(alike)), "candidates")
-    if not more.isEmpty():
-        alike = _linked(more, _ends(more, nodes, docs, text), similarity, alike)
-    near = roots(alike).join(nodes.select("node", "first_id"), "node")
-    kept = near.groupBy("root").agg(F.min("first_id").alias("kept_id"))
-    near = near.join(kept, "root").select(F.col("node").alias("digest"), "kept_id")
-    classed = marked.select("doc_id", "digest").join(firsts, "digest").join(near, "digest", "left")
-    return classed.select("doc_id", F.coalesce("kept_id", "first_id").alias("kept_id")).where(
-        "doc_id > kept_id").distinct()
-
-
-def without_near_copies(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each class: that of its smallest doc_id.
-
-    Rows that repeat a doc_id are copies of one document, of which the row with
-    the smallest hash of the text stays.  Rows without an id cannot be told apart
-    and stay.
+    Of several rows of that id in the component the one with the smallest hash of the
+    text stays.  Rows without an id cannot be told apart and stay.
     """
-    dropped = copies(docs, text, similarity).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col(text)))
-    mark = fresh("copy_number", docs)
-    numbered = kept.withColumn(mark, F.row_number().over(order))
-    return numbered.where((F.col(mark) == 1) | F.col("doc_id").isNull()).select(*docs.columns)
+    found = materialized(classes(docs.where("doc_id is not null"), text, radius), "classes")
+    stays = F.col("doc_id") == F.col("component_id")
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(stays).alias("kept"))
+    single = docs.join(ids.where("kept = 0 or n > 1").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    several = materialized(ids.where("kept > 0 and n > 1").select("doc_id"), "repeated-ids")
+    if several.isEmpty():
+        return single
+    # An id names its rows' component only in the one where it is the smallest.
+    mark, order = fresh("near_copy_print", docs), fresh("copy_number", docs)
+    own = found.where(stays).join(several, "doc_id", "left_semi").select(
+        "doc_id", F.conv("fingerprint", 16, -10).cast("bigint").alias(mark)).distinct()
+    rows = docs.join(several, "doc_id", "left_semi").withColumn(mark, fingerprint(text)).join(own, ["doc_id", mark], "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col(text)), mark)
+    chosen = rows.withColumn(order, F.row_number().over(first)).where(F.col(order) == 1)
+    return single.unionByName(chosen.select(*docs.columns))
