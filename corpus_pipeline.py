@@ -24,7 +24,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked SimHashes."""
+    """One document of each group of SimHashes of word shingles that are linked by a few differing bits."""
     return neardup.without_near_copies(docs)
 
 
