@@ -73,7 +73,8 @@ def run(
     """Process documents and return `(records, rejects)`.
 
     With `out_path` the outcomes are computed once and written as Parquet; the CSV
-    and JSON files, and the returned frames, are made from that table.  Ids and
+    and JSON files, which are committed together, and the returned frames are made
+    from that table.  Ids and
     times therefore agree everywhere, and a lost executor costs a re-read, not a
     second pass over the texts.  Without it nothing is written.
     """
@@ -82,8 +83,7 @@ def run(
         return accepted(found).select(*R.CSV_COLUMNS), quarantined(found).select(*R.REJECT_COLUMNS)
     sinks.write_outcomes(found, f"{out_path}/outcomes")
     done, bad = sinks.read_outcomes(documents.sparkSession, f"{out_path}/outcomes")
-    sinks.write_csv(done, f"{out_path}/results/csv")
-    sinks.write_json(done, f"{out_path}/results/json")
+    sinks.write_results(done, f"{out_path}/results")
     return done, bad
 
 

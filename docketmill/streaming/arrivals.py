@@ -105,8 +105,7 @@ def key_log(spark: SparkSession, out_path: str) -> KeyLog:
 def _write_batch(found: DataFrame, out_path: str, batch_id: int) -> None:
     sinks.write_outcomes(found, f"{out_path}/outcomes/batch_id={batch_id}")
     done, _ = sinks.read_outcomes(found.sparkSession, f"{out_path}/outcomes/batch_id={batch_id}")
-    sinks.write_csv(done, f"{out_path}/results/csv/batch_id={batch_id}")
-    sinks.write_json(done, f"{out_path}/results/json/batch_id={batch_id}")
+    sinks.write_results(done, f"{out_path}/results", f"/batch_id={batch_id}")
 
 
 def _start(stream: DataFrame, process, in_path: str, out_path: str, checkpoint: str | None, available_now: bool):

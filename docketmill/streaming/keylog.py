@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketmill.operators.pages import IDENTITY
+from docketmill.sources.files import StoredPath
 
 #: Keys of one bucket of a segment on average.
 BUCKET_KEYS = 1 << 14
@@ -90,9 +91,9 @@ class KeyLog:
                 self._write(segment)
         # The batch before may still be retried.
         needed = {_name(s) for s in [*wanted, *segments_before(max(before - 1, 0))]}
-        for name in _File(self.spark, self.path).children():
+        for name in StoredPath(self.spark, self.path).children():
             if name not in needed:
-                _File(self.spark, f"{self.path}/{name}").delete()
+                StoredPath(self.spark, f"{self.path}/{name}").delete()
 
     def _write(self, segment: tuple[int, int]) -> None:
         rows = _merged(self._rows(*segment))
@@ -104,7 +105,7 @@ class KeyLog:
         dealt = bucketed.repartition(F.col("bucket")).sortWithinPartitions("bucket", *IDENTITY)
         path = self._path(segment)
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
-        _File(self.spark, f"{path}/{_DONE}{n}").create()
+        StoredPath(self.spark, f"{path}/{_DONE}{n}").create()
 
     def _rows(self, first: int, size: int) -> DataFrame:
         """Rows of the batches from complete segments, and of the rest from the outcomes themselves."""
@@ -119,8 +120,8 @@ class KeyLog:
 
     def _buckets(self, segment: tuple[int, int]) -> int:
         """Number of buckets of a complete segment, 0 of one that is not."""
-        marks = [n for n in _File(self.spark, self._path(segment)).children() if n.startswith(_DONE)]
-        return int(marks[0].removeprefix(_DONE)) if marks else 0
+        names = [n.removeprefix(_DONE) for n in StoredPath(self.spark, self._path(segment)).children() if n.startswith(_DONE)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
 
     def _path(self, segment: tuple[int, int]) -> str:
         return f"{self.path}/{_name(segment)}"
@@ -134,21 +135,3 @@ def _merged(rows: DataFrame) -> DataFrame:
     """One row a document: its last batch, and whether any gave a record."""
     return rows.groupBy(*IDENTITY).agg(
         F.max("batch_id").alias("batch_id"), F.bool_or("has_record").alias("has_record"))
-
-
-class _File:
-    """A file or folder in whatever store the session's paths name."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def create(self) -> None:
-        self._fs.create(self._path, True).close()
-
-    def children(self) -> list[str]:
-        found = self._fs.listStatus(self._path) if self._fs.exists(self._path) else []
-        return [s.getPath().getName() for s in found]
-
-    def delete(self) -> None:
-        self._fs.delete(self._path, True)

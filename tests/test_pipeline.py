@@ -99,6 +99,53 @@ def test_python_reads_the_csv(finished):
     assert seen == 7
 
 
+def filenames(df):
+    return sorted(r["filename"] for r in df.select("filename").collect())
+
+
+def test_both_sinks_are_committed_together(spark, finished, tmp_path, monkeypatch):
+    _, done, _ = finished
+    out = str(tmp_path / "results")
+    assert [df.count() for df in sinks.read_results(spark, out)] == [0, 0]
+    first, second = done.filter("filename like 'invoice%'"), done.filter("filename like 'sales%'")
+    sinks.write_results(first, out)
+    before = filenames(first)
+
+    def dies(*args):
+        raise RuntimeError("the driver is lost between the two writes")
+
+    with monkeypatch.context() as m:
+        m.setitem(sinks.SINKS, "json", dies)
+        with pytest.raises(RuntimeError):
+            sinks.write_results(second, out)
+    # The half of the new pair is there, and nobody reads it.
+    assert len(filenames(sinks.read_csv(spark, f"{out}/csv"))) == len(before) + second.count()
+    assert [filenames(df) for df in sinks.read_results(spark, out)] == [before, before]
+    sinks.write_results(second, out)
+    for df in (*sinks.read_results(spark, out), sinks.read_csv(spark, f"{out}/csv"), sinks.read_json(spark, f"{out}/json")):
+        assert filenames(df) == filenames(second)
+    assert [n for n in os.listdir(f"{out}/commits") if not n.startswith(".")] == ["2.json"]
+
+
+def test_a_lost_driver_after_the_commit_leaves_the_new_pair(spark, finished, tmp_path, monkeypatch):
+    _, done, _ = finished
+    out = str(tmp_path / "results")
+    sinks.write_results(done.filter("filename like 'invoice%'"), out)
+    second = done.filter("filename like 'sales%'")
+
+    def dies(self):
+        raise RuntimeError("lost before the old files are removed")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks.StoredPath, "delete", dies)
+        with pytest.raises(RuntimeError):
+            sinks.write_results(second, out)
+    assert [filenames(df) for df in sinks.read_results(spark, out)] == [filenames(second)] * 2
+    empty = done.filter("false")
+    sinks.write_results(empty, out)
+    assert [df.count() for df in sinks.read_results(spark, out)] == [0, 0]
+
+
 def test_reports(spark, finished):
     out, done, bad = finished
     inputs = done.select(*P.IDENTITY).union(bad.select(*P.IDENTITY).filter("source_key is not null"))
