@@ -39,6 +39,36 @@ def test_rule_idf_is_broadcast(spark, tables):
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
+def test_a_large_table_of_weights_is_not_broadcast(spark, tables, monkeypatch):
+    monkeypatch.setattr(terms, "BROADCAST_ROWS", 100)
+    with pytest.raises(ValueError):
+        terms.tfidf(tables["documents"], terms.rule_idf(spark), broadcast_weights=True)
+
+
+def test_frequent_tokens_are_broadcast_and_the_others_shuffled(spark, tables):
+    text = plan(terms.corpus_tfidf(tables["documents"].select("doc_id", "text")))
+    assert "BroadcastHashJoin" in text and "TakeOrderedAndProject" in text
+    assert "hashpartitioning(_place" in text and "hashpartitioning(token" not in text
+
+
+def test_a_token_in_every_document_makes_no_large_task(spark):
+    rows = [(i, f"hot warm{i % 2} " + " ".join(f"w{(i * 7 + j) % 997}" for j in range(6))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        weights = terms.idf(df)
+        hot = weights.orderBy(F.desc("df"), "token").limit(100)
+        placed = terms._spread(terms._weighted_rows(df, "doc_id", "text"), hot, "doc_id").repartition(16, "_place")
+        sizes = [r["n"] for r in placed.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 16 and max(sizes) <= 2 * sorted(sizes)[8]
+    expected = {(r["doc_id"], r["token"]): r["weight"] for r in terms.tfidf(df, terms.idf(df)).collect()}
+    for hot_tokens in (0, 3, 4096):
+        got = {(r["doc_id"], r["token"]): r["weight"] for r in terms.corpus_tfidf(df, hot_tokens=hot_tokens).collect()}
+        assert got == expected
+
+
 def test_doc_frequency_merges_before_the_shuffle(tables):
     text = plan(terms.doc_frequency(tables["documents"]))
     assert text.count("hashpartitioning") == 1 and "partial_count" in text
