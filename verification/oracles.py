@@ -433,6 +433,22 @@ JSON_RECORD = "'{' || " + " || ', ' || ".join(
     ]
 ) + " || '}'"
 
+# Hits of a receipt: field, label, raw value, line; in field and label order.
+RECEIPT_HITS = [
+    ("tax", "sales tax", "'$3.00'", 10), ("tax", "tax", "'$1.' || (c_custkey % 90 + 10)", 7),
+    ("tax", "gst", "'$' || (c_custkey % 9 + 1) || '.25'", 9),
+    ("company_name", "company name", "'Shop ' || c_custkey % 7", 1),
+    ("cashier_name", "served by", "'Clerk ' || c_custkey % 5", 2), ("cashier_name", "cashier", "'Clerk ' || c_custkey % 5", 3),
+    ("phone", "phone", "'none'", 11), ("quarter", "quarter", "'Q' || (c_custkey % 4 + 1) || ' 2001'", 4),
+    ("total_revenue", "gross revenue", "'$' || c_custkey || '.50'", 5),
+]
+RECEIPTS = "hits AS (" + " UNION ALL ".join(
+    f"SELECT 'receipt-' || c_custkey AS doc_id, {i} AS match_no, {s(f)} AS field, {s(label)} AS matched_label, {raw} AS raw_value, "
+    + (f"NULL::VARCHAR AS text_value, replace({raw}, '$', '')::DOUBLE AS number_value, "
+       if f in MONEY_FIELDS else f"{raw} AS text_value, NULL::DOUBLE AS number_value, ")
+    + f"{line} AS line_no FROM customer"
+    for i, (f, label, raw, line) in enumerate(RECEIPT_HITS)) + ")"
+
 ORACLES = {
     "token_rows": with_(DOCS, WORDS)
     + f"SELECT doc_id, unnest(range(2 * len(w) - 1)) AS pos, unnest(list_concat(w, {PAIRS})) AS token FROM words",
@@ -522,6 +538,19 @@ SELECT 'chats' AS source_bucket, source_key, text, num_pages, len(text) AS char_
 UNION ALL SELECT 'copies', source_key, replace(text, 'e', '3'), num_pages, len(text), NULL FROM chats
 UNION ALL SELECT 'lost', source_key, NULL, NULL, NULL, 'missing input' FROM chats""",
     "events_rejected": "SELECT DISTINCT html AS body, 'unreadable notification' AS error FROM pages",
+    "receipt_matches": with_(RECEIPTS) + "SELECT * FROM hits",
+    "receipt_fields": with_(RECEIPTS) + f"""
+SELECT doc_id, field, count(*) AS hits, CASE WHEN count(*) = 1 THEN any_value({VALUE})
+  ELSE '[' || string_agg({VALUE}, ', ' ORDER BY match_no) || ']' END AS value FROM hits GROUP BY doc_id, field""",
+    "plain_summaries": """
+SELECT doc_id, coalesce((SELECT string_agg('It was of the ' || doc_id || ' and ' || i || '.', ' ' ORDER BY i)
+  FROM range(1, least(doc_id % 7, 3) + 1) AS t(i)), '') AS summary FROM documents""",
+    "untotalled_reports": with_(REVENUE) + """
+SELECT 'report-' || lower(replace(region || '-' || quarter, ' ', '-')) AS doc_id, max(revenue)::DOUBLE AS total_revenue, 'USD' AS currency
+FROM revenue GROUP BY region, quarter""",
+    "sink_records": with_(RECORDS) + """
+SELECT * EXCLUDE (source_path), true AS in_json, true AS timed FROM recs
+WHERE source_key LIKE 'applications/%' AND regexp_extract(source_key, '[0-9]+')::BIGINT % 10 = 7""",
     "page_versions": f"""
 WITH versions AS (
   SELECT conv_id, turn, 0 AS arrival, text FROM conversations
@@ -582,6 +611,9 @@ SELECT count(*) AS received, count(*) FILTER (error IS NULL) AS processed, count
     "rejects": with_(ORDERED) + """
 SELECT split_part(source_key, '/', -1) AS filename, 's3://business-inbox/' || source_key AS s3_uri, num_pages, error
 FROM order_outcomes WHERE error IS NOT NULL""",
+    "output_parity_files": with_(ORDERED) + """
+SELECT source_bucket, source_key, true AS in_inputs, false AS in_csv, false AS in_json
+FROM order_outcomes WHERE error IS NOT NULL AND regexp_extract(source_key, '[0-9]+')::BIGINT % 20 = 3""",
     "output_parity": with_(ORDERED) + """
 SELECT source_bucket, source_key, true AS in_inputs, false AS in_csv, false AS in_json
 FROM order_outcomes WHERE error IS NOT NULL""",

@@ -14,7 +14,7 @@ from docketmill.operators import summarize as S
 from docketmill.plans import pipeline, records
 from docketmill.rules import EMAIL, PHONE, RuleSet
 from docketmill.session import new_folder
-from docketmill.sources import uploads
+from docketmill.sources import sinks, uploads
 from docketmill.streaming import arrivals
 from verification import business_text
 
@@ -138,8 +138,7 @@ def tfidf(spark, sf):
 
 
 def corpus_tfidf(spark, sf):
-    docs = documents(spark, sf)
-    return terms.tfidf(docs, terms.idf(docs)).withColumn("weight", F.round("weight", 9))
+    return terms.corpus_tfidf(documents(spark, sf)).withColumn("weight", F.round("weight", 9))
 
 
 def cosine(spark, sf):
@@ -369,6 +368,61 @@ def stream_records(spark, sf):
         bad.select("source_bucket", "source_key", "num_pages", F.lit(None).cast("bigint").alias("char_count"), "error"))
 
 
+# --- branches that the business documents do not take ------------------------
+
+def receipts(spark, sf) -> DataFrame:
+    """`(doc_id, text)`: a receipt per customer, with repeated and conflicting values, and labels without one."""
+    n = F.col("c_custkey")
+
+    def line(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    cents = line("$1.", n % 90 + 10)
+    text = F.concat_ws(
+        "\n", F.lit("RECEIPT"), line("Company Name: Shop ", n % 7), line("Served By: Clerk ", n % 5),
+        line("Cashier:  Clerk  ", n % 5), line("Quarter: Q", n % 4 + 1, " 2001"), F.lit("Gross Revenue"),
+        line("$", n, ".50"), line("Tax: ", cents), line("Tax: ", cents), line("GST - $", n % 9 + 1, ".25"),
+        F.lit("Sales Tax (5%): $3.00"), F.lit("Phone: none"), F.lit("Tax: free"), F.lit("Vendor:"))
+    return table(spark, sf, "customer").select(line("receipt-", n).alias("doc_id"), text.alias("text"))
+
+
+def receipt_matches(spark, sf):
+    return keywords.keyword_matches(receipts(spark, sf))
+
+
+def receipt_fields(spark, sf):
+    return keywords.keyword_fields(receipts(spark, sf))
+
+
+def plain_summaries(spark, sf):
+    """Texts of 0 to 6 sentences, none with a word that counts."""
+    n = F.col("doc_id")
+    said = F.transform(F.sequence(F.lit(1), (n % 7).cast("int")), lambda i: F.concat(
+        F.lit("It was of the "), n.cast("string"), F.lit(" and "), i.cast("string"), F.lit(".")))
+    text = F.when(n % 7 == 0, F.lit("")).otherwise(F.array_join(said, " "))
+    return S.summarize(documents(spark, sf).select("doc_id", text.alias("text"))).select("doc_id", "summary")
+
+
+def untotalled_reports(spark, sf):
+    """Sales reports without a TOTAL line and with the sum in words only: the largest amount counts."""
+    text = F.replace(F.replace("text", F.lit("TOTAL $"), F.lit("SUM EUR ")), F.lit("came to $"), F.lit("came to EUR "))
+    reports_ = sales_reports(spark, sf).select("doc_id", text.alias("text"))
+    return M.sales_report_metadata(reports_).select("doc_id", "total_revenue", "currency")
+
+
+def sink_records(spark, sf):
+    """Records of a tenth of the applications as they are read back from CSV, and whether JSON says the same."""
+    some = applications(spark, sf).filter(F.regexp_extract("doc_id", "[0-9]+", 0).cast("bigint") % 10 == 7)
+    out = new_folder(spark, "results")
+    pipeline.run(pages.from_text(some), out)
+    from_csv, from_json = sinks.read_results(spark, f"{out}/results")
+    keys = ["document_id", "filename", "source_key", "category", "confidence", "num_pages", "char_count", "summary", "processed_at"]
+    same = from_json.select(*keys, F.lit(True).alias("in_json"))
+    recent = F.abs(F.unix_timestamp() - F.unix_timestamp(F.to_timestamp("processed_at"))) < 86_400
+    formed = F.col("processed_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$")
+    return from_csv.join(same, keys, "left").withColumn("timed", formed & recent).drop("processed_at", "source_path")
+
+
 # --- pages that never meet ---------------------------------------------------
 
 def _cut(docs: DataFrame, separator: str, size: int) -> DataFrame:
@@ -465,6 +519,18 @@ def output_parity(spark, sf):
     return reports.output_parity(order_uploads(spark, sf), records.csv_rows(done), from_json)
 
 
+def output_parity_files(spark, sf):
+    """Uploads of a twentieth of the orders against the records in the files of both sinks."""
+    some = F.col("o_orderkey") % 20 == 3
+    wanted = table(spark, sf, "orders").filter(some).select(
+        F.lit(business_text.BUCKET).alias("source_bucket"),
+        F.concat(F.lit("invoices/"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("source_key"))
+    out = new_folder(spark, "results")
+    pipeline.run(pipeline.documents_for(wanted, order_pages(spark, sf)), out)
+    from_csv, from_json = sinks.read_results(spark, f"{out}/results")
+    return reports.output_parity(wanted, from_csv, from_json)
+
+
 QUERIES = {
     "token_rows": token_rows,
     "term_counts": term_counts,
@@ -506,6 +572,11 @@ QUERIES = {
     "missing_inputs": missing_inputs,
     "two_buckets": two_buckets,
     "events_rejected": events_rejected,
+    "receipt_matches": receipt_matches,
+    "receipt_fields": receipt_fields,
+    "plain_summaries": plain_summaries,
+    "untotalled_reports": untotalled_reports,
+    "sink_records": sink_records,
     "page_versions": page_versions,
     "latest_pages": latest_pages,
     "upload_summary": upload_summary,
@@ -522,4 +593,5 @@ QUERIES = {
     "run_summary": run_summary,
     "rejects": rejects,
     "output_parity": output_parity,
+    "output_parity_files": output_parity_files,
 }
