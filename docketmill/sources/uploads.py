@@ -101,6 +101,32 @@ def manifest_rows(files: DataFrame, bucket: str, root: str) -> DataFrame:
     )
 
 
+def manifest_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """`(source_bucket, source_key, change)` of the objects that are `added`, `changed` or `gone` between two manifests.
+
+    An object has changed if its length or its time has.  Objects are reduced to one
+    row before the outer join on bucket and key, so a manifest may list one often.
+    """
+    key = ("source_bucket", "source_key")
+
+    def listed(manifest: DataFrame, name: str) -> DataFrame:
+        return manifest.groupBy(*key).agg(F.max(F.struct("modification_time", "length")).alias(name))
+
+    both = listed(before, "_before").join(listed(after, "_after"), list(key), "full_outer")
+    change = (
+        F.when(F.col("_before").isNull(), F.lit("added"))
+        .when(F.col("_after").isNull(), F.lit("gone"))
+        .when(~F.col("_before").eqNullSafe(F.col("_after")), F.lit("changed")))
+    return both.select(*key, change.alias("change")).filter("change is not null")
+
+
+def mark_gone(records: DataFrame, changes: DataFrame) -> DataFrame:
+    """`records` with `gone`: whether their object is no longer there."""
+    gone = changes.filter("change = 'gone'").select("source_bucket", "source_key", F.lit(True).alias("gone"))
+    return records.join(gone, ["source_bucket", "source_key"], "left").withColumn(
+        "gone", F.coalesce("gone", F.lit(False)))
+
+
 def with_arrival(pages: DataFrame) -> DataFrame:
     """Pages read from files, with `arrival`: when their file was written."""
     return pages.withColumn("arrival", F.col("_metadata.file_modification_time"))

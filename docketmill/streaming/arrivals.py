@@ -22,6 +22,7 @@ from docketmill.plans.records import CSV_COLUMNS, REJECT_COLUMNS
 from docketmill.rules import DEFAULT_RULES, RuleSet
 from docketmill.session import checkpoint_root
 from docketmill.sources import sinks
+from docketmill.sources.files import StoredPath
 from docketmill.sources.uploads import (
     ANY_CASE_PDF, PAGE_SCHEMA, is_pdf, manifest_rows, pdf_uploads, read_pages, with_arrival)
 from docketmill.streaming.keylog import KeyLog
@@ -74,6 +75,8 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
+#: What documents are counted by: the category of a record, or the error of a reject.
+_STATUS = ("category", "error")
 _OUTCOMES = f"{sinks.RECORD_SCHEMA}, error string, rejected boolean, batch_id bigint"
 
 
@@ -97,15 +100,56 @@ def key_log(spark: SparkSession, out_path: str) -> KeyLog:
 
     def keys(batch_id: int) -> DataFrame:
         rows = _written(spark, out_path, batch_id).filter("source_key is not null")
-        return rows.select(*IDENTITY, "batch_id", (~F.col("rejected")).alias("has_record"))
+        return rows.select(*IDENTITY, "batch_id", (~F.col("rejected")).alias("has_record"), *_STATUS)
 
-    return KeyLog(spark, f"{out_path}/keys", keys)
+    return KeyLog(spark, f"{out_path}/keys", keys, more="category string, error string")
+
+
+def _counted(outcomes: DataFrame, sign: int) -> DataFrame:
+    status = [F.when(F.col("error").isNull(), F.col("category")).alias("category"), F.col("error")]
+    return outcomes.select(*status).groupBy(*_STATUS).agg((F.count(F.lit(1)) * sign).alias("documents"))
+
+
+def _write_totals(spark: SparkSession, out_path: str, batch_id: int) -> None:
+    """Totals up to a batch, from those up to the one before and what the batch has changed.
+
+    A document with an earlier outcome is taken off where it was counted.  A retried
+    batch starts from the same totals and writes the same.
+    """
+    new = _written(spark, out_path, batch_id)
+    keyed = new.filter("source_key is not null")
+    earlier = key_log(spark, out_path).known(keyed, batch_id)
+    changes = _counted(new, 1).unionByName(_counted(earlier, -1))
+    before = _totals(spark, out_path, batch_id - 1) if batch_id else None
+    every = changes if before is None else changes.unionByName(before)
+    every.groupBy(*_STATUS).agg(F.sum("documents").alias("documents")).filter("documents <> 0").coalesce(
+        1).write.mode("overwrite").parquet(f"{out_path}/totals/batch_id={batch_id}")
+
+
+def _totals(spark: SparkSession, out_path: str, batch_id: int) -> DataFrame:
+    return spark.read.schema("category string, error string, documents bigint").parquet(
+        f"{out_path}/totals/batch_id={batch_id}")
+
+
+def read_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """`(category, error, documents)`: how many documents of a stream have a category, and how many an error.
+
+    Each document counts by its last outcome, each unreadable notification by itself.
+    One small table is read, however many batches there were.
+    """
+    batches = [int(n.removeprefix("batch_id=")) for n in StoredPath(spark, f"{out_path}/totals").children()
+               if n.startswith("batch_id=") and StoredPath(spark, f"{out_path}/totals/{n}/_SUCCESS").exists()]
+    if not batches:
+        return spark.createDataFrame([], "category string, error string, documents bigint")
+    return _totals(spark, out_path, max(batches))
 
 
 def _write_batch(found: DataFrame, out_path: str, batch_id: int) -> None:
+    spark = found.sparkSession
     sinks.write_outcomes(found, f"{out_path}/outcomes/batch_id={batch_id}")
-    done, _ = sinks.read_outcomes(found.sparkSession, f"{out_path}/outcomes/batch_id={batch_id}")
+    done, _ = sinks.read_outcomes(spark, f"{out_path}/outcomes/batch_id={batch_id}")
     sinks.write_results(done, f"{out_path}/results", f"/batch_id={batch_id}")
+    _write_totals(spark, out_path, batch_id)
 
 
 def _start(stream: DataFrame, process, in_path: str, out_path: str, checkpoint: str | None, available_now: bool):

@@ -31,7 +31,7 @@ _HASH_BITS = 30
 #: The marker of a complete segment; the number of its buckets follows.
 _DONE = "done-"
 
-SCHEMA = "source_bucket string, source_key string, batch_id bigint, has_record boolean, bucket int"
+SCHEMA = "source_bucket string, source_key string, batch_id bigint, has_record boolean"
 
 
 def segments_before(batch_id: int) -> list[tuple[int, int]]:
@@ -53,16 +53,20 @@ class KeyLog:
     """The keys of a stream's outcomes.
 
     `outcomes(batch_id)` gives the `(source_bucket, source_key, batch_id, has_record)`
-    that a batch has written.
+    that a batch has written, and the columns that `more` declares, such as
+    `category string`; of these the last batch's values are kept.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, outcomes: Callable[[int], DataFrame], bucket_keys: int = BUCKET_KEYS
+        self, spark: SparkSession, path: str, outcomes: Callable[[int], DataFrame], bucket_keys: int = BUCKET_KEYS,
+        more: str = "",
     ):
         self.spark, self.path, self.outcomes, self.bucket_keys = spark, path.rstrip("/"), outcomes, bucket_keys
+        self.schema = ", ".join(filter(None, [SCHEMA, more]))
+        self.more = [c.split()[0] for c in more.split(",") if c.strip()]
 
     def known(self, keys: DataFrame, before: int) -> DataFrame:
-        """`(source_bucket, source_key, batch_id, has_record)` of those of the distinct `keys` that
+        """`(source_bucket, source_key, batch_id, has_record, *more)` of those of the distinct `keys` that
         batches before `before` have written: the last batch, and whether any gave a record.
 
         The numbers of the buckets that the keys hash to are all that the driver learns.
@@ -77,11 +81,11 @@ class KeyLog:
             rows = self._read(segment).where(F.col("bucket").isin(sorted({t % n for t in touched})))
             parts.append(rows.join(hashed, list(IDENTITY), "left_semi").drop("bucket"))
         if not parts:
-            return self.spark.createDataFrame([], SCHEMA).drop("bucket")
+            return self.spark.createDataFrame([], self.schema)
         found = parts[0]
         for part in parts[1:]:
             found = found.unionByName(part)
-        return _merged(found)
+        return self._merged(found)
 
     def prepare(self, before: int) -> None:
         """Write the segments that cover the batches before `before` and are not there yet; drop what is left over."""
@@ -96,7 +100,7 @@ class KeyLog:
                 StoredPath(self.spark, f"{self.path}/{name}").delete()
 
     def _write(self, segment: tuple[int, int]) -> None:
-        rows = _merged(self._rows(*segment))
+        rows = self._merged(self._rows(*segment))
         keys, n = rows.count(), 1
         while n * self.bucket_keys < keys and n < 1 << _HASH_BITS:
             n *= 2
@@ -116,22 +120,22 @@ class KeyLog:
         return self._rows(first, size // 2).unionByName(self._rows(first + size // 2, size // 2))
 
     def _read(self, segment: tuple[int, int]) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(f"{self._path(segment)}/rows")
+        return self.spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self._path(segment)}/rows")
 
     def _buckets(self, segment: tuple[int, int]) -> int:
         """Number of buckets of a complete segment, 0 of one that is not."""
         names = [n.removeprefix(_DONE) for n in StoredPath(self.spark, self._path(segment)).children() if n.startswith(_DONE)]
         return max((int(n) for n in names if n.isdigit()), default=0)
 
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        """One row a document: its last batch and what that says, and whether any gave a record."""
+        last = F.max_by(F.struct("batch_id", *self.more), "batch_id").alias("_last")
+        return rows.groupBy(*IDENTITY).agg(last, F.bool_or("has_record").alias("has_record")).select(
+            *IDENTITY, "_last.batch_id", "has_record", *[f"_last.{c}" for c in self.more])
+
     def _path(self, segment: tuple[int, int]) -> str:
         return f"{self.path}/{_name(segment)}"
 
 
 def _name(segment: tuple[int, int]) -> str:
     return f"from={segment[0]}-batches={segment[1]}"
-
-
-def _merged(rows: DataFrame) -> DataFrame:
-    """One row a document: its last batch, and whether any gave a record."""
-    return rows.groupBy(*IDENTITY).agg(
-        F.max("batch_id").alias("batch_id"), F.bool_or("has_record").alias("has_record"))

@@ -1,4 +1,5 @@
 import csv
+import datetime
 import glob
 import json
 import os
@@ -251,6 +252,57 @@ def test_notifications_become_records_once(spark, tmp_path):
     assert drain() == (["invoice_001.pdf", "invoice_002.pdf"], rejects)
 
 
+def totals(spark, out):
+    return {(r["category"], r["error"]): r["documents"] for r in arrivals.read_totals(spark, out).collect()}
+
+
+def counted(spark, out):
+    """What the totals should be, from all outcomes."""
+    done, bad = arrivals.read_stream_results(spark, out)
+    found = {}
+    for r in [*done.select("category", F.lit(None).alias("error")).collect(),
+              *bad.select(F.lit(None).alias("category"), "error").collect()]:
+        found[r["category"], r["error"]] = found.get((r["category"], r["error"]), 0) + 1
+    return found
+
+
+def test_totals_of_a_stream_count_each_document_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert totals(spark, out) == {}
+    names = ["invoice_001", "invoice_002"]
+
+    def outcome(batch, *rows):
+        docs = spark.createDataFrame(
+            [(BUCKET if n else None, f"{n}.pdf" if n else None, t, e) for n, t, e in rows], "source_bucket string, source_key string, text string, error string")
+        arrivals._write_batch(pipeline.outcomes(docs.withColumns({"num_pages": F.lit(1), "char_count": F.length("text").cast("bigint"),
+                                                                 "extractor": F.lit("t")})), out, batch)
+
+    outcome(0, ("a", None, P.MISSING), ("b", TEXTS[names[0]], None), (None, None, uploads.BROKEN))
+    outcome(1, ("a", None, P.MISSING), ("c", None, P.MISSING))
+    assert totals(spark, out) == {("Invoice", None): 1, (None, P.MISSING): 2, (None, uploads.BROKEN): 1} == counted(spark, out)
+    for _ in range(2):  # tried again
+        outcome(2, ("a", TEXTS[names[1]], None), ("b", "12 34", None), (None, None, uploads.BROKEN))
+        assert totals(spark, out) == counted(spark, out) == {
+            ("Invoice", None): 1, ("Unknown", None): 1, (None, P.MISSING): 1, (None, uploads.BROKEN): 2}
+
+
+def test_changes_between_two_manifests(spark):
+    schema = "source_bucket string, source_key string, length bigint, modification_time timestamp"
+
+    def manifest(*rows):
+        return spark.createDataFrame(
+            [("b", k, n, None if t is None else datetime.datetime(2025, 1, t)) for k, n, t in rows], schema)
+
+    before = manifest(("same", 1, 1), ("longer", 1, 1), ("later", 1, 1), ("gone", 1, 1), ("twice", 1, 1), ("twice", 2, 2), ("timeless", 1, None))
+    after = manifest(("same", 1, 1), ("longer", 2, 1), ("later", 1, 2), ("new", 1, 1), ("twice", 2, 2), ("timeless", 1, None))
+    changes = uploads.manifest_changes(before, after)
+    assert {(r["source_key"], r["change"]) for r in changes.collect()} == {
+        ("longer", "changed"), ("later", "changed"), ("gone", "gone"), ("new", "added")}
+    marked = uploads.mark_gone(before.select("source_bucket", "source_key").distinct(), changes)
+    assert {r["source_key"] for r in marked.filter("gone").collect()} == {"gone"} and marked.count() == 6
+    assert uploads.manifest_changes(before, before).collect() == []
+
+
 def test_results_must_not_feed_the_input():
     with pytest.raises(ValueError):
         arrivals.assert_no_loop("/data/in", "file:///data/in/results")
