@@ -581,6 +581,18 @@ SELECT 'chats' AS source_bucket, {CHAT} AS source_key, count(*) AS num_pages,
 FROM conversations GROUP BY conv_id""",
     "paged_cosine": with_(DOCS, COSINE) + "SELECT doc_id, category, round(similarity, 8) AS similarity FROM cosines",
     "paged_sentence_scores": with_(DOCS, SENTENCES) + "SELECT doc_id, sent_no, score, words FROM scores",
+    "stream_totals": with_(f"""
+chats AS (
+  SELECT conv_id, trim(string_agg(text, chr(10) ORDER BY turn), E' \\t\\n\\r') AS text FROM conversations GROUP BY conv_id),
+src AS (SELECT conv_id AS doc_id, text FROM chats WHERE conv_id % 5 <> 0)""", COMBINED) + """
+SELECT category, NULL::VARCHAR AS error, count(*) AS documents FROM classified GROUP BY category
+UNION ALL SELECT NULL, 'missing input', count(*) FROM chats WHERE conv_id % 5 = 0""",
+    "manifest_changes": """
+SELECT 'web' AS source_bucket, 'p/' || page_id || '.pdf' AS source_key, CASE WHEN page_id % 5 = 0 THEN 'gone' ELSE 'changed' END AS change
+FROM pages WHERE page_id % 5 IN (0, 1, 2)
+UNION ALL SELECT 'web', 'new/p/' || page_id || '.pdf', 'added' FROM pages WHERE page_id % 7 = 3""",
+    "paged_summaries": with_(DOCS, SUMMARY)
+    + "SELECT src.doc_id, coalesce(summary, '') AS summary FROM src LEFT JOIN summaries USING (doc_id)",
     "paged_keyword_matches": with_(EVIDENCE) + "SELECT * FROM evidence",
     "signed_labels": with_(BUSINESS, """
 hits AS (

@@ -347,9 +347,8 @@ def upload_summary(spark, sf):
     return reports.run_summary(pipeline.with_unreadable(found, events))
 
 
-def stream_records(spark, sf):
-    """Conversations announced twice each, in notifications that arrive in four batches."""
-    pages_ = chat_pages(spark, sf)
+def _announced(spark, sf, pages_: DataFrame) -> str:
+    """Where the results are of a stream in which every conversation is announced twice, in four batches."""
     keys = table(spark, sf, "conversations").select("conv_id", chat_key().alias("key")).distinct()
     record = F.struct(F.struct(
         F.struct(F.lit("chats").alias("name")).alias("bucket"), F.struct(F.col("key")).alias("object")).alias("s3"))
@@ -363,11 +362,34 @@ def stream_records(spark, sf):
     a_batch = -(-bodies.count() // 4)
     arrivals.run_uploads_stream(
         arrivals.event_stream(spark, source, a_batch), pages_, source, out, new_folder(spark, "offsets")).awaitTermination()
-    done, bad = arrivals.read_stream_results(spark, out)
+    return out
+
+
+def stream_records(spark, sf):
+    done, bad = arrivals.read_stream_results(spark, _announced(spark, sf, chat_pages(spark, sf)))
     return done.select("source_bucket", "source_key", "num_pages", "char_count", F.lit(None).cast("string").alias("error")).unionByName(
         bad.select("source_bucket", "source_key", "num_pages", F.lit(None).cast("bigint").alias("char_count"), "error"))
 
 
+def stream_totals(spark, sf):
+    """Totals of a stream in which a fifth of the conversations have no pages, and fail twice."""
+    some = chat_pages(spark, sf).filter(F.regexp_extract("source_key", "[0-9]+", 0).cast("bigint") % 5 != 0)
+    return arrivals.read_totals(spark, _announced(spark, sf, some))
+
+
+def manifest_changes(spark, sf):
+    """Web pages as objects before and after some were removed, written again or added."""
+    n = F.col("page_id")
+    before = table(spark, sf, "pages").select(
+        n, F.lit("web").alias("source_bucket"), F.concat(F.lit("p/"), n.cast("string"), F.lit(".pdf")).alias("source_key"),
+        F.length("html").cast("bigint").alias("length"), F.timestamp_seconds(n).alias("modification_time"))
+    kept_ = before.filter(n % 5 != 0).withColumns({
+        "length": F.col("length") + F.when(n % 5 == 1, 1).otherwise(0),
+        "modification_time": F.when(n % 5 == 2, F.timestamp_seconds(n + 1)).otherwise(F.col("modification_time"))})
+    added = before.filter(n % 7 == 3).withColumn("source_key", F.concat(F.lit("new/"), "source_key"))
+    return uploads.manifest_changes(before.drop("page_id"), kept_.unionByName(added).unionByName(added).drop("page_id"))
+
+
 # --- branches that the business documents do not take ------------------------
 
 def receipts(spark, sf) -> DataFrame:
@@ -448,6 +470,10 @@ def paged_sentence_scores(spark, sf):
     return paged.sentence_scores(document_pages(spark, sf), key=["doc_id"])
 
 
+def paged_summaries(spark, sf):
+    return paged.summarize(document_pages(spark, sf), key=["doc_id"])
+
+
 def paged_keyword_matches(spark, sf):
     """Business documents in pages of five lines: `Bill To:` is the last line of one."""
     return paged.keyword_matches(_cut(business(spark, sf), "\n", 5), key=["doc_id"])
@@ -581,8 +607,11 @@ QUERIES = {
     "latest_pages": latest_pages,
     "upload_summary": upload_summary,
     "stream_records": stream_records,
+    "stream_totals": stream_totals,
+    "manifest_changes": manifest_changes,
     "paged_cosine": paged_cosine,
     "paged_sentence_scores": paged_sentence_scores,
+    "paged_summaries": paged_summaries,
     "paged_keyword_matches": paged_keyword_matches,
     "signed_labels": signed_labels,
     "records": business_records,
