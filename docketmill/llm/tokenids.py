@@ -19,7 +19,9 @@ that gives the id and the code length for the next 16 bits.
 
 Texts are cut before single spaces, where the tokenizer's own pattern always
 ends a piece, and each distinct piece is encoded once in a while; so the ids are
-those of the whole text.  Only byte-level BPE files are taken.
+those of the whole text.  The pieces of a block of texts are looked up together, as
+numbers made of their bytes, in a table that a worker keeps from task to task.
+Only byte-level BPE files are taken.
 
 Defined cases: a NULL or empty text has only the end id; documents without an id
 come last; rows that repeat an id keep one another's neighbourhood and come in
@@ -32,13 +34,12 @@ import json
 import math
 import os
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,13 +53,19 @@ END = 0
 #: Ids of a part of the files on average, and of a block at least.
 PART_IDS = 1 << 22
 BLOCK_IDS = 1 << 16
-#: Distinct pieces whose ids a process remembers.
-MEMORY = 400_000
+#: Pieces of up to 16 bytes whose ids a process remembers at most, and longer ones.
+SLOTS = 1 << 21
+MEMORY = 50_000
+#: Slots of the table that a piece can be in, and ids in the pool behind it before both are emptied.
+_WAYS = 8
+POOL_IDS = 1 << 23
+#: Bits of a place that hold the number of ids; the others hold where they begin.
+_COUNT = 32
 
 #: A space after a character that no tokenizer takes for white space.
 _CUT = re.compile("(?<=[^\\s\u180e\ufeff\u200b]) ")
-#: UTF-8 bytes without which the only white space is a space or a line feed.
-_RARE = bytes([*range(0x09, 0x0A), *range(0x0B, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF])
+#: UTF-8 bytes without which the only white space is a space or a line feed; so no text with a zero is plain.
+_RARE = A.byte_class((0x00, 0x00), (0x09, 0x09), (0x0B, 0x1F), (0xC2, 0xC2), (0xE1, 0xE3), (0xEF, 0xEF))
 #: Letters that every edition of the tables calls so, and ASCII signs but the apostrophe.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+").fullmatch
 _FEED = "\n"
@@ -71,19 +78,57 @@ BLOCK_SCHEMA = T.StructType([
     T.StructField("bits", T.BinaryType()), T.StructField("marks", T.BinaryType())])
 
 
-class _Memory(dict):
-    """Ids of pieces as bytes; a piece that is not known is encoded and kept."""
+def _low_bytes() -> np.ndarray:
+    """Masks of the lowest 0 to 8 bytes of a number."""
+    return np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
-    def __init__(self, prefix: str, encode):
-        super().__init__()
-        self.prefix, self.encode = prefix, encode
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY:
-            self.clear()
-        found = self[piece] = self.encode(self.prefix + piece)
+class _Table:
+    """Places in a pool by pieces of 1 to 16 bytes, none of them zero; a piece is the two numbers its bytes make.
+
+    A piece lies in one of `_WAYS` neighbouring slots.  Where all are taken, the
+    newer one takes the first of them; the older is then simply unknown.
+    """
+
+    def __init__(self, slots: int):
+        self.mask = np.uint64(slots - 1)
+        self.low, self.high, self.place = (np.zeros(slots + _WAYS, dtype=np.uint64) for _ in range(3))
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return (A.mixed(low ^ A.mixed(high)) & self.mask).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The pieces' places, 0 for those that are not known."""
+        found = np.zeros(len(low), dtype=np.uint64)
+        at, slot = np.arange(len(low)), self._slots(low, high)
+        for _ in range(_WAYS):
+            same = (self.low[slot] == low[at]) & (self.high[slot] == high[at])
+            found[at[same]] = self.place[slot[same]]
+            others = ~same & (self.low[slot] != 0)
+            at, slot = at[others], slot[others] + 1
+            if not len(at):
+                break
         return found
 
+    def add(self, low: np.ndarray, high: np.ndarray, place: np.ndarray) -> None:
+        """Distinct pieces that are not in the table."""
+        home = self._slots(low, high)
+        at, slot = np.arange(len(low)), home
+        for way in range(_WAYS + 1):
+            if way == _WAYS:
+                slot = home[at]
+                free = np.ones(len(at), dtype=bool)
+            else:
+                free = self.low[slot] == 0
+            # Of several pieces that want a slot the last one gets it, as numpy assigns in order.
+            some = np.flatnonzero(free)
+            for column, values in ((self.low, low), (self.high, high), (self.place, place)):
+                column[slot[some]] = values[at[some]]
+            left = ~((self.low[slot] == low[at]) & (self.high[slot] == high[at]))
+            at, slot = at[left], slot[left] + 1
+            if not len(at):
+                break
+
 
 class PieceEncoder:
     """Ids of texts as bytes of `dtype`, through a memory of pieces.
@@ -102,45 +147,131 @@ class PieceEncoder:
         if not _is_byte_level(self.tokenizer):
             raise ValueError("only byte-level BPE tokenizers cut texts before single spaces")
         self.letters = _byte_letters()
-        self.code = "H" if dtype == "<u2" else "I"
-        self.first, self.rest = _Memory("", self._encode), _Memory(" ", self._encode)
-        self.parts = _Memory("", self._part)
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        found = array(self.code, ids)
-        if sys.byteorder == "big":
-            found.byteswap()
-        return found.tobytes()
-
-    def _part(self, part: str) -> bytes:
+        self.masks = _low_bytes()
+        self.dtype = np.dtype(dtype)
+        self.signs: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table = _Table(SLOTS)
+        self.long: dict[bytes, int] = {}
+        # The pool begins with the end id; a place is where its ids begin, and their number in the low bits.
+        self.pool, self.filled = np.full(1 << 16, END, dtype=self.dtype), 1
+
+    def _part(self, part: str) -> list[int]:
         spelled = part.encode().decode("latin-1").translate(self.letters)
-        return self._bytes([token.id for token in self.tokenize(spelled)])
+        return [token.id for token in self.tokenize(spelled)]
 
-    def _encode(self, piece: str) -> bytes:
+    def _ids(self, piece: str) -> list[int]:
         line, feed, others = piece.partition("\n")
         if feed and line.strip() and others.strip() == others and line.rstrip() == line and others:
-            known = self.rest[line[1:]] if line[0] == " " else self.first[line]
-            return known + self.parts[_FEED] + self.first[others]
+            return self._ids(line) + self._sign(_FEED) + self._ids(others)
         word = piece.rstrip(_SIGNS)
         bare = word.removeprefix(" ")
         if not (bare.isalpha() and (bare.isascii() or _LETTERS(bare))):
-            return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
         signs = piece[len(word) :]
-        return self._part(word) + (self.parts[signs] if signs else b"")
+        return self._part(word) + (self._sign(signs) if signs else [])
+
+    def _sign(self, signs: str) -> list[int]:
+        found = self.signs.get(signs)
+        if found is None:
+            if len(self.signs) >= MEMORY:
+                self.signs.clear()
+            found = self.signs[signs] = self._part(signs)
+        return found
+
+    def _keep(self, piece: bytes) -> int:
+        """Encode a piece; its place in the pool."""
+        ids = self._ids(piece.decode())
+        n = len(ids)
+        while self.filled + n > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.filled : self.filled + n] = ids
+        self.filled += n
+        return (self.filled - n) << _COUNT | n
+
+    def _places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of all pieces of a block, encoding those that are not known."""
+        if self.filled >= POOL_IDS or len(self.long) >= MEMORY:
+            self._forget()
+        raw, sizes = data.tobytes(), ends - starts
+        places = np.zeros(len(starts), dtype=np.uint64)
+        padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
+        windows = np.ndarray((len(data) + 8,), dtype="<u8", buffer=padded, strides=(1,))
+        zeros = np.flatnonzero(data == 0)
+        clean = np.searchsorted(zeros, starts) == np.searchsorted(zeros, ends)
+        short = np.flatnonzero((sizes <= 16) & clean)
+        low = windows[starts[short]] & self.masks[np.minimum(sizes[short], 8)]
+        high = windows[np.minimum(starts[short] + 8, len(data))] & self.masks[np.clip(sizes[short] - 8, 0, 8)]
+        found = self.table.find(low, high)
+        new = np.flatnonzero(found == 0)
+        if len(new):
+            order = new[np.lexsort((high[new], low[new]))]
+            differs = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+            heads = np.concatenate([[0], np.flatnonzero(differs) + 1])
+            first = order[heads]
+            kept = np.array([self._keep(raw[s:e]) for s, e in zip(
+                starts[short[first]].tolist(), ends[short[first]].tolist(), strict=True)], dtype=np.uint64)
+            found[order] = np.repeat(kept, np.diff(np.concatenate([heads, [len(order)]])))
+            self.table.add(low[first], high[first], kept)
+        places[short] = found
+        others = np.ones(len(starts), dtype=bool)
+        others[short] = False
+        for k in np.flatnonzero(others).tolist():
+            piece = raw[starts[k] : ends[k]]
+            place = self.long.get(piece)
+            if place is None:
+                place = self._keep(piece)
+                if len(piece) <= 256:
+                    self.long[piece] = place
+            places[k] = place
+        return places
+
+    def block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a block with an end id after each, and the bounds of the texts among them."""
+        n = len(bounds) - 1
+        starts = cuts(data, bounds)
+        ends = np.append(starts[1:], len(data))
+        owner = np.searchsorted(bounds, starts, side="right") - 1
+        # A text's end id follows its pieces.
+        at = np.arange(len(starts)) + owner
+        places = np.full(len(starts) + n, 1, dtype=np.uint64)  # the end id: place 0, one id
+        places[at] = self._places(data, starts, ends)
+        counts = (places & np.uint64((1 << _COUNT) - 1)).astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(counts)])
+        index = np.repeat((places >> np.uint64(_COUNT)).astype(np.int64) - total[:-1], counts) + np.arange(total[-1])
+        last = np.searchsorted(owner, np.arange(n), side="right") + np.arange(n)
+        return self.pool[index], np.concatenate([[0], total[last + 1]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text and the end id."""
-        end = self._bytes([END])
-        first, rest = self.first.__getitem__, self.rest.__getitem__
-        return [(first(head) if head else b"") + b"".join(map(rest, others)) + end
-                for head, *others in map(pieces, texts)]
+        found = []
+        for block in A.blocks(pa.array(texts, pa.string())):
+            ids, edges = self.block(block.data, block.bounds)
+            found += [ids[s:e].tobytes() for s, e in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+        return found
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at, and without, the spaces before which a piece of the pattern always ends."""
-    raw = text.encode()
-    plain = len(raw.translate(None, _RARE)) == len(raw) and "  " not in text and "\n " not in text
-    return text.split(" ") if plain and not text.startswith(" ") else _CUT.split(text)
+def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts of a block begin: at each text that is not empty, and at the
+    spaces before which a piece of the tokenizer's pattern always ends."""
+    space = data == 0x20
+    unsure = _RARE[data]
+    unsure[1:] |= space[1:] & (space[:-1] | (data[:-1] == 0x0A))
+    first = bounds[:-1][np.diff(bounds) > 0]
+    unsure[first] |= space[first]
+    marked = np.zeros(len(bounds) - 1, dtype=bool)
+    marked[np.searchsorted(bounds, np.flatnonzero(unsure), side="right") - 1] = True
+    # In the texts that are sure a piece begins at every space, and the space is part of it.
+    begins = space
+    for k in np.flatnonzero(marked).tolist():
+        begins[bounds[k] : bounds[k + 1]] = False
+        text = data[bounds[k] : bounds[k + 1]].tobytes().decode()
+        sizes = [len(piece.encode()) + (i > 0) for i, piece in enumerate(_CUT.split(text))]
+        begins[bounds[k] + np.cumsum(sizes[:-1], dtype=np.int64)] = True
+    begins[first] = True
+    return np.flatnonzero(begins)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -186,8 +317,9 @@ def tokens(path: str, dtype: str, text: str = "text") -> Column:
         for texts in batches:
             rows: list[bytes] = []
             for block in A.blocks(texts):
-                part = texts.slice(block.first, block.n_texts).fill_null("")
-                rows.extend(known.encode(part.to_pylist()))
+                ids, edges = known.block(block.data, block.bounds)
+                raw, size = ids.tobytes(), ids.itemsize
+                rows += [raw[s:e] for s, e in zip((edges * size).tolist(), (edges[1:] * size).tolist(), strict=False)]
             yield pa.array(rows, pa.binary())
 
     return encode(F.col(text).cast("string"))
@@ -245,38 +377,50 @@ def _pieces(lengths: np.ndarray, dtype: str, bounds: np.ndarray):
     return encode
 
 
+def _bytes_of(column: pa.Array) -> bytes:
+    """All values of a binary column one after the other."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return column.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if offsets[-1] > offsets[0] else b""
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Consecutive documents of a part, in order, as blocks."""
+    """Consecutive documents of a part, in order, as blocks of at least `BLOCK_IDS` ids, the last of a part excepted."""
     schema = pa.schema([
         ("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
         ("counts", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("bits", pa.binary()),
         ("marks", pa.binary())])
-    state = {"part": None, "block": 0, "first": 0}
-    docs: list[dict] = []
+    part, number, first, held = -1, 0, 0, 0
+    pieces: list[pa.RecordBatch] = []
 
     def block() -> pa.RecordBatch:
-        sizes = [len(d["bits"]) for d in docs]
-        row = {
-            "part": state["part"], "block": state["block"], "first": state["first"],
-            "doc_ids": [d["doc_id"] for d in docs], "counts": [d["n"] for d in docs],
-            "starts": [0, *np.cumsum(sizes).tolist()[:-1]], "bits": b"".join(d["bits"] for d in docs),
-            "marks": b"".join(d["marks"] for d in docs)}
-        state["block"] += 1
-        state["first"] += sum(row["counts"])
-        docs.clear()
-        return pa.RecordBatch.from_pylist([row], schema)
+        nonlocal number, first, held
+        docs = pa.Table.from_batches(pieces).combine_chunks()
+        doc_id, n, bits, marks = (docs[c].chunk(0) for c in ("doc_id", "n", "bits", "marks"))
+        sizes = pc.binary_length(bits).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = [part, number, first, doc_id.to_pylist(), n.to_numpy(), np.cumsum(sizes) - sizes, _bytes_of(bits), _bytes_of(marks)]
+        number, first, held = number + 1, first + held, 0
+        pieces.clear()
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
     for batch in batches:
-        for doc in batch.to_pylist():
-            if doc["part"] != state["part"]:
-                if docs:
+        parts = batch.column("part").to_numpy()
+        total = np.concatenate([[0], np.cumsum(batch.column("n").to_numpy())])
+        at = 0
+        while at < len(parts):
+            if parts[at] != part:
+                if pieces:
                     yield block()
-                state |= {"part": doc["part"], "block": 0, "first": 0}
-            docs.append(doc)
-            if sum(d["n"] for d in docs[-1:]) >= BLOCK_IDS or len(docs) % 16 == 0 and sum(
-                    d["n"] for d in docs) >= BLOCK_IDS:
+                part, number, first = int(parts[at]), 0, 0
+            same = int(np.searchsorted(parts, part, side="right"))  # parts are in order
+            # The document with which the block is large enough is its last one.
+            end = min(same, int(np.searchsorted(total, total[at] + BLOCK_IDS - held)))
+            end = max(end, at + 1)
+            pieces.append(batch.slice(at, end - at))
+            held += int(total[end] - total[at])
+            at = end
+            if held >= BLOCK_IDS:
                 yield block()
-    if docs:
+    if pieces:
         yield block()
 
 
@@ -307,19 +451,20 @@ def _decode_blocks(lengths: np.ndarray, before: dict[int, int], digest: bool):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = H.decoding_table(lengths)
         for batch in batches:
+            columns_of = {name: batch.column(name) for name in batch.schema.names}
             for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                counts = np.array(row["counts"], dtype=np.int64)
+                row = {name: column[at] for name, column in columns_of.items()}
+                counts = row["counts"].values.to_numpy()
                 lanes = -(-counts // H.MARK_EVERY)
                 sizes = np.full(int(lanes.sum()), H.MARK_EVERY, dtype=np.int64)
                 sizes[np.cumsum(lanes) - 1] = counts - (lanes - 1) * H.MARK_EVERY
-                offsets = np.frombuffer(row["marks"], dtype="<u4") + np.repeat(
-                    8 * np.array(row["starts"], dtype=np.int64), lanes)
-                ids = H.decode(row["bits"], offsets, sizes, table).astype("<u4")
+                offsets = np.frombuffer(row["marks"].as_py(), dtype="<u4") + np.repeat(
+                    8 * row["starts"].values.to_numpy(), lanes)
+                ids = H.decode(row["bits"].as_py(), offsets, sizes, table).astype("<u4")
                 edges = np.concatenate([[0], np.cumsum(counts)])
-                starts = before[row["part"]] + row["first"] + edges[:-1]
+                starts = before[row["part"].as_py()] + row["first"].as_py() + edges[:-1]
                 docs = [ids[s:e] for s, e in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
-                columns = {"doc_id": pa.array(row["doc_ids"], pa.int64()), "start": pa.array(starts)}
+                columns = {"doc_id": row["doc_ids"].values, "start": pa.array(starts)}
                 if digest:
                     columns |= {"n_tokens": pa.array(counts),
                                 "ids_crc32": pa.array([zlib.crc32(d.tobytes()) for d in docs], pa.int64())}

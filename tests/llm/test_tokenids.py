@@ -28,6 +28,34 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert [np.frombuffer(f, "<u2").tolist() for f in found] == [ids_of(text), ids_of(text + "<|endoftext|> a  b")]
 
 
+def test_long_and_strange_pieces_and_a_small_memory(monkeypatch):
+    monkeypatch.setattr(K, "SLOTS", 8)
+    monkeypatch.setattr(K, "MEMORY", 3)
+    monkeypatch.setattr(K, "POOL_IDS", 50)
+    encoder = K.PieceEncoder(PATH, "<u2")
+    texts = ["", "a", "zero\0byte and\0 more", "sixteen_bytes_ab sixteen_bytes_abc seventeen_bytes_abcd", "x" * 70000 + " end",
+             "naïve\xa0space  two", "same same same", "line\nbreak\n\nand,more!\n", " leads", "trails ", "\t", "word," * 40]
+    texts += [f"w{i} Wort{i} x{i}," for i in range(200)]
+    for _ in range(2):
+        got = [np.frombuffer(f, "<u2").tolist() for f in encoder.encode(texts)]
+        assert got == [ids_of(t) for t in texts]
+
+
+def test_the_table_finds_what_it_holds_and_nothing_else():
+    random = np.random.default_rng(2)
+    low, high = random.integers(1, 1 << 60, (2, 3000), dtype=np.uint64)
+    table = K._Table(1 << 13)
+    place = np.arange(1, 3001, dtype=np.uint64)
+    for part in np.array_split(np.arange(3000), 7):
+        table.add(low[part], high[part], place[part])
+    found = table.find(low, high)
+    assert ((found == place) | (found == 0)).all() and (found == place).mean() > 0.99
+    assert not table.find(low + np.uint64(1), high).any()
+    table.add(*random.integers(1, 1 << 60, (2, 20000), dtype=np.uint64), np.full(20000, 7, dtype=np.uint64))
+    found = table.find(low, high)
+    assert ((found == place) | (found == 0)).all()
+
+
 def huffman_cost(counts):
     heap = list(counts)
     heapq.heapify(heap)
