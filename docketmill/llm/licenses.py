@@ -1,11 +1,14 @@
-"""License scans: TF-IDF cosine of lines and licence files to templates, then inheritance.
-
-Lines that hold a cue are compared with licence templates by the cosine of sparse
-TF-IDF vectors.  The weights come from the number of documents that hold each
-term of the templates, counted over all documents; a term that no template has
-weighs as one that no document has, so unrelated words lower the cosine.  A file
-has the licence of its best line, or, where it is named as a licence file, of its
-whole text or best line.
+"""License scans: TF-IDF cosine of headers and licence files to templates, then inheritance.
+
+Lines that hold a cue, and paragraphs that do (lines between which there is none
+without a letter or digit, so a header that is wrapped is one), are compared with
+licence templates by the cosine of sparse TF-IDF vectors.  The weights come from
+the number of documents that hold each term of the templates, counted over all
+documents; a term that no template has weighs as one that no document has, so
+unrelated words lower the cosine.  A file has the licence of its best line or
+paragraph, or, where it is named as a licence file, of its whole text if that is
+better.  The terms of a text are counted by sorting them, so the work on a very
+long line or paragraph grows as its length does, but for the sorting.
 
 A file without a licence of its own takes that of the nearest directory above it
 that has a licence file.  Files are joined to licence files by each of the paths
@@ -27,16 +30,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketmill.functions.text import bind, runs
 from docketmill.llm.common import materialized
 
-# Notices by which files name their licence.
+# Notices by which files name their licence, and the headers the licences recommend.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance"
+        " with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "BSD-3-Clause": (
         "Use of this source code is governed by a BSD-style license.",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "CC-BY-4.0": (
@@ -49,24 +56,35 @@ TEMPLATES = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+        " option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "MIT": (
         "Released under the MIT License.",
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
+        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
 }
 
-#: A line that holds none of these is not compared.
+#: A line or paragraph that holds none of these is not compared.
 CUE = "(?i)licen[cs]e|copyright|permission is hereby"
 #: Names of files that speak for their directory.
 FILE_NAME = "(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 TERM = "[a-z0-9]+"
+#: What lies between paragraphs, line breaks being line feeds.
+GAP = r"\n[^\p{L}\p{N}]*\n"
 LEAST_COSINE = 0.7
 
 
@@ -111,33 +129,44 @@ def _vectors(found: Weights) -> list[tuple[str, dict[str, float]]]:
 
 def best_template(text: Column, found: Weights) -> Column:
     """struct(cosine, license) of the template nearest to a text."""
-    tokens = terms(text)
     weight = F.create_map(*[F.lit(x) for t, w in found.known.items() for x in (t, w)])
-    distinct = F.array_distinct(tokens)
 
-    def count(t: Column) -> Column:
-        return F.size(F.filter(tokens, lambda u: u == t)).cast("double")
+    def squares(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v)
+
+    def nearest(counts: Column) -> Column:
+        known = F.filter(counts, lambda r: r["item"].isin(*found.known))
+        others = F.transform(F.filter(counts, lambda r: ~r["item"].isin(*found.known)), lambda r: r["cnt"] * F.lit(found.other))
+        values = F.transform(known, lambda r: r["cnt"] * weight[r["item"]])
+        vector = F.map_from_arrays(F.transform(known, lambda r: r["item"]), values)
+        return bind(F.struct(vector.alias("v"), F.sqrt(squares(values) + squares(others)).alias("norm")), best)
+
+    def best(own: Column) -> Column:
+        scores = []
+        for name, template in _vectors(found):
+            dot = F.lit(0.0)
+            for t, w in template.items():
+                dot = dot + F.coalesce(F.try_element_at(own["v"], F.lit(t)), F.lit(0.0)) * w
+            cosine = F.when(own["norm"] > 0, dot / own["norm"]).otherwise(0.0)
+            scores.append(F.struct((-F.round(cosine, 9)).alias("minus"), F.lit(name).alias("license")))
+        return F.array_min(F.array(*scores))
 
-    values = F.transform(distinct, lambda t: count(t) * F.coalesce(weight[t], F.lit(found.other)))
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v))
-    vector = F.map_from_arrays(distinct, values)
-    scores = []
-    for name, template in _vectors(found):
-        dot = F.lit(0.0)
-        for t, w in template.items():
-            dot = dot + F.coalesce(F.try_element_at(vector, F.lit(t)), F.lit(0.0)) * w
-        scores.append(F.struct(
-            (-F.round(F.when(norm > 0, dot / norm).otherwise(0.0), 9)).alias("minus"), F.lit(name).alias("license")))
-    best = F.array_min(F.array(*scores))
-    return F.struct((-best["minus"]).alias("cosine"), best["license"].alias("license"))
+    least = bind(runs(F.sort_array(terms(text))), nearest)
+    return F.struct((-least["minus"]).alias("cosine"), least["license"].alias("license"))
 
 
 def own_licenses(files: DataFrame, found: Weights, least: float = LEAST_COSINE) -> DataFrame:
     """(doc_id, path, cosine, license) of every file (doc_id, path, text); no licence is NULL."""
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\\R"), lambda s: F.regexp_like(s, F.lit(CUE)))
-    is_file = F.regexp_like(F.element_at(F.split("path", "/"), -1), F.lit(FILE_NAME))
-    held = F.when(F.coalesce(is_file, F.lit(False)) & (F.size(lines) > 0), F.concat(
-        lines, F.array(F.col("text")))).otherwise(lines)
+    none = F.array().cast("array<string>")
+    is_file = F.coalesce(F.regexp_like(F.element_at(F.split("path", "/"), -1), F.lit(FILE_NAME)), F.lit(False))
+
+    def holding(parts: Column) -> Column:
+        return F.filter(parts, lambda s: F.regexp_like(s, F.lit(CUE)))
+
+    paragraphs = F.split(F.regexp_replace("text", "\r\n?", "\n"), GAP)
+    whole = F.when(is_file, F.array(F.col("text"))).otherwise(none)
+    held = F.when(F.regexp_like("text", F.lit(CUE)), F.concat(
+        holding(F.split("text", "\\R")), holding(paragraphs), whole)).otherwise(none)
     split = files.select("doc_id", "path", F.explode_outer(F.array_distinct(held)).alias("line"))
     scored = split.select("doc_id", "path", F.when(F.col("line").isNotNull(), best_template(F.col("line"), found)).alias("b"))
     enough = F.when(F.col("b.cosine") >= least, F.struct((-F.col("b.cosine")).alias("minus"), "b.license"))

@@ -1,7 +1,9 @@
 import math
 import re
+import time
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from docketmill.llm import licenses as L
@@ -24,7 +26,8 @@ def brute(files):
 
     own = {}
     for doc_id, path, text in files:
-        lines = [s for s in (text or "").split("\n") if re.search(L.CUE, s)]
+        paragraphs = regex.split(r"\n[^\p{L}\p{N}]*\n", text or "")
+        lines = [s for s in (text or "").split("\n") + paragraphs if re.search(L.CUE, s)]
         if lines and path and re.match(L.FILE_NAME, path.split("/")[-1]):
             lines.append(text)
         best = min(((-cosine(vector(s), vector(t)), name) for s in lines
@@ -85,6 +88,41 @@ def test_files_against_brute_force(spark):
     assert found[7, "z/q.py"] == (None, "none")
 
 
+HEADERS = {
+    "MPL-2.0": "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not"
+               " distributed with this\n# file, You can obtain one at http://mozilla.org/MPL/2.0/.\n",
+    "GPL-3.0": " * This program is free software: you can redistribute it and/or modify\r\n * it under the terms of the GNU General Public"
+               " License as published by\r\n * the Free Software Foundation, either version 3 of the License, or\r\n * (at your option)"
+               " any later version.\r\n *\r\n * It is distributed in the hope that it will be useful.\r\n",
+    "Apache-2.0": "// Licensed under the Apache License, Version 2.0 (the \"License\");\n// you may not use this file except in compliance with"
+                  " the License.\n// You may obtain a copy of the License at\n//\n//     http://www.apache.org/licenses/LICENSE-2.0\n",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation"
+           " files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use,"
+           " copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the"
+           " Software is\nfurnished to do so, subject to the following conditions:\n",
+    "BSD-3-Clause": "# Use of this source code is governed by a BSD-style\n# license that can be found in the LICENSE file.\n",
+}
+
+
+@pytest.mark.parametrize("name", HEADERS)
+def test_wrapped_headers_are_found(spark, name):
+    code = "\n\nint main() { return 0; }\n" * 20
+    files = [(i, f"src/{i}.c", "#!/bin/x\n\n" + HEADERS[name] + "\n" + code) for i in range(2)]
+    files += [(i, f"other/{i}.c", code + f"// number {i} of other words in this place") for i in range(2, 40)]
+    rows = L.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in rows} == {i: name if i < 2 else None for i in range(40)}
+
+
+def test_a_long_line_with_a_cue_takes_seconds(spark):
+    words = " ".join(f"word{i % 7000}" for i in range(60_000))
+    blanks = "license\n" + "\n * \n" * 50_000 + "Released under the MIT License."
+    files = [(1, "a/x.txt", words + " license " + words), (2, "a/LICENSE", words + " license"), (3, "b/y.txt", blanks)]
+    start = time.monotonic()
+    rows = L.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")).collect()
+    assert time.monotonic() - start < 60
+    assert {r["doc_id"]: r["license"] for r in rows} == {1: None, 2: None, 3: "MIT"}
+
+
 def test_licence_file_at_the_top(spark):
     check(spark, [(1, "LICENSE", "Released under the MIT License."), (2, "a/b.py", "x"), (3, "c.py", "y")])
 
