@@ -171,20 +171,37 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A table (conv_id, turn, role, text) as calls and results.
 
     What a user says is a call of `reply`, what the system says of `configure`;
-    what the assistant says in the next turn is the result.  A call depends on
-    the one two turns before and on the conversation's first.
+    what the assistant says in the next turn is the result.  The length of a text
+    decides what else its call does, so that every branch occurs: every fifth length
+    writes the turn as text and every seventh adds an argument that the tool does not
+    know, every third of the system leaves out its rules; a call depends on the
+    conversation's first, and by its length also on the call two turns before, on none,
+    or, as a plan written ahead would, on the one two turns later.
     """
     def call_id(turn: Column) -> Column:
         return F.concat_ws("-", F.col("conv_id"), turn)
 
-    turn = F.col("turn")
-    prompt = canonical(turn=turn, prompt=F.col("text"))
-    rules = canonical(turn=turn, rules=F.col("text"))
+    turn, text = F.col("turn"), F.col("text")
+    size = F.coalesce(F.char_length("text"), F.lit(1))
+
+    def said(key: str) -> Column:
+        """Canonical arguments by what the length of the text lets happen."""
+        found = canonical(turn=turn, **{key: text})
+        for odd_turn in (False, True):
+            for note in (False, True):
+                fields = {"turn": turn.cast("string") if odd_turn else turn, key: text}
+                fields |= {"note": F.lit("as said")} if note else {}
+                here = ((size % 5 == 0) == F.lit(odd_turn)) & ((size % 7 == 0) == F.lit(note))
+                found = F.when(here, canonical(**fields)).otherwise(found)
+        return found
+
+    rules = F.when(size % 3 == 0, canonical(turn=turn)).otherwise(said("rules"))
+    other = F.when(size % 4 == 0, call_id(turn + 2)).when((size % 4).isin(1, 2), call_id(turn - 2))
     calls = turns.where(F.col("role").isin("user", "system")).select(
         "conv_id", call_id(turn).alias("call_id"), "turn",
         F.when(F.col("role") == "user", "reply").otherwise("configure").alias("name"),
-        F.when(F.col("role") == "user", prompt).otherwise(rules).alias("arguments"),
-        F.array(call_id(turn - 2), call_id(F.lit(0))).alias("depends_on"))
+        F.when(F.col("role") == "user", said("prompt")).otherwise(rules).alias("arguments"),
+        F.array_compact(F.array(other, call_id(F.lit(0)))).alias("depends_on"))
     results = turns.where(F.col("role") == "assistant").select(
         "conv_id", call_id(turn - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results

@@ -25,18 +25,41 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
 OP4 = """
-WITH calls AS (
-  SELECT conv_id, turn, role, text, conv_id || '-' || turn AS call_id,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place
+WITH RECURSIVE calls AS (
+  SELECT conv_id, turn, role, text, coalesce(len(text), 1) AS size, count(*) OVER (PARTITION BY conv_id) AS n
   FROM conversations WHERE role IN ('user', 'system')),
-answers AS (SELECT conv_id, turn - 1 AS turn, text AS result FROM conversations WHERE role = 'assistant')
-SELECT conv_id, call_id, place, result IS NOT NULL AS linked, true AS valid, '' AS errors,
-  '{"arguments":' || CASE role WHEN 'user' THEN json_object('prompt', text, 'turn', turn)
-    ELSE json_object('rules', text, 'turn', turn) END
-  || ',"errors":[],' || substr(json_object(
+wanted AS (
+  SELECT conv_id, turn, CASE WHEN size % 4 = 0 THEN turn + 2 WHEN size % 4 IN (1, 2) THEN turn - 2 END AS parent FROM calls
+  UNION SELECT conv_id, turn, 0 FROM calls),
+needs AS (
+  SELECT w.conv_id, w.turn, w.parent FROM wanted w JOIN calls c ON c.conv_id = w.conv_id AND c.turn = w.parent WHERE w.parent <> w.turn),
+ahead AS (SELECT DISTINCT conv_id FROM needs WHERE parent >= turn),
+-- Paths along dependencies; one as long as the conversation has calls runs in a cycle.
+paths AS (
+  SELECT conv_id, turn, turn AS at, 0 AS depth, n FROM calls WHERE conv_id IN (SELECT conv_id FROM ahead)
+  UNION SELECT p.conv_id, p.turn, d.parent, p.depth + 1, p.n
+  FROM paths p JOIN needs d ON d.conv_id = p.conv_id AND d.turn = p.at WHERE p.depth < p.n),
+levels AS (SELECT conv_id, turn, max(depth) AS level FROM paths GROUP BY conv_id, turn, n HAVING max(depth) < n),
+ranked AS (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn) AS place
+  FROM (SELECT * FROM levels UNION ALL SELECT conv_id, turn, 0 FROM calls WHERE conv_id NOT IN (SELECT conv_id FROM ahead))),
+answers AS (SELECT conv_id, turn - 1 AS turn, text AS result FROM conversations WHERE role = 'assistant'),
+checked AS (
+  SELECT *, conv_id || '-' || turn AS call_id, CASE role WHEN 'user' THEN 'prompt' ELSE 'rules' END AS key,
+    role = 'system' AND size % 3 = 0 AS bare FROM calls),
+judged AS (
+  SELECT *, list_filter([
+      CASE WHEN bare THEN 'missing rules' END,
+      CASE WHEN NOT bare AND size % 5 = 0 THEN 'turn is no integer' END,
+      CASE WHEN NOT bare AND size % 7 = 0 THEN 'unknown note' END], lambda e: e IS NOT NULL) AS found,
+    CASE WHEN bare THEN json_object('turn', turn)::VARCHAR ELSE '{' || CASE WHEN size % 7 = 0 THEN '"note":"as said",' ELSE '' END
+      || '"' || key || '":' || to_json(text) || ',"turn":' || CASE WHEN size % 5 = 0 THEN '"' || turn || '"' ELSE turn::VARCHAR END || '}' END AS arguments
+  FROM checked)
+SELECT conv_id, call_id, place, result IS NOT NULL AS linked, len(found) = 0 AS valid, array_to_string(found, '; ') AS errors,
+  '{"arguments":' || arguments || ',"errors":' || to_json(found) || ',' || substr(json_object(
     'id', call_id, 'name', CASE role WHEN 'user' THEN 'reply' ELSE 'configure' END, 'place', place, 'result', result,
     'turn', turn)::VARCHAR, 2) AS message
-FROM calls LEFT JOIN answers USING (conv_id, turn)
+FROM judged LEFT JOIN ranked USING (conv_id, turn) LEFT JOIN answers USING (conv_id, turn)
 """
 
 #: The sixteen rests of CRC-32 (reflected polynomial 0xEDB88320) by half byte.

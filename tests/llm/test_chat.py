@@ -78,24 +78,55 @@ def test_order_respects_dependencies(spark, monkeypatch):
     assert sorted(p for p in cycle.values() if p) == list(range(1, 27))
 
 
+def expected_places(calls):
+    """Places of (turn, turns it depends on): rounds of what depends on nothing unplaced, or the turns if all dependencies are earlier."""
+    if all(p < t for t, parents in calls.items() for p in parents):
+        return {t: i + 1 for i, t in enumerate(sorted(calls))}
+    found, done = {}, set()
+    while ready := [t for t, parents in calls.items() if t not in done and parents <= done]:
+        for t in sorted(ready):
+            found[t] = len(found) + 1
+        done |= set(ready)
+    return found
+
+
 def test_conversations_against_a_loop(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     rows = {(r["conv_id"], r["call_id"]): r for r in C.formatted(
         *C.conversation_calls(turns), C.CONVERSATION_TOOLS).collect()}
     said = {(r["conv_id"], r["turn"]): r for r in turns.collect()}
-    asked = sorted(k for k, r in said.items() if r["role"] in ("user", "system"))
-    assert len(rows) == len(asked)
-    place = {}
-    for conv, turn in asked:
-        row, r = rows[conv, f"{conv}-{turn}"], said[conv, turn]
-        place[conv] = place.get(conv, 0) + 1
-        answer = said.get((conv, turn + 1))
-        result = answer["text"] if answer and answer["role"] == "assistant" else None
-        key = "prompt" if r["role"] == "user" else "rules"
-        assert row["place"] == place[conv] and row["valid"] and row["linked"] == (result is not None)
-        assert json.loads(row["message"]) == {
-            "arguments": {key: r["text"], "turn": turn}, "errors": [], "id": f"{conv}-{turn}",
-            "name": "reply" if r["role"] == "user" else "configure", "place": place[conv], "result": result, "turn": turn}
+    asked = {}
+    for (conv, turn), r in sorted(said.items()):
+        if r["role"] in ("user", "system"):
+            asked.setdefault(conv, {})[turn] = r["text"]
+    assert len(rows) == sum(map(len, asked.values()))
+    seen = set()
+    for conv, texts in asked.items():
+        parents = {t: {p for p in ({0: t + 2, 1: t - 2, 2: t - 2}.get(len(x) % 4), 0) if p in texts and p != t}
+                   for t, x in texts.items()}
+        places = expected_places(parents)
+        for t, x in texts.items():
+            row, r = rows[conv, f"{conv}-{t}"], said[conv, t]
+            answer = said.get((conv, t + 1))
+            result = answer["text"] if answer and answer["role"] == "assistant" else None
+            arguments, errors = {"turn": t}, []
+            if r["role"] == "system" and len(x) % 3 == 0:
+                errors.append("missing rules")
+            else:
+                arguments["prompt" if r["role"] == "user" else "rules"] = x
+                if len(x) % 5 == 0:
+                    arguments["turn"] = str(t)
+                    errors.append("turn is no integer")
+                if len(x) % 7 == 0:
+                    arguments["note"] = "as said"
+                    errors.append("unknown note")
+            assert row["place"] == places.get(t) and row["linked"] == (result is not None)
+            assert row["errors"] == "; ".join(errors) and row["valid"] == (not errors)
+            assert json.loads(row["message"]) == {
+                "arguments": arguments, "errors": errors, "id": f"{conv}-{t}",
+                "name": "reply" if r["role"] == "user" else "configure", "place": places.get(t), "result": result, "turn": t}
+            seen |= {("place", row["place"] is None), ("ahead", any(p > t for p in parents[t])), *errors}
+    assert {("place", True), ("place", False), ("ahead", True), "turn is no integer", "unknown note"} <= seen
 
 
 def test_odd_rows(spark):
