@@ -23,7 +23,8 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder; a session on one machine that names none gets a temporary one."""
-    if not spark.conf.get(CHECKPOINT_CONF, None) and spark.sparkContext.master.startswith("local[") and not _local:
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    if not spark.conf.get(CHECKPOINT_CONF, None) and alone and not _local:
         _local.append(tempfile.mkdtemp(prefix="docketmill-"))
     return f"{checkpoint_root(spark, _local[0] if _local else None)}/{name}-{uuid.uuid4().hex}"
 
