@@ -147,6 +147,18 @@ def test_a_lost_driver_after_the_commit_leaves_the_new_pair(spark, finished, tmp
     assert [df.count() for df in sinks.read_results(spark, out)] == [0, 0]
 
 
+def test_no_csv_file_grows_with_the_records(spark, finished, tmp_path, monkeypatch):
+    """A CSV file is read by one task, so records of one task go to several files."""
+    _, done, _ = finished
+    monkeypatch.setattr(sinks, "CSV_FILE_RECORDS", 2)
+    out = str(tmp_path / "results")
+    sinks.write_results(done.coalesce(1), out)
+    files = [f"{out}/csv/{n}" for n in os.listdir(f"{out}/csv") if n.startswith("part-")]
+    assert len(files) == -(-done.count() // 2) > 1
+    assert max(sinks.read_csv(spark, f).count() for f in files) == 2
+    assert [filenames(df) for df in sinks.read_results(spark, out)] == [filenames(done)] * 2
+
+
 def test_reports(spark, finished):
     out, done, bad = finished
     inputs = done.select(*P.IDENTITY).union(bad.select(*P.IDENTITY).filter("source_key is not null"))
