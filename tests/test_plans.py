@@ -121,3 +121,19 @@ def test_ingest_reads_the_page_text_once(spark, tmp_path):
     shuffles = [x for x in lines[aggregate:scan] if "Exchange hashpartitioning(source_bucket" in x]
     assert len(shuffles) <= 2  # the pages, and the keys of the uploads beside them
     assert found.count() == 2
+
+
+def test_costly_work_on_few_narrow_rows_is_dealt_out(spark, tables):
+    """A table in one row group and joins of narrow rows give as many tasks as the session has shuffle partitions."""
+    from docketmill.operators.rows import spread
+    from verification import business_text
+
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buyers = tables["customer"].coalesce(1)
+    made = business_text.applications(buyers)
+    assert made.rdd.getNumPartitions() == wide
+    assert made.count() == buyers.count()
+    found = business_text.invoices(tables["lineitem"].coalesce(1), tables["orders"].coalesce(1), buyers)
+    assert found.rdd.getNumPartitions() == wide
+    rows = spark.createDataFrame([(None,), (1,), (1,), (2,)], "n int").coalesce(1)
+    assert sorted(spread(rows, "n").collect(), key=str) == sorted(rows.collect(), key=str)
