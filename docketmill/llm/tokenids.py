@@ -325,12 +325,23 @@ def tokens(path: str, dtype: str, text: str = "text") -> Column:
     return encode(F.col(text).cast("string"))
 
 
+def _bytes_of(column: pa.Array) -> bytes:
+    """All values of a binary column one after the other."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return column.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if offsets[-1] > offsets[0] else b""
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, 256 at a time, so that memory follows these rows and not the batch."""
+    for at in range(0, batch.num_rows, 256):
+        yield batch.slice(at, 256)
+
+
 def _runs(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a binary column, and the bounds of its rows."""
-    rows = column.to_pylist()
-    size = np.dtype(dtype).itemsize
-    bounds = np.concatenate([[0], np.cumsum([len(r) // size for r in rows])]).astype(np.int64)
-    return np.frombuffer(b"".join(rows), dtype=dtype).astype(np.int64), bounds
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(sizes // np.dtype(dtype).itemsize)])
+    return np.frombuffer(_bytes_of(column), dtype=dtype).astype(np.int64), bounds
 
 
 def _counts(ids: DataFrame, dtype: str) -> np.ndarray:
@@ -339,9 +350,10 @@ def _counts(ids: DataFrame, dtype: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            found = np.bincount(_runs(batch.column(0), dtype)[0], minlength=len(total))
-            found[: len(total)] += total
-            total = found
+            for piece in _slices(batch):
+                found = np.bincount(_runs(piece.column(0), dtype)[0], minlength=len(total))
+                found[: len(total)] += total
+                total = found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
@@ -361,8 +373,7 @@ def _pieces(lengths: np.ndarray, dtype: str, bounds: np.ndarray):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for piece in _slices(batch):
                 ids, runs = _runs(piece.column(1), dtype)
                 raw, edges, marks = H.encode(ids, runs, lengths, book)
                 doc = piece.column(0)
@@ -377,12 +388,6 @@ def _pieces(lengths: np.ndarray, dtype: str, bounds: np.ndarray):
     return encode
 
 
-def _bytes_of(column: pa.Array) -> bytes:
-    """All values of a binary column one after the other."""
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-    return column.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if offsets[-1] > offsets[0] else b""
-
-
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Consecutive documents of a part, in order, as blocks of at least `BLOCK_IDS` ids, the last of a part excepted."""
     schema = pa.schema([

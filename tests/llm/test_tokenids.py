@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -126,3 +127,19 @@ def test_odd_rows(odd_docs, no_docs, odd_rows):
     assert sorted(r[2:] for r in got[len(named) :]) == sorted(
         r[2:] for r in expected([r for r in odd_rows if r[0] is None]))
     assert K.round_trip(no_docs, PATH).collect() == []
+
+
+def test_ids_are_counted_a_few_rows_at_a_time(spark):
+    """A batch of any size is counted by pieces, whose ids alone are widened."""
+    rows = [np.full(1 + i % 3, i % 7, dtype="<u2").tobytes() for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+    pieces = list(K._slices(batch))
+    assert [p.num_rows for p in pieces] == [256, 256, 256, 232]
+    joined = b"".join(rows)
+    found = [K._runs(p.column(0), "<u2") for p in pieces]
+    assert np.concatenate([ids for ids, _ in found]).tolist() == np.frombuffer(joined, "<u2").tolist()
+    assert np.concatenate([np.diff(bounds) for _, bounds in found]).tolist() == [1 + i % 3 for i in range(1000)]
+    counted = K._counts(spark.createDataFrame([(r,) for r in rows], "ids binary"), "<u2")
+    assert counted.tolist() == np.bincount(np.frombuffer(joined, "<u2")).tolist()
+    empty = spark.createDataFrame([], "ids binary")
+    assert K._counts(empty, "<u2").tolist() == [0]
