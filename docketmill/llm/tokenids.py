@@ -296,12 +296,20 @@ _encoders: dict[tuple[str, str], PieceEncoder] = {}
 
 
 def encoder(path: str, dtype: str) -> PieceEncoder:
-    """The encoder of this process, which keeps its memory from task to task."""
+    """The encoder of this process, which keeps its memory from task to task until ids are counted."""
     if (path, dtype) not in _encoders:
         _encoders[path, dtype] = PieceEncoder(path, dtype)
     return _encoders[path, dtype]
 
 
+def _release() -> None:
+    """Give back what the encoders of this process hold, once all texts of a run are encoded.
+
+    Workers live on and serve other operators; their memory would stay taken.
+    """
+    _encoders.clear()
+
+
 def _dtype(path: str) -> str:
     from tokenizers import Tokenizer
 
@@ -348,6 +356,7 @@ def _counts(ids: DataFrame, dtype: str) -> np.ndarray:
     """Occurrences of every id; as many numbers as the vocabulary has ids."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release()
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for piece in _slices(batch):

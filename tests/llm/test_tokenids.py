@@ -143,3 +143,20 @@ def test_ids_are_counted_a_few_rows_at_a_time(spark):
     assert counted.tolist() == np.bincount(np.frombuffer(joined, "<u2")).tolist()
     empty = spark.createDataFrame([], "ids binary")
     assert K._counts(empty, "<u2").tolist() == [0]
+
+
+def test_a_worker_gives_back_the_encoder_when_it_counts(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array([b"\1\0"], pa.binary())], ["ids"])
+
+    class InThisProcess:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, count, schema):
+            assert K._encoders
+            assert [b.num_rows for b in count(iter([batch]))] == [1]
+            return spark.createDataFrame([(1, 1)], schema)
+
+    K.encoder(PATH, "<u2")
+    assert K._counts(InThisProcess(), "<u2").tolist() == [0, 1]
+    assert not K._encoders
