@@ -4,7 +4,8 @@ Terms are the words of a text and its pairs of neighbouring words, in lower case
 Every occurrence votes with the length of its term on 128 signed bits, those of
 two 64-bit hashes; a bit of the fingerprint is the side with more weight.  Votes
 are sums of long columns, two 32-bit counters in each, so that they stay in
-generated code; weights of one text below 4 GiB cannot overflow them.
+generated code; weights of one text below 4 GiB cannot overflow them.  Votes add up:
+the words that a text and its edited text begin with are counted once for both.
 
 A search cuts fingerprints into `radius + 2` blocks.  Two fingerprints that differ
 in at most `radius` bits agree in two blocks at least, so one table for each pair
@@ -40,22 +41,26 @@ _LANES = 0x100000001
 _LOW = 0xFFFFFFFF
 
 
-def terms(text: Column) -> Column:
-    """Words and pairs of neighbouring words of a text, in lower case."""
-    words = F.filter(F.split(F.lower(text), SPACES), lambda w: w != "")
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                       lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
+def words(text: Column) -> Column:
+    """Words of a text in lower case."""
+    return F.array_remove(F.split(F.lower(text), SPACES), "")
+
+
+def shared_start(text: Column, kept: Column) -> Column:
+    """What lies before the last word, maybe a cut one, of the first `kept` characters of a text."""
+    return F.regexp_extract(F.substring(text, F.lit(1), kept), f"(?s)^.*{SPACES[:-1]}", 0)
 
 
 def _votes() -> list[Column]:
     """Weighted counts of every bit of both hashes, two to a sum, and the sum of weights."""
     lanes = []
-    for h in ("h0", "h1"):
+    for h in ("0", "1"):
         for i in range(32):
-            bits = F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANES))
-            lanes.append(F.sum(bits * F.col("weight")).alias(f"{h}_{i}"))
-    return [*lanes, F.sum("weight").alias("weights")]
+            of_word, of_pair = [
+                F.shiftrightunsigned(f"{kind}{h}", i).bitwiseAND(F.lit(_LANES)) * F.col(f"{kind}_weight")
+                for kind in ("word", "pair")]
+            lanes.append(F.sum(of_word + of_pair).alias(f"h{h}_{i}"))
+    return [*lanes, F.sum(F.col("word_weight") + F.col("pair_weight")).alias("weights")]
 
 
 def _voted(h: str) -> Column:
@@ -69,16 +74,27 @@ def _voted(h: str) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [bit(i) for i in range(64)])
 
 
-def simhashes(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """(*keys, f0, f1): the halves of the fingerprint of every row; keys tell rows apart.
+def votes(spoken: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, sums of `_votes`) of every row with `words` and `before`, the word ahead of them or NULL; keys tell rows apart.
 
-    A table that is already spread by some of the keys is not shuffled.
+    A word votes together with the pair that it ends.  A table that is already spread
+    by some of the keys is not shuffled.
     """
-    spelled = texts.select(*keys, F.explode_outer(terms(F.coalesce(text, F.lit("")))).alias("term"))
-    hashed = spelled.select(
-        *keys, F.xxhash64("term").alias("h0"), F.xxhash64(F.lit(1), "term").alias("h1"),
-        F.coalesce(F.octet_length("term"), F.lit(0)).cast("bigint").alias("weight"))
-    return hashed.groupBy(*keys).agg(*_votes()).select(*keys, _voted("h0").alias("f0"), _voted("h1").alias("f1"))
+    ahead = F.slice(F.concat(F.array("before"), "words"), F.lit(1), F.size("words"))
+    placed = spoken.select(*keys, F.explode_outer(F.arrays_zip(ahead.alias("before"), F.col("words").alias("word"))).alias("t"))
+    # A word without one ahead ends no pair; a text without words has one row with neither.
+    said = placed.select(*keys, F.col("t.word").alias("word"), F.concat("t.before", F.lit(" "), "t.word").alias("pair"))
+    hashed = said.select(*keys, *[
+        column for kind in ("word", "pair") for column in (
+            F.xxhash64(kind).alias(f"{kind}0"), F.xxhash64(F.lit(1), kind).alias(f"{kind}1"),
+            F.coalesce(F.octet_length(kind), F.lit(0)).cast("bigint").alias(f"{kind}_weight"))])
+    return hashed.groupBy(*keys).agg(*_votes())
+
+
+def simhashes(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """(*keys, f0, f1): the halves of the fingerprint of every row; keys tell rows apart."""
+    spoken = texts.select(*keys, words(F.coalesce(text, F.lit(""))).alias("words"), F.lit(None).cast("string").alias("before"))
+    return votes(spoken, keys).select(*keys, _voted("h0").alias("f0"), _voted("h1").alias("f1"))
 
 
 def spelled(f0: str, f1: str) -> Column:
@@ -197,15 +213,25 @@ def compared(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFram
     rows = with_next(docs)
     changed = edited(F.col("text"), F.col("next_text"))
     keys = ["block", "place", "doc_id", "n_chars", "edited_sha256", "last"]
-    kinds = rows.withColumn("changed", changed).select(
-        "block", "place", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
+    n = F.char_length("text")
+    cut = rows.withColumns({"changed": changed, "shared": shared_start(F.col("text"), n - F.floor(n / 3).cast("int"))})
+    rest = F.char_length("shared") + 1
+    spoken = cut.select(
+        "block", "place", "doc_id", n.cast("bigint").alias("n_chars"),
         F.sha2(F.col("changed").cast("binary"), 256).alias("edited_sha256"), "last",
-        F.explode(F.filter(F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
-            F.struct(F.lit(1).alias("kind"), F.col("changed").alias("text")),
-            F.struct(F.lit(2).alias("kind"), F.when(F.col("last"), F.col("next_text")).alias("text"))),
-            lambda k: k["text"].isNotNull())).alias("k")).select(*keys, "k.kind", "k.text")
-    prints = simhashes(kinds, [*keys, "kind"])
+        words(F.col("shared")).alias("both"), words(F.substr("text", rest)).alias("own"),
+        words(F.substr("changed", rest)).alias("new"), F.when(F.col("last"), words(F.col("next_text"))).alias("following"))
+    ahead, nothing = F.get("both", F.size("both") - 1), F.lit(None).cast("string")
+    # Both texts begin with the same words, which vote once for the two.
+    parts = F.array(*[
+        F.struct(F.lit(i).alias("part"), before.alias("before"), F.col(name).alias("words"))
+        for i, (name, before) in enumerate([("both", nothing), ("own", ahead), ("new", ahead), ("following", nothing)])])
+    spread = spoken.select(*keys, F.explode(F.filter(parts, lambda p: p["words"].isNotNull())).alias("p"))
+    counted = votes(spread.select(*keys, "p.part", "p.before", "p.words"), [*keys, "part"])
+    kinds = F.when(F.col("part") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.col("part") - 1))
+    lanes = [c for c in counted.columns if c not in (*keys, "part")]
+    prints = counted.select(*keys, F.explode(kinds).alias("kind"), *lanes).groupBy(*keys, "kind").agg(
+        *[F.sum(c).alias(c) for c in lanes]).select(*keys, "kind", _voted("h0").alias("f0"), _voted("h1").alias("f1"))
 
     def of(kind: int, half: str, name: str) -> Column:
         return F.max(F.when(F.col("kind") == kind, F.col(half))).alias(name)

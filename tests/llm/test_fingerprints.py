@@ -93,3 +93,25 @@ def test_odd_rows(odd_docs, no_docs):
     assert by_text[1] == by_text[8] and by_text[5] == by_text[6]
     assert by_text[2] == by_text[3] == by_text[4] == {"0" * 32}
     assert P.compared(no_docs).collect() == []
+
+
+def test_words_that_both_texts_begin_with_vote_once(spark, monkeypatch):
+    texts = {
+        1: "one two three four five six seven eight nine ten " * 20, 2: "ΟΔΟΣ ΣΑΣ\tΣ  ΟΔΟΣ\n\n" * 5, 3: "unbroken" * 9,
+        4: " a", 5: "ab cd ", 6: "Ünïcode ßtraße İstanbul \U0001f600 naïve word and more", 7: "  \t ", 8: None, 9: "x"}
+    given, votes = [], P.votes
+    monkeypatch.setattr(P, "votes", lambda df, keys: given.append(df) or votes(df, keys))
+    rows = P.compared(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    check_edits(rows, texts)
+    of_first = given[0].where("doc_id = 1").agg(F.sum(F.size("words"))).first()[0]
+    assert of_first < 1.4 * 200 + 4  # 400 if either text had all its words counted
+
+    ids = sorted(texts, reverse=True)
+    plain = []
+    for at, i in enumerate(ids):
+        text, following = texts[i] or "", texts[ids[(at + 1) % len(ids)]] or ""
+        plain.append((i, text, text[: len(text) - len(text) // 3] + following[: len(text) // 3]))
+    whole = spark.createDataFrame(plain, "id int, text string, edited string")
+    for column, found in (("text", "fingerprint"), ("edited", "edited_fingerprint")):
+        expected = {r["id"]: r["f"] for r in P.simhashes(whole, ["id"], column).select("id", P.spelled("f0", "f1").alias("f")).collect()}
+        assert {r["doc_id"]: r[found] for r in rows} == expected
