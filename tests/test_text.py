@@ -123,3 +123,27 @@ def test_user_rules_mean_what_python_says(spark, texts):
     for row in df.select("text", *cols).collect():
         for k, p in enumerate(USER_RULES):
             assert row[f"p{k}"] == bool(re.search(p, row["text"], re.I)), (p, row["text"])
+
+
+def test_rule_patterns_are_searched_by_their_words(spark):
+    """The forms of a pattern find what it finds, and begin with letters wherever it begins with a phrase."""
+    patterns = [p for table in (PHRASE_RULES, LAYOUT_RULES) for rules in table.values() for p, _ in rules]
+    patterns += [r"\b(a|ab)\s+\1x", r"\b(one|two)?\s*three", r"\b(a|b)c|d\b", r"\bword\s+(x|y)|z", r"\bnot|this\b"]
+    tricky = [
+        "retax tax", "taxes", "tax", "_tax 1", "a tax", "xtax vat", "sub  total", "grand\ntotal", "subtotal x grand total",
+        "total due payable", "amountdue amount\tdue", "inv-12 xinv 34", "inv", "app 77", "dob", "xdob", "q1 2001", "qq1 2001", "bill to:",
+        "billed to", "rebilled to", "national id", "ssn", "a a ax", "ab abx", "b bx", "three", "c", "d", "ac", "z", "word y",
+        "this", "description qty unit price total", "description 9qty qty unit  price\ntotal", "employer job title annual income",
+        "my employer_ employer job  title annual income", "region: growth", "10 %", "signature: certify", "certify signature", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tricky)], "i int, t string")
+    for pattern in patterns:
+        forms = T.ascii_regexes(pattern)
+        if forms:
+            hit = F.lit(False)
+            for form in forms:
+                hit = hit | F.rlike("t", F.lit(form))
+            found = {r["t"] for r in df.filter(hit).collect()}
+            assert found == {t for t in tricky if re.search(pattern.lower(), t)}, pattern
+    leading = [T.ascii_regexes(p) for table in PHRASE_RULES.values() for p, _ in table]
+    assert all(re.match(r"\(\?d\)[a-z]", form) for forms in leading for form in forms)
+    assert len(T.ascii_regexes(r"\b(forecast|recommendations|growth|performance)\b")) == 4
