@@ -90,6 +90,19 @@ def test_label_lookup_equals_one_search_per_label(spark, texts):
     assert [got[i] for i in range(len(texts))] == [raw_values(t) for t in texts]
 
 
+def test_spaces_are_collapsed_once_a_text_not_once_a_line(spark):
+    from docketmill.functions import labels as L
+    from docketmill.rules import DEFAULT_RULES
+
+    texts = ["Tax:  $5\t00\n TAX (17%) -\xa0a  b\nBill\u3000To:\n  Some\t Name - \nTax", "Phone \u212a: 1", "\u017fubtotal: 7"]
+    found = docs(spark, texts).select("doc_id", L.label_lines(F.col("text"), L.alias_map(DEFAULT_RULES), LABELS).alias("x"))
+    got = {r["doc_id"]: [(x["line_no"], x["label"], x["raw_value"]) for x in r["x"]] for r in found.collect()}
+    assert got == {0: [(0, "tax", "$5 00"), (1, "tax", "a b"), (2, "bill to", "Some Name")], 1: [], 2: [(0, "subtotal", "7")]}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # One for the spaces, one for what is before a value.
+    assert plan.count("regexp_replace(") == 2
+
+
 SIGNED = ["tax", "tax - net", "tax (17%)", "e-mail", "e-mail (work)", "ship-to: name", "(ref)", "no.:", "-x", "name", "a:b-c(d"]
 SIGNED_PIECES = ["Tax", " - net", "(17%)", " (17%)", "E-Mail", "(work)", "Ship-To:", " Name", "(ref)", "No.", ":", "-", "-X", "a:b-c(d",
                  " ", "  ", "\t", "\xa0", "$5.00", "v", "1", "(", ")", "\n", "\r\n", "TAX", "e-mail"]
