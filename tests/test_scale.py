@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docketmill.functions import text as T
 from docketmill.functions.scoring import best_two, named_best, pattern_score, rule_words
 from docketmill.operators import classify as C
+from docketmill.operators import terms
 from docketmill.rules import CATEGORY_FIELDS, CUES, DEFAULT_RULES, LAYOUT_RULES, PHRASE_RULES
 
 TEXTS = [
@@ -64,3 +65,15 @@ def test_ties_go_to_the_category_declared_first(spark):
     top, second = best_two(scores)
     got = df.select(top.alias("t"), second.alias("s"), named_best(scores, top, list("ABC")).alias("n")).collect()
     assert [tuple(r) for r in got] == [(0.5, 0.5, "A"), (0.5, 0.5, "B"), (0.0, 0.0, "A"), (0.9, 0.2, "C")]
+
+
+def test_rows_of_frequent_tokens_are_not_shuffled(spark):
+    df = spark.createDataFrame([(i, "hot " * (i % 3 + 1) + f"rare{i % 50}") for i in range(200)], "doc_id bigint, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(terms.corpus_tfidf(df, hot_tokens=2))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Union" in text and re.search(r"isnotnull\(_hot#\d+\)|BroadcastHashJoin \[token#\d+\], \[token#\d+\], Inner", text)
+    expected = {(r["doc_id"], r["token"]): r["weight"] for r in terms.tfidf(df, terms.idf(df)).collect()}
+    assert {(r["doc_id"], r["token"]): r["weight"] for r in terms.corpus_tfidf(df, hot_tokens=2).collect()} == expected
