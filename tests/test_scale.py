@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketmill.functions import text as T
 from docketmill.functions.scoring import best_two, named_best, pattern_score, rule_words
 from docketmill.operators import classify as C
-from docketmill.operators import terms
+from docketmill.operators import paged, terms
 from docketmill.rules import CATEGORY_FIELDS, CUES, DEFAULT_RULES, LAYOUT_RULES, PHRASE_RULES
 
 TEXTS = [
@@ -77,3 +77,10 @@ def test_rows_of_frequent_tokens_are_not_shuffled(spark):
     assert "Union" in text and re.search(r"isnotnull\(_hot#\d+\)|BroadcastHashJoin \[token#\d+\], \[token#\d+\], Inner", text)
     expected = {(r["doc_id"], r["token"]): r["weight"] for r in terms.tfidf(df, terms.idf(df)).collect()}
     assert {(r["doc_id"], r["token"]): r["weight"] for r in terms.corpus_tfidf(df, hot_tokens=2).collect()} == expected
+
+
+def test_words_of_sentences_are_dealt_out_once(spark):
+    pages = spark.createDataFrame([(1, 0, "One big tree here. A big"), (1, 1, "tree again there.")], "doc_id int, page_no int, page_text string")
+    text = plan(paged.sentence_scores(pages, key=["doc_id"]))
+    assert not re.search(r"hashpartitioning\(doc_id#\d+, sent_no#\d+, token", text)
+    assert "REPARTITION_BY_COL" in text
